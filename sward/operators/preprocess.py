@@ -154,6 +154,8 @@ def fit_fold_parameters(
         F.lit(None).cast("string").alias("mode"),
     )
     nothing = F.lit(None).cast("double")
+    if not categorical:
+        return numbers
     modes = training_modes(df, categorical, folds, fold).select(
         fold, "column", nothing.alias("median"), nothing.alias("mean"), nothing.alias("std"), "mode"
     )
@@ -221,7 +223,8 @@ def out_of_fold_features(
     """
     if len(folds) < 2:
         raise ValueError("at least two folds are needed")
-    vocabulary = vocabulary or collect_vocabularies(df, categorical)
+    if vocabulary is None:
+        vocabulary = collect_vocabularies(df, categorical)
     parameters = fit_fold_parameters(df, folds, numeric, categorical, fold)
     return transform_with(df, parameters, vocabulary, numeric, keep, fold)
 
