@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from sward.constants import KEY, NUMERIC_METADATA, TARGETS
 from sward.operators import metrics, preprocess
 from sward.plans.cross_validation import ridge_oof
+from sward.session import stored_once
 from sward.sources import views
 
 MODELS = {"Ridge": 1.0, "Ridge_strong": 1000.0}
@@ -25,13 +26,21 @@ def rounded(df: DataFrame, digits: int = 6, columns: Sequence[str] | None = None
 
 
 def scaled_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Numeric metadata, imputed and scaled out of fold."""
-    return preprocess.out_of_fold_features(views.samples(spark, folder), {}, categorical=())
+    """Numeric metadata, imputed and scaled out of fold. Reads the stored samples three times."""
+    return preprocess.out_of_fold_features(stored_samples(spark, folder), {}, categorical=())
+
+
+def stored_samples(spark: SparkSession, folder: str) -> DataFrame:
+    return stored_once(spark, f"{folder}/samples", lambda: views.samples(spark, folder))
 
 
 def design(spark: SparkSession, folder: str) -> DataFrame:
-    """Scaled numeric features with the targets."""
-    return scaled_features(spark, folder).join(views.wide_targets(spark, folder), on=KEY)
+    """Scaled numeric features with the targets: the stored feature table that cross-validation reads."""
+
+    def build() -> DataFrame:
+        return scaled_features(spark, folder).join(views.wide_targets(spark, folder), on=KEY)
+
+    return stored_once(spark, f"{folder}/design", build)
 
 
 def oof(spark: SparkSession, folder: str, configurations: Sequence[tuple[str, str]] | None = None) -> DataFrame:
@@ -72,8 +81,8 @@ def config_means(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parameters(spark: SparkSession, folder: str) -> DataFrame:
-    return preprocess.fit_fold_parameters(views.samples(spark, folder))
+    return preprocess.fit_fold_parameters(stored_samples(spark, folder))
 
 
 def numeric_parameters(spark: SparkSession, folder: str) -> DataFrame:
-    return preprocess.fit_fold_parameters(views.samples(spark, folder), numeric=NUMERIC_METADATA, categorical=())
+    return preprocess.fit_fold_parameters(stored_samples(spark, folder), numeric=NUMERIC_METADATA, categorical=())

@@ -142,13 +142,13 @@ def fold_predictions(spark, folder):
     """Every sample under every fold's preprocessing and fit, one row per fold: the general form."""
     from sward.operators import preprocess
     from sward.plans import ridge
-    from sward.operators.bounded import small_side
+    from sward.operators.bounded import held
 
     fits = ridge.single_feature_fits(base.design(spark, folder), ["Height_Ave_cm"])
     rows = preprocess.transform_new_rows(
         views.samples(spark, folder), base.numeric_parameters(spark, folder), {}, keep=(KEY,)
     )
-    models = small_side(fits.select("fold", "target", "slope", "intercept"), what="fits")
+    models = held(fits.select("fold", "target", "slope", "intercept"), what="fits")
     return rows.join(models, on="fold").select(
         KEY, "fold", "target", (F.col("slope") * F.col("Height_Ave_cm") + F.col("intercept")).alias("pred")
     )

@@ -1,4 +1,4 @@
-"""Broadcasting with a proof of size."""
+"""Small tables: fetching parameters once, and broadcasting with a proof of size."""
 
 from __future__ import annotations
 
@@ -8,11 +8,23 @@ from pyspark.sql import functions as F
 PARAMETER_ROWS = 10_000
 
 
+def held(df: DataFrame, limit: int = PARAMETER_ROWS, what: str = "parameter table") -> DataFrame:
+    """Run a plan whose result is small by contract (fitted parameters) and keep the result in later plans.
+
+    Eager, as fitting a model is. At most ``limit + 1`` rows reach the driver and more than ``limit`` are an error. What
+    comes back is a local relation of known size, so joins broadcast it, and plans built on it stay short.
+    """
+    table = df.limit(limit + 1).toArrow()
+    if table.num_rows > limit:
+        raise ValueError(f"{what} has more than {limit} rows")
+    return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema))
+
+
 def small_side(df: DataFrame, limit: int = PARAMETER_ROWS, what: str = "parameter table") -> DataFrame:
     """Broadcast a table that is small by contract, and fail in the plan if it is not.
 
-    Only for parameter-like tables (per fold, per group of few groups). At most ``limit + 1`` rows reach the check.
-    Tables that grow with the data must not come here: join them plainly and let file sizes and AQE choose.
+    The lazy counterpart of ``held``, for use inside one plan. At most ``limit + 1`` rows reach the check. Tables that
+    grow with the data must not come here: join them plainly and let file sizes and AQE choose.
     """
     counted = df.limit(limit + 1).withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
     too_many = F.raise_error(F.lit(f"{what} has more than {limit} rows; it cannot be broadcast")).cast("boolean")

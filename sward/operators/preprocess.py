@@ -1,7 +1,7 @@
 """Fold-safe metadata preprocessing.
 
-Fitting gives a small parameter table, one row per held-out fold; transforming is a join on the fold followed by plain
-column expressions. No statistic of a fold is ever learned from that fold's own rows.
+Fitting gives a small parameter table, one row per held-out fold; transforming fetches it (the eager part) and is a join
+on the fold followed by plain column expressions. No statistic of a fold is ever learned from that fold's own rows.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sward.constants import CATEGORICAL_METADATA, FOLD, KEY, N_FOLDS, NUMERIC_METADATA
 from sward.functions.scalars import is_missing
-from sward.operators.bounded import small_side
+from sward.operators.bounded import held
 from sward.operators.quantiles import exact_quantiles
 
 MAX_VOCABULARY = 2_000
@@ -59,7 +59,7 @@ def collect_vocabularies(df: DataFrame, columns: Sequence[str] = CATEGORICAL_MET
 
 def _other_folds(fold: str, folds: Sequence[int]) -> Column:
     """The folds whose training set a row of ``fold`` belongs to."""
-    return F.explode(F.filter(F.array(*[F.lit(int(k)) for k in folds]), lambda k: k != F.col(fold)))
+    return F.explode(F.array_compact(F.array(*[F.when(F.col(fold) != int(k), int(k)) for k in folds])))
 
 
 def training_medians(df: DataFrame, columns: Sequence[str], folds: Sequence[int], fold: str = FOLD) -> DataFrame:
@@ -202,8 +202,8 @@ def transform_with(
     keep: Sequence[str] = (KEY,),
     fold: str = FOLD,
 ) -> DataFrame:
-    """Apply each row's fold parameters. The parameters have one row per fold, so they travel to the rows."""
-    wide = small_side(widen_parameters(parameters, numeric, list(vocabulary), fold), MAX_FOLDS, "fold parameters")
+    """Apply each row's fold parameters. They are fetched once, one row per fold, and travel to the rows."""
+    wide = held(widen_parameters(parameters, numeric, list(vocabulary), fold), MAX_FOLDS, "fold parameters")
     features = feature_columns(vocabulary, numeric)
     return df.join(wide, on=fold).select(*keep, fold, *[expr.alias(name) for name, expr in features])
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sward.functions.scalars import is_missing
-from sward.operators.bounded import small_side
+from sward.operators.bounded import held
 
 SKETCH_ACCURACY = 100_000
 
@@ -25,7 +25,7 @@ def exact_quantiles(
     Meant for *few* groups of any size (folds, columns). ``percentile`` keeps every distinct value of a group in one
     task, which does not scale, so this runs in two mergeable passes:
 
-    1. a sketch brackets every wanted rank from below and above;
+    1. a sketch brackets every wanted rank from below and above (eager; one small row per group comes back);
     2. one count collapses everything outside the bracket to two rows and keeps the exact value counts inside, on
        which a short running sum finds the ranks. The bracket holds about ``8 / accuracy`` of the rows.
 
@@ -35,66 +35,41 @@ def exact_quantiles(
     groups = list(groups)
     values = df.select(*groups, F.col(value).cast("double").alias("v")).where(~is_missing("v"))
     margin = 4.0 / accuracy
-    lows = F.array(*[F.lit(max(p - margin, 0.0)) for p in probs])
-    highs = F.array(*[F.lit(min(p + margin, 1.0)) for p in probs])
-    brackets = (
-        values.groupBy(*groups)
-        .agg(
-            F.percentile_approx("v", lows, accuracy).alias("lo"),
-            F.percentile_approx("v", highs, accuracy).alias("hi"),
-            F.min("v").alias("smallest"),
-            F.max("v").alias("largest"),
+    lows = F.percentile_approx("v", F.array(*[F.lit(max(p - margin, 0.0)) for p in probs]), accuracy)
+    highs = F.percentile_approx("v", F.array(*[F.lit(min(p + margin, 1.0)) for p in probs]), accuracy)
+    cells = [
+        F.struct(
+            F.lit(float(p)).alias("prob"),
+            (F.min("v") if p - margin <= 0.0 else lows[i]).alias("lo"),
+            (F.max("v") if p + margin >= 1.0 else highs[i]).alias("hi"),
         )
-        .select(
-            *groups,
-            F.arrays_zip(
-                F.array(*[F.lit(float(p)) for p in probs]).alias("prob"),
-                F.transform(
-                    "lo", lambda x, i: F.when(F.element_at(lows, i + 1) <= 0.0, F.col("smallest")).otherwise(x)
-                ).alias("lo"),
-                F.transform(
-                    "hi", lambda x, i: F.when(F.element_at(highs, i + 1) >= 1.0, F.col("largest")).otherwise(x)
-                ).alias("hi"),
-            ).alias("bracket"),
-        )
-    )
+        for i, p in enumerate(probs)
+    ]
     # One row per group and few groups by contract. A shuffle on the group would put a hot group into one task.
-    brackets = small_side(brackets, what="quantile groups")
+    brackets = held(values.groupBy(*groups).agg(F.array(*cells).alias("brackets")), what="quantile groups")
     joined = values.join(brackets, on=groups) if groups else values.join(brackets)
     side = F.when(F.col("v") < F.col("b.lo"), -1).when(F.col("v") > F.col("b.hi"), 1).otherwise(0)
+    per_rank = [*groups, "prob"]
     counted = (
-        joined.select(*groups, "v", F.explode("bracket").alias("b"))
-        .select(
+        joined.select(*groups, "v", F.explode("brackets").alias("b"))
+        .groupBy(
             *groups,
             F.col("b.prob").alias("prob"),
             side.alias("side"),
-            F.when(side == 0, F.col("v")).alias("v"),
+            F.when(F.col("v").between(F.col("b.lo"), F.col("b.hi")), F.col("v")).alias("v"),
         )
-        .groupBy(*groups, "prob", "side", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    per_rank = [*groups, "prob"]
     running = Window.partitionBy(*per_rank).orderBy("side", "v")
     whole = Window.partitionBy(*per_rank)
-    ranked = (
-        counted.withColumn("upto", F.sum("n").over(running))
-        .withColumn("total", F.sum("n").over(whole))
-        .withColumn("position", F.col("prob") * (F.col("total") - 1))
-        .withColumn("below", F.floor("position"))
-        .withColumn("above", F.ceil("position"))
-    )
+    position = F.col("prob") * (F.sum("n").over(whole) - 1)
+    ranked = counted.select("*", F.sum("n").over(running).alias("upto"), position.alias("position"))
 
-    def at(rank: str):
-        holds = (F.col(rank) < F.col("upto")) & (F.col(rank) >= F.col("upto") - F.col("n"))
+    def at(rank):
+        holds = (rank < F.col("upto")) & (rank >= F.col("upto") - F.col("n"))
         outside = F.raise_error(F.lit("quantile rank outside its sketch bracket; raise the accuracy"))
         return F.max(F.when(holds, F.when(F.col("side") == 0, F.col("v")).otherwise(outside.cast("double"))))
 
-    return (
-        ranked.groupBy(*per_rank)
-        .agg(
-            at("below").alias("x0"),
-            at("above").alias("x1"),
-            F.max(F.col("position") - F.col("below")).alias("fraction"),
-        )
-        .select(*per_rank, (F.col("x0") + (F.col("x1") - F.col("x0")) * F.col("fraction")).alias("quantile"))
-    )
+    below, above = at(F.floor("position")), at(F.ceil("position"))
+    fraction = F.max(F.col("position") - F.floor("position"))
+    return ranked.groupBy(*per_rank).agg((below + (above - below) * fraction).alias("quantile"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sward.constants import FOLD, KEY, RIDGE_ALPHA, TARGETS
 from sward.functions.scalars import clip_lower
-from sward.operators.bounded import small_side
+from sward.operators.bounded import held
 from sward.operators.features import training_rows, validation_rows
 from sward.plans.ridge import ALL_FOLDS, single_feature_fits
 
@@ -32,42 +32,33 @@ def ridge_oof(
     """Long out-of-fold predictions of one-feature ridge models, for all configurations at once.
 
     ``features`` maps feature-set names to columns, ``models`` model names to penalties. The rows are scanned once for
-    the moments and once for scoring; each row's predictions are array entries unfolded at the end.
+    the fits (eager, a few numbers per fold) and once for scoring (lazy), so pass a stored feature table. Each row's
+    predictions are cells of one array that is unfolded at the end.
     """
     models = models or {"Ridge": RIDGE_ALPHA}
     fits = single_feature_fits(df, list(features.values()), list(models.values()), targets, folds)
-    per_fold = fits.groupBy(FOLD).agg(
-        F.map_from_entries(
-            F.collect_list(
-                F.struct(
-                    F.concat_ws("|", "feature", "target", F.col("alpha").cast("string")),
-                    F.struct("slope", "intercept"),
-                )
-            )
-        ).alias("fits")
-    )
+    plan = [(m, a, n, c, t) for m, a in models.items() for n, c in features.items() for t in targets]
 
-    def predicted(column: str, target: str, alpha: float):
-        fit = F.element_at("fits", F.concat_ws("|", F.lit(column), F.lit(target), F.lit(float(alpha)).cast("string")))
-        value = fit["slope"] * F.col(column) + fit["intercept"]
-        return clip_lower(value) if clip else value
-
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(model).alias("model"),
-                F.lit(name).alias("feature_set"),
-                F.lit(target).alias("target"),
-                F.col(target).cast("double").alias("y"),
-                predicted(column, target, alpha).alias("pred"),
-            )
-            for model, alpha in models.items()
-            for name, column in features.items()
-            for target in targets
+    def fitted(what: str):
+        """All of one kind of number as an array in the order of the plan."""
+        cells = [
+            f"max({what}) FILTER (WHERE feature = '{c}' AND target = '{t}' AND alpha = {float(a)!r}D)" for _, a, _, c, t in plan
         ]
-    )
-    scored = df.join(small_side(per_fold, what="fold fits"), on=FOLD)
-    return scored.select(key, FOLD, F.inline(cells)).select("model", "feature_set", FOLD, key, "target", "y", "pred")
+        return F.expr(f"array({', '.join(cells)})")
+
+    # One row per fold with two arrays.
+    slopes, intercepts = fitted("slope"), fitted("intercept")
+    per_fold = held(fits.groupBy(FOLD).agg(slopes.alias("_slopes"), intercepts.alias("_intercepts")), what="fold fits")
+
+    cells = []
+    for i, (model, _, name, column, target) in enumerate(plan):
+        value = f"_slopes[{i}] * `{column}` + _intercepts[{i}]"
+        pred = f"CASE WHEN {value} < 0 THEN 0D ELSE {value} END" if clip else value
+        cells.append(
+            f"struct('{model}' AS model, '{name}' AS feature_set, '{target}' AS target, double(`{target}`) AS y, {pred} AS pred)"
+        )
+    scored = df.join(per_fold, on=FOLD)
+    return scored.select(key, FOLD, F.expr(f"inline(array({', '.join(cells)}))")).select("model", "feature_set", FOLD, key, "target", "y", "pred")
 
 
 def fit_folds(

@@ -15,13 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sward.constants import FOLD, N_FOLDS, RIDGE_ALPHA, TARGETS
-from sward.operators.bounded import small_side
+from sward.operators.bounded import held
 
 ALL_FOLDS = tuple(range(N_FOLDS))
 
 
 def _outside(folds: Sequence[int], fold: str = FOLD) -> Column:
-    return F.explode(F.filter(F.array(*[F.lit(int(k)) for k in folds]), lambda k: k != F.col(fold)))
+    return F.explode(F.array_compact(F.array(*[F.when(F.col(fold) != int(k), int(k)) for k in folds])))
 
 
 def single_feature_fits(
@@ -36,39 +36,31 @@ def single_feature_fits(
 
     The intercept is not penalised. Moments are centred per fold and merged, so large offsets lose no digits.
     """
-    moments = F.array(
-        *[
-            F.struct(
-                F.lit(x).alias("feature"),
-                F.lit(y).alias("target"),
-                F.count(F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), 1)).alias("n"),
-                F.avg(F.when(F.col(y).isNotNull(), F.col(x))).alias("mx"),
-                F.avg(F.when(F.col(x).isNotNull(), F.col(y))).alias("my"),
-                F.var_pop(F.when(F.col(y).isNotNull(), F.col(x))).alias("vx"),
-                F.covar_pop(x, y).alias("cxy"),
-            )
-            for x in features
-            for y in targets
-        ]
+    cells = ", ".join(
+        f"""struct('{x}' AS feature, '{y}' AS target, count_if(`{x}` IS NOT NULL AND `{y}` IS NOT NULL) AS n,
+            avg(`{x}`) FILTER (WHERE `{y}` IS NOT NULL) AS mx, avg(`{y}`) FILTER (WHERE `{x}` IS NOT NULL) AS my,
+            var_pop(`{x}`) FILTER (WHERE `{y}` IS NOT NULL) AS vx, covar_pop(`{x}`, `{y}`) AS cxy)"""
+        for x in features
+        for y in targets
     )
-    per_fold = df.groupBy(fold).agg(moments.alias("m")).select(fold, F.inline("m"))
-    parts = per_fold.select(_outside(folds, fold).alias(fold), "feature", "target", "n", "mx", "my", "vx", "cxy")
-    merged = parts.groupBy(fold, "feature", "target").agg(
-        (F.sum(F.col("n") * F.col("mx")) / F.sum("n")).alias("mx"),
-        (F.sum(F.col("n") * F.col("my")) / F.sum("n")).alias("my"),
-        F.collect_list(F.struct("n", "mx", "my", "vx", "cxy")).alias("parts"),
+    per_fold = df.groupBy(fold).agg(F.expr(f"array({cells})").alias("m")).select(fold, F.inline("m"))
+    merged = (
+        per_fold.select(_outside(folds, fold).alias(fold), "feature", "target", "n", "mx", "my", "vx", "cxy")
+        .groupBy(fold, "feature", "target")
+        .agg(
+            F.expr("sum(n * mx) / sum(n)").alias("mx"),
+            F.expr("sum(n * my) / sum(n)").alias("my"),
+            F.expr("collect_list(struct(n, mx, my, vx, cxy))").alias("parts"),
+        )
     )
-
-    def total(term) -> Column:
-        return F.aggregate("parts", F.lit(0.0), lambda acc, p: acc + p["n"] * term(p))
-
-    sxx = total(lambda p: p["vx"] + (p["mx"] - F.col("mx")) * (p["mx"] - F.col("mx")))
-    sxy = total(lambda p: p["cxy"] + (p["mx"] - F.col("mx")) * (p["my"] - F.col("my")))
+    # Moments of the training set around its own means; a part is one fold.
+    sxx = "aggregate(parts, 0D, (acc, p) -> acc + p.n * (p.vx + (p.mx - mx) * (p.mx - mx)))"
+    sxy = "aggregate(parts, 0D, (acc, p) -> acc + p.n * (p.cxy + (p.mx - mx) * (p.my - my)))"
+    penalties = ", ".join(f"{float(a)!r}D" for a in alphas)
     return (
-        merged.select(fold, "feature", "target", "mx", "my", sxx.alias("sxx"), sxy.alias("sxy"))
-        .withColumn("alpha", F.explode(F.array(*[F.lit(float(a)) for a in alphas])))
-        .withColumn("slope", F.coalesce(F.try_divide(F.col("sxy"), F.col("sxx") + F.col("alpha")), F.lit(0.0)))
-        .select(fold, "feature", "target", "alpha", "slope", (F.col("my") - F.col("slope") * F.col("mx")).alias("intercept"))
+        merged.selectExpr(fold, "feature", "target", "mx", "my", f"{sxx} AS sxx", f"{sxy} AS sxy", f"explode(array({penalties})) AS alpha")
+        .selectExpr(fold, "feature", "target", "mx", "my", "alpha", "coalesce(try_divide(sxy, sxx + alpha), 0D) AS slope")
+        .selectExpr(fold, "feature", "target", "alpha", "slope", "my - slope * mx AS intercept")
     )
 
 
@@ -145,7 +137,7 @@ def dot(a: Column | str, b: Column | str) -> Column:
 
 def score_folds(df: DataFrame, fits: DataFrame, features: str, keep: Sequence[str], fold: str = FOLD) -> DataFrame:
     """Predict each row with the fit of its own fold: ``(keep..., fold, target, pred)``."""
-    models = small_side(fits, what="fitted models")
+    models = held(fits, what="fitted models")
     return df.select(*keep, fold, features).join(models, on=fold).select(
         *keep, fold, "target", (dot(features, "coefficients") + F.col("intercept")).alias("pred")
     )

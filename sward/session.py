@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +57,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = work_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_STORED: dict[tuple[str, str], DataFrame] = {}
+
+
+def stored_once(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table that is written the first time an application asks for it and read from then on.
+
+    As in any pipeline, feature tables are built once and every report reads them.
+    """
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _STORED:
+        _STORED[key] = materialise(build(), name.rsplit("/", 1)[-1])
+    return _STORED[key]
