@@ -1 +1,199 @@
-"""Placeholder."""
+"""Data-quality reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sward.catalog import base, query
+from sward.catalog.oracle import sql
+from sward.constants import KEY, METADATA
+from sward.operators import pixels, quality
+from sward.sources import views
+
+
+def rules_sql(*rules: tuple[str, str, str], source: str = "") -> str:
+    parts = [
+        f"""SELECT '{name}' AS "check", CAST({expected} AS BIGINT) AS expected, CAST({actual} AS BIGINT) AS actual {source}"""
+        for name, expected, actual in rules
+    ]
+    return sql(f"""SELECT *, CASE WHEN expected IS NOT DISTINCT FROM actual THEN 'PASS' ELSE 'FAIL' END AS status
+        FROM ({' UNION ALL '.join(parts)})""")
+
+
+@query(
+    "h1_required",
+    rules_sql(("required_columns_missing", "0", "1"), ("non_empty", "1", "(SELECT count(*) FROM (SELECT 1 FROM samples LIMIT 1))")),
+)
+def h1_required(spark, folder):
+    return quality.required_columns(views.samples(spark, folder), [*METADATA, "Not_A_Column"])
+
+
+_NULLS = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS n_missing FROM samples" for c in METADATA
+)
+
+
+@query("h2_nulls", sql(f"SELECT * FROM ({_NULLS}) UNION ALL SELECT 'total', CAST(sum(n_missing) AS BIGINT) FROM ({_NULLS})"))
+def h2_nulls(spark, folder):
+    return quality.null_counts(views.samples(spark, folder), METADATA)
+
+
+@query(
+    "h3_nan",
+    sql("""SELECT 'NDVI' AS "column", CAST(count(*) FILTER (o_orderkey % 10 = 0) AS BIGINT) AS nan_count,
+            CAST(count(*) FILTER (o_orderkey % 10 = 5) AS BIGINT) AS inf_count FROM orders
+        UNION ALL SELECT 'Height', 0, 0"""),
+)
+def h3_nan(spark, folder):
+    orders = views.read_table(spark, folder, "orders")
+    odd = (
+        F.when(F.col("o_orderkey") % 10 == 0, F.lit(float("nan")))
+        .when(F.col("o_orderkey") % 10 == 5, F.lit(float("-inf")))
+        .otherwise(F.col("o_totalprice"))
+    )
+    return quality.non_finite_counts(orders.select(odd.alias("NDVI"), F.col("o_totalprice").alias("Height")), ["NDVI", "Height"])
+
+
+@query("h4_dups", rules_sql(("duplicate_keys", "0", "(SELECT count(*) - count(DISTINCT l_orderkey) FROM lineitem)")))
+def h4_dups(spark, folder):
+    return quality.duplicate_count(views.read_table(spark, folder, "lineitem"), ["l_orderkey"])
+
+
+@query("h5_row_count", rules_sql(("row_count", "357", "(SELECT count(*) FROM samples)")))
+def h5_row_count(spark, folder):
+    return quality.row_count(views.samples(spark, folder), 357)
+
+
+@query(
+    "h6_folds",
+    rules_sql(
+        ("fold_count", "5", "(SELECT count(DISTINCT fold) FROM samples)"),
+        ("fold_labels_in_range", "5", "(SELECT count(DISTINCT fold) FROM samples WHERE fold BETWEEN 0 AND 4)"),
+        ("fold_missing", "0", "(SELECT count(*) FROM samples WHERE fold IS NULL)"),
+        ("at_least_two_folds", "1", "(SELECT count(DISTINCT fold) >= 2 FROM samples)"),
+    ),
+)
+def h6_folds(spark, folder):
+    return quality.fold_labels(views.samples(spark, folder), 5)
+
+
+@query(
+    "h7_same_names",
+    rules_sql((
+        "features_not_in_every_fold", "0",
+        "(SELECT count(*) FROM (SELECT Species FROM samples WHERE Species IS NOT NULL GROUP BY Species HAVING count(DISTINCT fold) <> 5))",
+    )),
+)
+def h7_same_names(spark, folder):
+    names = views.samples(spark, folder).where("Species IS NOT NULL").select("fold", F.col("Species").alias("feature"))
+    return quality.same_feature_names(names)
+
+
+_COVERAGE = [
+    ("rows_without_prediction", "0", "(SELECT count(*) FROM samples ANTI JOIN targets_wide USING (image_path))"),
+    ("rows_predicted_twice", "0", "0"),
+    ("predictions_without_row", "0", "0"),
+]
+
+
+@query("h8_coverage", rules_sql(*_COVERAGE))
+def h8_coverage(spark, folder):
+    predictions = base.one_model(spark, folder).where("target = 'Dry_Total_g'")
+    return quality.prediction_coverage(views.samples(spark, folder), predictions, [KEY])
+
+
+@query("h9_negative", rules_sql(("negative_predictions", "0", "(SELECT count(*) FROM cells WHERE e < 0)")))
+def h9_negative(spark, folder):
+    values = views.embeddings(spark, folder).select(F.explode("embedding").alias("pred"))
+    return quality.negative_predictions(values)
+
+
+def _report(spark, folder):
+    predictions = base.oof(spark, folder)
+    return quality.integrity_report(
+        quality.rules_in_one_pass(
+            predictions,
+            {
+                "prediction_nan_count": (0, F.count_if(quality.missing_in(predictions, "pred"))),
+                "prediction_inf_count": (0, F.count_if(F.abs("pred") == float("inf"))),
+                "negative_predictions": (0, F.count_if(F.col("pred") < 0)),
+                "fold_count": (5, F.count_distinct("fold")),
+                "target_count": (5, F.count_distinct("target")),
+            },
+        ),
+        quality.prediction_coverage(views.samples(spark, folder), predictions.where("model = 'Ridge' AND feature_set = 'NDVI' AND target = 'GDM_g'"), [KEY]),
+        quality.fold_labels(views.samples(spark, folder), 5),
+    )
+
+
+_REPORT = [
+    ("prediction_nan_count", "0", "(SELECT count(*) FROM oof WHERE pred IS NULL OR isnan(pred))"),
+    ("prediction_inf_count", "0", "(SELECT count(*) FROM oof WHERE isinf(pred))"),
+    ("negative_predictions", "0", "(SELECT count(*) FROM oof WHERE pred < 0)"),
+    ("fold_count", "5", "(SELECT count(DISTINCT fold) FROM oof)"),
+    ("target_count", "5", "(SELECT count(DISTINCT target) FROM oof)"),
+    *_COVERAGE,
+    ("fold_count", "5", "(SELECT count(DISTINCT fold) FROM samples)"),
+    ("fold_labels_in_range", "5", "(SELECT count(DISTINCT fold) FROM samples WHERE fold BETWEEN 0 AND 4)"),
+    ("fold_missing", "0", "0"),
+    ("at_least_two_folds", "1", "1"),
+]
+
+
+@query("h10_report", rules_sql(*_REPORT))
+def h10_report(spark, folder):
+    return _report(spark, folder)
+
+
+@query(
+    "h10_overall",
+    f"""SELECT count(*) AS checks, CAST(count(*) FILTER (status = 'FAIL') AS BIGINT) AS failed,
+        CASE WHEN count(*) FILTER (status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+        FROM ({rules_sql(*_REPORT)})""",
+)
+def h10_overall(spark, folder):
+    return quality.overall_status(_report(spark, folder))
+
+
+@query("h11_round_trip", rules_sql(("round_trip_differences", "0", "0 * (SELECT count(*) FROM samples)")))
+def h11_round_trip(spark, folder):
+    return quality.round_trip(views.samples(spark, folder), base.stored_samples(spark, folder))
+
+
+@query(
+    "h12_same_keys",
+    rules_sql((
+        "key_mismatches", "0",
+        """(SELECT count(*) FROM (SELECT image_path FROM samples ANTI JOIN targets_wide USING (image_path)
+            UNION ALL SELECT image_path FROM targets_wide ANTI JOIN samples USING (image_path)))""",
+    )),
+)
+def h12_same_keys(spark, folder):
+    return quality.same_keys(views.samples(spark, folder), views.wide_targets(spark, folder))
+
+
+@query(
+    "j17_validate",
+    rules_sql(
+        ("missing_keys", "0", "0"),
+        ("missing_values", "0", "0"),
+        ("infinite_values", "0", "0"),
+        ("row_count", "500", "(SELECT count(*) FROM images)"),
+        ("duplicate_keys", "0", "(SELECT count(*) - count(DISTINCT image_path) FROM images)"),
+    ),
+)
+def j17_validate(spark, folder):
+    names = pixels.colour_feature_names()
+    return quality.feature_table_checks(pixels.colour_features(views.pixels(spark, folder)), names, expected_rows=500)
+
+
+@query(
+    "h2_missing_text",
+    sql("SELECT State IS NULL AS state_missing, Species IS NULL AS species_missing, count(*) AS n FROM samples GROUP BY ALL"),
+)
+def h2_missing_text(spark, folder):
+    rows = views.samples(spark, folder)
+    return rows.groupBy(
+        quality.missing_in(rows, "State").alias("state_missing"), quality.missing_in(rows, "Species").alias("species_missing")
+    ).agg(F.count(F.lit(1)).alias("n"))
+
