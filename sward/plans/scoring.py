@@ -6,13 +6,14 @@ from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 from pyspark.ml import Model
-from pyspark.ml.functions import predict_batch_udf
+from pyspark.ml.functions import array_to_vector, predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sward.constants import BATCH_SIZE, FOLD, KEY, TARGETS
+from sward.constants import BATCH_SIZE, FOLD, KEY, NUMERIC_METADATA, TARGETS
 from sward.functions.scalars import clip_lower, is_missing
+from sward.operators.bounded import held
 
 
 def embed(column: str | Column, make_fn: Callable, size: int, batch_size: int = BATCH_SIZE) -> Column:
@@ -38,19 +39,25 @@ def linear_map(matrix: np.ndarray) -> Callable:
 
 
 def ensemble_predict(
-    df: DataFrame, models: Mapping[tuple[int, str], Model], targets: Sequence[str] = TARGETS, key: str = KEY
+    df: DataFrame,
+    models: Mapping[tuple[int, str], Model],
+    targets: Sequence[str] = TARGETS,
+    key: str = KEY,
+    features: str = "features",
 ) -> DataFrame:
     """Mean over the fold models, clipped before and after: ``(key, <targets>)``.
 
+    A fold reads ``<features>_<fold>`` where the table has it (see ``fold_vectors``), else ``features``.
+
     Every model adds a column to the row, so a row meets all models in one task and nothing is shuffled.
     """
     folds = sorted({fold for fold, _ in models})
-    names = []
     for fold in folds:
         for target in targets:
             name = f"_{fold}_{target}"
-            df = models[fold, target].copy({}).setPredictionCol(name).transform(df)
-            names.append(name)
+            own = f"{features}_{fold}"
+            model = models[fold, target].copy({}).setPredictionCol(name)
+            df = model.setFeaturesCol(own if own in df.columns else features).transform(df)
 
     def mean(target: str) -> Column:
         parts = [F.col(f"_{fold}_{target}") for fold in folds]
@@ -64,28 +71,64 @@ def ensemble_predict(
     return df.select(key, *[mean(t) for t in targets])
 
 
-def score_linear(
-    df: DataFrame, fits: DataFrame, parameters: DataFrame, key: str = KEY, fold: str = FOLD
+def fold_vectors(
+    df: DataFrame,
+    parameters: DataFrame,
+    vocabulary: Mapping[str, Sequence[str]],
+    folds: Sequence[int],
+    numeric: Sequence[str] = NUMERIC_METADATA,
+    static: Sequence[str] = (),
+    keep: Sequence[str] = (KEY,),
 ) -> DataFrame:
-    """New rows through every fold's imputation, scaling and one-feature ridge fit; mean over folds, clipped.
+    """New rows with one feature vector per fold, ``features_<k>``: metadata under that fold's parameters, then ``static``.
+
+    The parameters (one row per fold and column) are fetched once and become constants of the projection, so the rows
+    are neither joined nor multiplied. ``static`` columns, arrays or numbers, are the same for all folds.
+    """
+    fetched = {(r[FOLD], r["column"]): r for r in held(parameters).collect()}
+    parts = [F.col(c) if isinstance(df.schema[c].dataType, T.ArrayType) else F.array(F.col(c)) for c in static]
+    blocks = [p.cast("array<double>") for p in parts]
+
+    def vector(k: int) -> Column:
+        cells = []
+        for c in numeric:
+            row = fetched[k, c]
+            filled = F.when(is_missing(c), F.lit(row["median"])).otherwise(F.col(c))
+            cells.append((filled - F.lit(row["mean"])) / F.lit(row["std"]))
+        for c, values in vocabulary.items():
+            filled = F.coalesce(F.col(c), F.lit(fetched[k, c]["mode"]))
+            cells += [F.when(filled == F.lit(v), 1.0).otherwise(0.0) for v in values]
+        return array_to_vector(F.concat(F.array(*cells), *blocks)).alias(f"features_{k}")
+
+    return df.select(*keep, *[vector(int(k)) for k in folds])
+
+
+def linear_models(fits: DataFrame, parameters: DataFrame, fold: str = FOLD) -> Column:
+    """Fitted one-feature ridge models of all folds as one array constant ``(feature, target, folds)``.
 
     ``fits`` has ``(fold, feature, target, slope, intercept)`` and ``parameters`` ``(fold, column, median, mean, std)``.
-    The fitted numbers of all folds form one array per feature and target, read as a scalar subquery, so scoring is a
-    projection: no join and no shuffle of the rows, in batch and on a stream.
+    Eager; a few numbers per fold and target are fetched.
     """
     numbers = parameters.select(fold, F.col("column").alias("feature"), "median", "mean", "std")
-    models = (
-        fits.join(numbers, on=[fold, "feature"])
-        .groupBy("feature", "target")
-        .agg(F.collect_list(F.struct("slope", "intercept", "median", "mean", "std")).alias("folds"))
-        .agg(F.collect_list(F.struct("feature", "target", "folds")).alias("models"))
-        .scalar()
+    rows = held(fits.join(numbers, on=[fold, "feature"]), what="linear models").collect()
+    grouped: dict[tuple[str, str], list[Column]] = {}
+    for row in sorted(rows, key=lambda row: (row["feature"], row["target"], row[fold])):
+        numbers_of = [F.lit(row[c]).alias(c) for c in ("slope", "intercept", "median", "mean", "std")]
+        grouped.setdefault((row["feature"], row["target"]), []).append(F.struct(*numbers_of))
+    return F.array(
+        *[
+            F.struct(F.lit(feature).alias("feature"), F.lit(target).alias("target"), F.array(*fitted).alias("folds"))
+            for (feature, target), fitted in grouped.items()
+        ]
     )
-    return score_with(df, models, key)
 
 
 def score_with(df: DataFrame, models: Column, key: str = KEY, features: Sequence[str] | None = None) -> DataFrame:
-    """As ``score_linear``, from an array column of ``(feature, target, folds)``."""
+    """New rows through every fold's imputation, scaling and fit; mean over folds of the clipped predictions.
+
+    ``models`` comes from ``linear_models``. Scoring is a projection: no join and no shuffle of the rows, in batch and
+    on a stream.
+    """
     features = list(features or [c for c in df.columns if c != key])
     values = F.create_map(*[part for c in features for part in (F.lit(c), F.col(c).cast("double"))])
 
@@ -98,7 +141,9 @@ def score_with(df: DataFrame, models: Column, key: str = KEY, features: Sequence
             return F.when(value < 0, F.lit(0.0)).otherwise(value)
 
         total = F.aggregate(model["folds"], F.lit(0.0), lambda acc, fit: acc + one(fit))
-        return F.struct(model["feature"].alias("feature"), model["target"].alias("target"), (total / F.size(model["folds"])).alias("pred"))
+        return F.struct(
+            model["feature"].alias("feature"), model["target"].alias("target"), (total / F.size(model["folds"])).alias("pred")
+        )
 
     return (
         df.withColumn("_values", values)
