@@ -1 +1,201 @@
-"""Placeholder."""
+"""Model training, cross-validation and scoring with Spark ML."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import functions as F
+
+from sward.catalog import base, query
+from sward.catalog.oracle import TARGETS, r, sql
+from sward.catalog.reports import NEW_ROWS_SQL
+from sward.constants import KEY, METADATA, NUMERIC_METADATA
+from sward.functions import scalars
+from sward.operators import metrics, ranking
+from sward.plans import cross_validation, estimators, ridge, scoring
+from sward.session import stored_once
+from sward.sources import views
+
+FOLDS = range(5)
+#: Smaller forests than the library's defaults: the queries check the plans, on all rows.
+TREES = {"trees": 10, "depth": 5}
+BOOSTS = {"maxIter": 5, "depth": 3}
+
+
+def ridge_table(spark, folder):
+    return base.design(spark, folder).withColumn("features", array_to_vector(F.array("Height_Ave_cm")))
+
+
+def ridge_models(spark, folder):
+    table = ridge_table(spark, folder)
+    per_job = estimators.ridge_per_fold(table)
+    return table, cross_validation.fit_folds(table, None, TARGETS, per_job=per_job)
+
+
+def image_table(spark, folder):
+    """Embeddings and scaled metadata as vectors, with the targets; stored, as every fit reads it."""
+
+    def build():
+        embedded = views.embeddings(spark, folder).select(KEY, F.col("embedding").cast("array<double>").alias("embedding"))
+        table = base.design(spark, folder).join(embedded, on=KEY)
+        metadata = F.array(*[F.col(c) for c in NUMERIC_METADATA])
+        return table.select(
+            KEY,
+            "fold",
+            *TARGETS,
+            array_to_vector("embedding").alias("cnn"),
+            array_to_vector(metadata).alias("metadata"),
+            array_to_vector(F.concat("embedding", metadata)).alias("combined"),
+        )
+
+    return stored_once(spark, f"{folder}/image-table", build)
+
+
+def _validated(spark, folder, factory, model, targets=("Dry_Total_g",), clip=True):
+    predictions, models = cross_validation.cross_validate(
+        image_table(spark, folder), factory, model, "Combined", targets, FOLDS, "combined", clip=clip
+    )
+    return metrics.fold_metrics(predictions), models
+
+
+@query(
+    "k1_ridge",
+    sql(f"SELECT k AS fold, target, {r('slope', 'slope')}, {r('intercept', 'intercept')} FROM fits WHERE model = 'Ridge' AND feature_set = 'Height'"),
+)
+def k1_ridge(spark, folder):
+    """Coefficients of the ML ridge models against the closed form."""
+    _, models = ridge_models(spark, folder)
+    rows = [(fold, target, float(m.coefficients[0]), float(m.intercept)) for (fold, target), m in models.items()]
+    return base.rounded(spark.createDataFrame(rows, "fold int, target string, slope double, intercept double"))
+
+
+@query(
+    "k1_ridge_products",
+    sql(f"""SELECT k AS fold, target, {r('(c * sny - d * shy) / det', 'w_ndvi')}, {r('(a * shy - d * sny) / det', 'w_height')},
+        {r('my - (c * sny - d * shy) / det * mn - (a * shy - d * sny) / det * mh', 'intercept')} FROM (
+            SELECT *, a * c - d * d AS det FROM (
+                SELECT k, target, avg(y) AS my, avg(z_n) AS mn, avg(z_h) AS mh, count(*) * var_pop(z_n) + 1 AS a,
+                       count(*) * var_pop(z_h) + 1 AS c, count(*) * covar_pop(z_n, z_h) AS d,
+                       count(*) * covar_pop(z_n, y) AS sny, count(*) * covar_pop(z_h, y) AS shy
+                FROM folds JOIN scaled ON fold <> k JOIN targets_long USING (image_path) GROUP BY k, target))"""),
+)
+def k1_ridge_products(spark, folder):
+    """Ridge on several features from one pass of product sums."""
+    table = base.design(spark, folder).withColumn("x", F.array(*[F.col(c) for c in NUMERIC_METADATA]))
+    fits = ridge.multi_feature_fits(table, "x")
+    w = F.col("coefficients")
+    return base.rounded(fits.select("fold", "target", w[0].alias("w_ndvi"), w[1].alias("w_height"), "intercept"))
+
+
+@query("k1_ridge_embedding")
+def k1_ridge_embedding(spark, folder):
+    """Ridge on the whole embedding, scored out of fold and measured."""
+    table = base.design(spark, folder).join(views.embeddings(spark, folder).select(KEY, "embedding"), on=KEY)
+    fits = ridge.multi_feature_fits(table, "embedding")
+    scored = ridge.score_folds(table, fits, "embedding", [KEY])
+    actual = metrics.lengthen_targets(table.select(KEY, *TARGETS), name="target", value="y")
+    return base.rounded(metrics.regression_metrics(scored.join(actual, on=[KEY, "target"]), ("fold", "target")), 4)
+
+
+@query("k2_random_forest")
+def k2_random_forest(spark, folder):
+    return _validated(spark, folder, estimators.random_forest(**TREES), "RandomForest")[0]
+
+
+@query("k3_extra_trees")
+def k3_extra_trees(spark, folder):
+    return _validated(spark, folder, estimators.extra_trees(**TREES), "ExtraTrees")[0]
+
+
+@query("k4_boosting")
+def k4_boosting(spark, folder):
+    return _validated(spark, folder, estimators.boosting(**BOOSTS), "Boosting")[0]
+
+
+@query("k5_stochastic_boosting")
+def k5_stochastic_boosting(spark, folder):
+    return _validated(spark, folder, estimators.stochastic_boosting(**BOOSTS), "StochasticBoosting")[0]
+
+
+@query("k6_per_target_models")
+def k6_per_target_models(spark, folder):
+    """One model per target and fold, all five targets."""
+    return _validated(spark, folder, estimators.random_forest(trees=3, depth=3), "RandomForest", TARGETS)[0]
+
+
+@query(
+    "k8_advanced_cv",
+    sql(f"""SELECT fold, image_path, target, y, {r('pred', 'pred')} FROM oof WHERE model = 'Ridge' AND feature_set = 'Height'"""),
+)
+def k8_advanced_cv(spark, folder):
+    """Fold models of every target, clipped out-of-fold predictions."""
+    table, models = ridge_models(spark, folder)
+    scored = cross_validation.predict_folds(table, models, TARGETS, clip=True)
+    return base.rounded(scored.select("fold", KEY, "target", "y", "pred"), columns=["pred"])
+
+
+@query("k9_experiment_grid")
+def k9_experiment_grid(spark, folder):
+    """Models x feature sets, ranked. Estimators are passed in as factories, built-in or the caller's own."""
+    predictions, _ = cross_validation.experiment_grid(
+        image_table(spark, folder),
+        {"Forest": estimators.random_forest(trees=3, depth=3), "Linear": lambda: LinearRegression(regParam=0.1, solver="normal")},
+        {"CNN": "cnn", "Metadata": "metadata"},
+        ["Dry_Total_g"],
+        FOLDS,
+    )
+    summary = metrics.cv_summary(metrics.fold_metrics(predictions))
+    return ranking.rank_configurations(metrics.configuration_means(summary))
+
+
+@query("k11_batch_prediction", sql(f"PIVOT (SELECT image_path, target, {r('pred', 'pred')} FROM ({NEW_ROWS_SQL})) ON target IN ({', '.join(repr(t) for t in TARGETS)}) USING max(pred) GROUP BY image_path"))
+def k11_batch_prediction(spark, folder):
+    """New rows under every fold's preprocessing and models; mean of the clipped predictions."""
+    _, models = ridge_models(spark, folder)
+    rows = base.stored_samples(spark, folder)
+    vectors = scoring.fold_vectors(rows, base.numeric_parameters(spark, folder), {}, FOLDS, numeric=["Height_Ave_cm"])
+    return base.rounded(scoring.ensemble_predict(vectors, models, TARGETS))
+
+
+_MAP = [(0, 2.0), (7, -1.0), (21, 0.5), (63, 1.0)]
+
+
+@query(
+    "k14_embed",
+    sql("SELECT image_path, " + ", ".join(f"CAST(embedding[{i + 1}] * {w} AS DOUBLE) AS out_{j}" for j, (i, w) in enumerate(_MAP)) + " FROM images"),
+)
+def k14_embed(spark, folder):
+    """Batched inference with a model that the caller supplies; here a fixed linear map with exact results."""
+    weights = np.zeros((64, len(_MAP)))
+    for j, (i, w) in enumerate(_MAP):
+        weights[i, j] = w
+    rows = views.embeddings(spark, folder)
+    out = rows.select(KEY, scoring.embed("embedding", scoring.linear_map(weights), 64).alias("out"))
+    return out.select(KEY, *[F.get("out", F.lit(j)).cast("double").alias(f"out_{j}") for j in range(len(_MAP))])
+
+
+@query("k15_huber_head")
+def k15_huber_head(spark, folder):
+    table = image_table(spark, folder)
+    predictions, _ = cross_validation.cross_validate(
+        table, estimators.huber_head(10), "Huber", "CNN", ["Dry_Total_g"], FOLDS, "cnn"
+    )
+    return metrics.fold_metrics(predictions)
+
+
+@query("k16_training_history")
+def k16_training_history(spark, folder):
+    table = image_table(spark, folder)
+    models = cross_validation.fit_folds(table, estimators.huber_head(10), ["Dry_Total_g"], FOLDS, "cnn")
+    return estimators.training_history(table, models)
+
+
+@query("d19_model_importances")
+def d19_model_importances(spark, folder):
+    """Importances of forest models: mean over folds and targets, summed by family."""
+    table = image_table(spark, folder)
+    models = cross_validation.fit_folds(table, estimators.random_forest(trees=5, depth=4), ["Dry_Total_g"], FOLDS, "combined")
+    names = [f"cnn_{i:04d}" for i in range(64)] + list(NUMERIC_METADATA)
+    means = metrics.mean_importances(estimators.importances(table, models, names))
+    return metrics.family_importances(means, scalars.feature_family("feature", METADATA))

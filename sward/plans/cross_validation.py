@@ -18,6 +18,7 @@ from sward.operators.features import training_rows, validation_rows
 from sward.plans.ridge import ALL_FOLDS, single_feature_fits
 
 EstimatorFactory = Callable[[], Estimator]
+JobFactory = Callable[[int, str], Estimator]
 
 
 def ridge_oof(
@@ -63,21 +64,22 @@ def ridge_oof(
 
 def fit_folds(
     df: DataFrame,
-    factory: EstimatorFactory,
+    factory: EstimatorFactory | None,
     targets: Sequence[str],
     folds: Sequence[int] = ALL_FOLDS,
     features: str = "features",
     parallelism: int = 4,
+    per_job: JobFactory | None = None,
 ) -> dict[tuple[int, str], Model]:
     """Eager: one model per fold and target, trained outside the fold.
 
-    Jobs are submitted from a few threads, so small fits overlap. Pass a table that is stored or cached: it is read by
+    ``per_job`` builds an estimator for a fold and target where the settings depend on them. Jobs are submitted from a few threads, so small fits overlap. Pass a table that is stored or cached: it is read by
     every fit.
     """
 
     def fit(job: tuple[int, str]):
         fold, target = job
-        estimator = factory().copy({})
+        estimator = (per_job(fold, target) if per_job else factory()).copy({})
         estimator.setFeaturesCol(features).setLabelCol(target).setPredictionCol("pred")
         return job, estimator.fit(training_rows(df, fold).select(features, target))
 

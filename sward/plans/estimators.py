@@ -6,7 +6,7 @@ cross-validation plans.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Model
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sward.constants import BOOSTING, EXTRA_TREES, FOREST_TREES, RIDGE_ALPHA, SEED, STOCHASTIC_BOOSTING
+from sward.constants import BOOSTING, EXTRA_TREES, FOLD, FOREST_TREES, RIDGE_ALPHA, SEED, STOCHASTIC_BOOSTING, TARGETS
+from sward.operators.bounded import held
 
 #: Spark's upper limit; the published models grow their trees without a limit.
 DEEPEST = 30
@@ -62,15 +63,27 @@ def huber_head(max_iterations: int = 100, epsilon: float = 1.35):
     return lambda: LinearRegression(loss="huber", epsilon=epsilon, maxIter=max_iterations, solver="l-bfgs")
 
 
-def ridge_for(df: DataFrame, target: str, alpha: float = RIDGE_ALPHA):
-    """Ridge with penalty ``alpha * |w|^2`` on the sum of squared errors and a free intercept.
+def ridge_per_fold(
+    df: DataFrame, targets: Sequence[str] = TARGETS, alpha: float = RIDGE_ALPHA, fold: str = FOLD
+) -> Callable[[int, str], LinearRegression]:
+    """Ridge for each fold's training set: penalty ``alpha * |w|^2`` on the summed squared error, free intercept.
 
-    Spark penalises the mean squared error of a target scaled by its standard deviation, so the penalty is
-    ``alpha * sigma / n``. Eager: one aggregate over the training rows.
+    Spark penalises the mean squared error of a target scaled by its standard deviation, so the same penalty is
+    ``alpha * sigma / n`` there. The moments of all training sets come from one aggregate with a row per fold (eager).
     """
-    row = df.agg(F.count(target).alias("n"), F.stddev_pop(target).alias("sigma")).first()
-    penalty = alpha * (row["sigma"] or 0.0) / row["n"]
-    return lambda: LinearRegression(elasticNetParam=0.0, standardization=False, solver="normal", regParam=penalty)
+    moments = [f"struct(count({t}) AS n, avg({t}) AS mean, var_pop({t}) AS variance) AS {t}" for t in targets]
+    rows = held(df.groupBy(fold).agg(*[F.expr(m) for m in moments]), what="folds").collect()
+
+    def build(k: int, target: str) -> LinearRegression:
+        parts = [r[target] for r in rows if r[fold] != k]
+        n = sum(p["n"] for p in parts)
+        mean = sum(p["n"] * p["mean"] for p in parts) / n
+        variance = sum(p["n"] * (p["variance"] + (p["mean"] - mean) ** 2) for p in parts) / n
+        return LinearRegression(
+            elasticNetParam=0.0, standardization=False, solver="normal", regParam=alpha * variance**0.5 / n
+        )
+
+    return build
 
 
 def importances(df: DataFrame, models: dict[tuple[int, str], Model], features: Sequence[str]) -> DataFrame:
