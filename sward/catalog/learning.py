@@ -149,7 +149,10 @@ def k9_experiment_grid(spark, folder):
     return ranking.rank_configurations(metrics.configuration_means(summary))
 
 
-@query("k11_batch_prediction", sql(f"PIVOT (SELECT image_path, target, {r('pred', 'pred')} FROM ({NEW_ROWS_SQL})) ON target IN ({', '.join(repr(t) for t in TARGETS)}) USING max(pred) GROUP BY image_path"))
+@query(
+    "k11_batch_prediction",
+    sql("SELECT image_path, " + ", ".join(r(f"max(CASE WHEN target = '{t}' THEN pred END)", t) for t in TARGETS) + f" FROM ({NEW_ROWS_SQL}) GROUP BY image_path"),
+)
 def k11_batch_prediction(spark, folder):
     """New rows under every fold's preprocessing and models; mean of the clipped predictions."""
     _, models = ridge_models(spark, folder)

@@ -1,14 +1,14 @@
 """Edge density with the usual steps: gradients, thinning across the edge, and two linked thresholds.
 
-Gradients and thinning are array lookups in five neighbouring scanlines. Only pixels that survive them, a small part of
+Gradients and thinning are array lookups in neighbouring scanlines. Only pixels that survive them, a small part of
 an image, go on to the linking step.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sward.constants import EDGE_HIGH, EDGE_LOW, IMAGE_SIDE, KEY
@@ -21,76 +21,58 @@ SECTOR_SHIFT = 15
 MAX_CELLS = IMAGE_SIDE * IMAGE_SIDE
 
 
-def _with_neighbour_lines(lines: DataFrame, key: str, line: str = "line") -> DataFrame:
-    """Two scanlines above and below each one; beyond the border the nearest line repeats."""
+def _sobel_lines(pixels: DataFrame, key: str) -> DataFrame:
+    """``(image_path, y, g)``: per scanline an array of ``(gx, gy, m)`` from 3x3 Sobel filters with repeated borders."""
     window = Window.partitionBy(key).orderBy("y")
-    up1 = F.coalesce(F.lag(line, 1).over(window), F.col(line))
-    down1 = F.coalesce(F.lead(line, 1).over(window), F.col(line))
-    return lines.select(
+    lines = grey_scanlines(pixels, key).select(
         key,
         "y",
-        F.coalesce(F.lag(line, 2).over(window), up1).alias("m2"),
-        up1.alias("m1"),
-        F.col(line).alias("p0"),
-        down1.alias("p1"),
-        F.coalesce(F.lead(line, 2).over(window), down1).alias("p2"),
-        F.lag(F.lit(True), 1).over(window).isNotNull().alias("has_up"),
-        F.lead(F.lit(True), 1).over(window).isNotNull().alias("has_down"),
+        F.coalesce(F.lag("line", 1).over(window), "line").alias("up"),
+        "line",
+        F.coalesce(F.lead("line", 1).over(window), "line").alias("down"),
+        (F.size("line") - 1).alias("last"),
+    )
+    left, right = "greatest(x - 1, 0)", "least(x + 1, last)"
+    gx = " + ".join(f"{w} * (get({line}, {right}) - get({line}, {left}))" for line, w in (("up", 1), ("line", 2), ("down", 1)))
+    gy = " + ".join(f"{w} * (get(down, {x}) - get(up, {x}))" for x, w in ((left, 1), ("x", 2), (right, 1)))
+    cells = f"transform(sequence(0, last), x -> struct({gx} AS gx, {gy} AS gy))"
+    return lines.select(key, "y", F.expr(cells).alias("g")).select(
+        key, "y", "g", F.expr("transform(g, c -> abs(c.gx) + abs(c.gy))").alias("m")
     )
-
-
-def _gradient(rows: tuple[str, str, str], x: Column, last: Column) -> tuple[Column, Column]:
-    """Horizontal and vertical 3x3 Sobel response around position ``x`` with repeated borders."""
-    left, right = F.greatest(x - 1, F.lit(0)), F.least(x + 1, last)
-    (a, b, c), (d, e, f), (g, h, i) = [(F.get(r, left), F.get(r, x), F.get(r, right)) for r in rows]
-    return (c - a) + 2 * (f - d) + (i - g), (g - a) + 2 * (h - b) + (i - c)
 
 
 def gradients(pixels: DataFrame, key: str = KEY) -> DataFrame:
     """``(image_path, y, x, gx, gy, magnitude, thinned)``; magnitude is ``|gx| + |gy|``.
 
     ``thinned`` tells whether the magnitude is a maximum across the edge direction. Magnitudes outside the image are 0.
+    Both steps look into the line above and below; the second reuses the split and order of the first.
     """
-    lines = _with_neighbour_lines(grey_scanlines(pixels, key), key)
-    width = F.size("p0")
-    rows = {-1: ("m2", "m1", "p0"), 0: ("m1", "p0", "p1"), 1: ("p0", "p1", "p2")}
-    x, last = F.col("x"), F.col("last")
-
-    def magnitude(dy: int, dx: int) -> Column:
-        gx, gy = _gradient(rows[dy], F.greatest(F.least(x + dx, last), F.lit(0)), last)
-        inside = (x + dx >= 0) & (x + dx <= last)
-        if dy:
-            inside = inside & F.col("has_up" if dy < 0 else "has_down")
-        return F.when(inside, F.abs(gx) + F.abs(gy)).otherwise(F.lit(0))
-
-    gx, gy = _gradient(rows[0], x, last)
-    around = {(dy, dx): magnitude(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if (dy, dx) != (0, 0)}
-    cells = lines.select("*", F.posexplode(F.sequence(F.lit(0), width - 1)).alias("x", "_same"), (width - 1).alias("last"))
-    table = cells.select(
+    window = Window.partitionBy(key).orderBy("y")
+    near = _sobel_lines(pixels, key).select(
         key,
         "y",
-        "x",
-        gx.alias("gx"),
-        gy.alias("gy"),
-        F.struct(*[m.alias(f"n{dy + 1}{dx + 1}") for (dy, dx), m in around.items()]).alias("n"),
-    ).withColumn("magnitude", F.abs("gx") + F.abs("gy"))
-
-    m = F.col("magnitude")
-
-    def near(dy: int, dx: int) -> Column:
-        return F.col(f"n.n{dy + 1}{dx + 1}")
-
-    steep = F.abs(F.col("gy")).cast("bigint") * (1 << SECTOR_SHIFT)
-    flat_limit = F.abs(F.col("gx")).cast("bigint") * TAN_SECTOR
-    steep_limit = flat_limit + F.abs(F.col("gx")).cast("bigint") * (1 << (SECTOR_SHIFT + 1))
-    falling = (F.col("gx") < 0) != (F.col("gy") < 0)
-    thinned = (
-        F.when(steep < flat_limit, (m > near(0, -1)) & (m >= near(0, 1)))
-        .when(steep > steep_limit, (m > near(-1, 0)) & (m >= near(1, 0)))
-        .when(falling, (m > near(-1, 1)) & (m > near(1, -1)))
-        .otherwise((m > near(-1, -1)) & (m > near(1, 1)))
+        "g",
+        F.lag("m", 1).over(window).alias("up"),
+        "m",
+        F.lead("m", 1).over(window).alias("down"),
+    )
+    cells = near.select(key, "y", "up", "m", "down", F.posexplode("g").alias("x", "c")).selectExpr(
+        key, "y", "x", "c.gx", "c.gy", "up", "m", "down", "get(m, x) AS magnitude"
     )
-    return table.select(key, "y", "x", "gx", "gy", "magnitude", thinned.alias("thinned"))
+
+    def beside(line: str, step: int) -> str:
+        return f"coalesce(get({line}, x + {step}), 0)"
+
+    def peak(before: str, after: str, ties: bool = False) -> str:
+        return f"magnitude > {before} AND magnitude {'>=' if ties else '>'} {after}"
+
+    steep, shallow = f"abs(gy) * {1 << SECTOR_SHIFT}L", f"abs(gx) * {TAN_SECTOR}L"
+    thinned = f"""CASE
+        WHEN {steep} < {shallow} THEN {peak(beside('m', -1), beside('m', 1), ties=True)}
+        WHEN {steep} > {shallow} + abs(gx) * {1 << (SECTOR_SHIFT + 1)}L THEN {peak(beside('up', 0), beside('down', 0), ties=True)}
+        WHEN (gx < 0) <> (gy < 0) THEN {peak(beside('up', 1), beside('down', -1))}
+        ELSE {peak(beside('up', -1), beside('down', 1))} END"""
+    return cells.selectExpr(key, "y", "x", "gx", "gy", "magnitude", f"{thinned} AS thinned")
 
 
 def edge_candidates(pixels: DataFrame, key: str = KEY, low: int = EDGE_LOW, high: int = EDGE_HIGH) -> DataFrame:
@@ -102,15 +84,16 @@ def edge_candidates(pixels: DataFrame, key: str = KEY, low: int = EDGE_LOW, high
     )
 
 
-def _link(group: pd.DataFrame, key: str) -> pd.DataFrame:
+def _link(group: pa.Table) -> pa.Table:
     """Keep weak pixels that touch a strong one, directly or through other weak pixels (8 neighbours)."""
+    if group.num_rows > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} edge candidates in one image; resample the images first")
     ys, xs = group["y"].to_numpy() + 1, group["x"].to_numpy() + 1
+    strong = group["strong"].to_numpy()
     shape = (int(ys.max()) + 2, int(xs.max()) + 2)
-    if len(group) > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} edge candidates in one image; resample the images first")
     candidate, linked = np.zeros(shape, bool), np.zeros(shape, bool)
     candidate[ys, xs] = True
-    linked[ys, xs] = group["strong"].to_numpy()
+    linked[ys, xs] = strong
     kept = -1
     while kept != (kept := int(linked.sum())):
         rows = linked.copy()
@@ -120,8 +103,7 @@ def _link(group: pd.DataFrame, key: str) -> pd.DataFrame:
         wide[:, 1:] |= rows[:, :-1]
         wide[:, :-1] |= rows[:, 1:]
         linked = wide & candidate
-    found = linked[ys, xs]
-    return group.loc[found, [key, "y", "x"]]
+    return group.filter(pa.array(linked[ys, xs])).drop_columns("strong")
 
 
 def edge_pixels(pixels: DataFrame, key: str = KEY, low: int = EDGE_LOW, high: int = EDGE_HIGH) -> DataFrame:
@@ -132,7 +114,7 @@ def edge_pixels(pixels: DataFrame, key: str = KEY, low: int = EDGE_LOW, high: in
     """
     found = edge_candidates(pixels, key, low, high)
     schema = found.select(key, "y", "x").schema
-    return found.groupBy(key).applyInPandas(lambda group: _link(group, key), schema)
+    return found.groupBy(key).applyInArrow(_link, schema)
 
 
 def edge_density(pixels: DataFrame, key: str = KEY, low: int = EDGE_LOW, high: int = EDGE_HIGH) -> DataFrame:

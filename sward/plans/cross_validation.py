@@ -33,8 +33,7 @@ def ridge_oof(
     """Long out-of-fold predictions of one-feature ridge models, for all configurations at once.
 
     ``features`` maps feature-set names to columns, ``models`` model names to penalties. The rows are scanned once for
-    the fits (eager, a few numbers per fold) and once for scoring (lazy), so pass a stored feature table. Each row's
-    predictions are cells of one array that is unfolded at the end.
+    the fits (eager, a few numbers per fold) and once for scoring (lazy), so pass a stored feature table. 
     """
     models = models or {"Ridge": RIDGE_ALPHA}
     fits = single_feature_fits(df, list(features.values()), list(models.values()), targets, folds)
@@ -51,15 +50,42 @@ def ridge_oof(
     slopes, intercepts = fitted("slope"), fitted("intercept")
     per_fold = held(fits.groupBy(FOLD).agg(slopes.alias("_slopes"), intercepts.alias("_intercepts")), what="fold fits")
 
-    cells = []
-    for i, (model, _, name, column, target) in enumerate(plan):
-        value = f"_slopes[{i}] * `{column}` + _intercepts[{i}]"
-        pred = f"CASE WHEN {value} < 0 THEN 0D ELSE {value} END" if clip else value
-        cells.append(
-            f"struct('{model}' AS model, '{name}' AS feature_set, '{target}' AS target, double(`{target}`) AS y, {pred} AS pred)"
+    # The position in the plan is unfolded as a plain number; names and inputs follow from it inside the same stage.
+    target_at, feature_at = f"i % {len(targets)}", f"i div {len(targets)} % {len(features)}"
+
+    def pick(position: str, columns: Sequence[str]) -> str:
+        cases = " ".join(f"WHEN {j} THEN double(`{c}`)" for j, c in enumerate(columns))
+        return f"CASE {position} {cases} END"
+
+    def names(values: Sequence[str]) -> str:
+        return "array(" + ", ".join(f"'{v}'" for v in values) + ")[i]"
+
+    value = "_slopes[i] * x + _intercepts[i]"
+    return (
+        df.join(per_fold, on=FOLD)
+        .withColumn("i", F.expr(f"explode(sequence(0, {len(plan) - 1}))"))
+        .selectExpr(
+            f"{names([m for m, *_ in plan])} AS model",
+            f"{names([n for _, _, n, *_ in plan])} AS feature_set",
+            FOLD,
+            key,
+            f"{names([t for *_, t in plan])} AS target",
+            f"{pick(target_at, targets)} AS y",
+            f"{pick(feature_at, list(features.values()))} AS x",
+            "i",
+            "_slopes",
+            "_intercepts",
+        )
+        .selectExpr(
+            "model",
+            "feature_set",
+            FOLD,
+            key,
+            "target",
+            "y",
+            f"CASE WHEN {value} < 0 THEN 0D ELSE {value} END AS pred" if clip else f"{value} AS pred",
         )
-    scored = df.join(per_fold, on=FOLD)
-    return scored.select(key, FOLD, F.expr(f"inline(array({', '.join(cells)}))")).select("model", "feature_set", FOLD, key, "target", "y", "pred")
+    )
 
 
 def fit_folds(
