@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sward.constants import EDGE_HIGH, EDGE_LOW, IMAGE_SIDE, KEY
 from sward.operators.pixels import grey_scanlines
@@ -118,9 +119,15 @@ def edge_pixels(pixels: DataFrame, key: str = KEY, low: int = EDGE_LOW, high: in
 
 
 def edge_density(pixels: DataFrame, key: str = KEY, low: int = EDGE_LOW, high: int = EDGE_HIGH) -> DataFrame:
-    """Share of an image's pixels that lie on an edge."""
+    """Share of an image's pixels that lie on an edge. Edges are counted where they are linked, one row per image."""
+    found = edge_candidates(pixels, key, low, high)
+
+    def count(group: pa.Table) -> pa.Table:
+        return group.slice(0, 1).select([key]).append_column("edges", pa.array([_link(group).num_rows], pa.int64()))
+
+    schema = T.StructType([found.schema[key], T.StructField("edges", T.LongType())])
+    edges = found.groupBy(key).applyInArrow(count, schema)
     sizes = pixels.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    edges = edge_pixels(pixels, key, low, high).groupBy(key).agg(F.count(F.lit(1)).alias("edges"))
     return sizes.join(edges, on=key, how="left").select(
         key, (F.coalesce(F.col("edges"), F.lit(0)) / F.col("n")).alias("edge_density")
     )

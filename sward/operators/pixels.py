@@ -63,27 +63,17 @@ def resample_area(
     return spread.groupBy(key, F.col("cy.cell").alias("y"), F.col("cx.cell").alias("x")).agg(*[mean(b) for b in bands])
 
 
-def _moments(band: str, name: str) -> list[Column]:
-    value = F.col(band).cast("double")
+def _moments(band: str, name: str) -> list[str]:
     # Medians buffer distinct values only: at most 256 levels per channel, whatever the number of pixels.
-    return [
-        F.avg(value).alias(f"{name}_mean"),
-        F.stddev_pop(value).alias(f"{name}_std"),
-        F.median(value).alias(f"{name}_median"),
-    ]
+    return [f"avg({band}) AS {name}_mean", f"stddev_pop({band}) AS {name}_std", f"median({band}) AS {name}_median"]
 
 
-def _masked_mean(mask: str, band: str, name: str) -> Column:
-    return F.coalesce(F.avg(F.when(F.col(mask), F.col(band).cast("double"))), F.lit(0.0)).alias(name)
+def _masked_mean(mask: str, band: str, name: str) -> str:
+    return f"coalesce(avg({band}) FILTER (WHERE {mask}), 0D) AS {name}"
 
 
-def _histogram(band: str, bins: int) -> list[Column]:
-    low, high = HIST_RANGE[band]
-    # width_bucket numbers from 1 and puts the upper bound into an extra bucket; the last bin is closed.
-    index = F.least(F.width_bucket(band, F.lit(float(low)), F.lit(float(high)), F.lit(bins)), F.lit(bins))
-    return [
-        (F.count_if(index == i + 1) / F.count(F.lit(1))).alias(padded_name(f"hist_{band}_", i, 2)) for i in range(bins)
-    ]
+def _histogram(band: str, bins: int) -> list[str]:
+    return [f"count_if({band}_bin = {i + 1}) / count(1) AS {padded_name(f'hist_{band}_', i, 2)}" for i in range(bins)]
 
 
 def colour_features(
@@ -96,24 +86,23 @@ def colour_features(
     banded = with_colour_bands(pixels)
     if threshold != EXG_THRESHOLD:
         banded = banded.withColumn("vegetation", vegetation_mask("exg", threshold))
+    # width_bucket numbers from 1 and puts the upper bound into an extra bucket; the last bin is closed.
+    placed = [
+        f"least(width_bucket({b}, {float(low)}D, {float(high)}D, {bins}), {bins}) AS {b}_bin" for b, (low, high) in HIST_RANGE.items()
+    ]
+    banded = banded.selectExpr(key, *"rgbhsv", "exg", "vegetation", "brown", *placed)
     columns = [c for band in "rgb" for c in _moments(band, f"rgb_{band}")]
     columns += [c for band in "hsv" for c in _moments(band, f"hsv_{band}")]
     # Excess green depends on g and r+g+b only, which bounds its distinct values per image, hence the median's buffer.
-    columns += [
-        F.avg("exg").alias("exg_mean"),
-        F.stddev_pop("exg").alias("exg_std"),
-        F.median("exg").alias("exg_median"),
-        F.min("exg").alias("exg_min"),
-        F.max("exg").alias("exg_max"),
-    ]
-    columns.append(F.avg(F.col("vegetation").cast("double")).alias("vegetation_coverage_ratio"))
+    columns += [*_moments("exg", "exg"), "min(exg) AS exg_min", "max(exg) AS exg_max"]
+    columns.append("avg(double(vegetation)) AS vegetation_coverage_ratio")
     columns += [_masked_mean("vegetation", band, f"vegetation_rgb_{band}_mean") for band in "rgb"]
     columns += [_masked_mean("vegetation", band, f"vegetation_{band}_mean") for band in "hsv"]
-    columns.append(F.avg(F.col("brown").cast("double")).alias("brown_coverage_ratio"))
+    columns.append("avg(double(brown)) AS brown_coverage_ratio")
     columns += [_masked_mean("brown", band, f"brown_rgb_{band}_mean") for band in "rgb"]
     for band in "hsv":
         columns += _histogram(band, bins)
-    return banded.groupBy(key).agg(*columns)
+    return banded.groupBy(key).agg(*[F.expr(c) for c in columns])
 
 
 def colour_feature_names(bins: int = HIST_BINS) -> list[str]:
@@ -235,14 +224,15 @@ def visual_features(pixels: DataFrame, key: str = KEY) -> DataFrame:
 
     Three aggregates over the pixels, joined on the image: what is joined has one row per image.
     """
-    from sward.functions.scalars import is_finite
     from sward.operators.edges import edge_density
 
     images = colour_features(pixels, key)
     table = images.join(texture_features(pixels, key), on=key, how="left").join(edge_density(pixels, key), on=key, how="left")
-
-    def checked(name: str) -> Column:
-        problem = F.concat(F.lit(f"{name} is not finite for "), F.col(key).cast("string"))
-        return F.when(is_finite(name), F.col(name)).otherwise(F.raise_error(problem).cast("double")).alias(name)
-
-    return table.select(key, *[checked(c) for c in visual_feature_names()])
+    return table.selectExpr(
+        key,
+        *[
+            f"""CASE WHEN {c} IS NOT NULL AND NOT isnan({c}) AND abs({c}) <> double('infinity') THEN {c}
+                ELSE double(raise_error(concat('{c} is not finite for ', string({key})))) END AS {c}"""
+            for c in visual_feature_names()
+        ],
+    )
