@@ -51,7 +51,7 @@ def _colour(spark, folder, *names: str):
         CAST(round_even(avg(g), 0) AS INTEGER) AS g, CAST(round_even(avg(b), 0) AS INTEGER) AS b FROM pixels GROUP BY 1, 2, 3"""),
 )
 def j1_half_size(spark, folder):
-    return pixels.resample_area(views.pixels(spark, folder), 4, 4).select(KEY, F.col("y").cast("int"), F.col("x").cast("int"), "r", "g", "b")
+    return pixels.resample_area(views.pixels(spark, folder), 4, 4, source=(8, 8)).select(KEY, F.col("y").cast("int"), F.col("x").cast("int"), "r", "g", "b")
 
 
 def _covered(axis: str, cell: str, cells: int) -> str:

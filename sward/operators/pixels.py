@@ -28,31 +28,30 @@ def resample_area(
     bands: Sequence[str] = ("r", "g", "b"),
     key: str = KEY,
     whole: bool = True,
+    source: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Shrink every image to ``width x height`` by averaging over covered areas.
 
     Works for fractional factors: a source pixel is shared among the target cells it overlaps, weighted by the
-    overlap. Image sizes come from the pixels. With ``whole`` the averages are rounded back to 8-bit levels.
+    overlap, and the shares combine before the shuffle. With ``source`` as the common (width, height) of all images
+    nothing is joined; otherwise each image's size is found first and joined by key, where AQE splits a hot image.
+    With ``whole`` the averages are rounded back to 8-bit levels.
     """
-    sizes = pixels.groupBy(key).agg((F.max("x") + 1).alias("w"), (F.max("y") + 1).alias("h"))
-
-    def cells(position: Column, source: Column, target: int) -> Column:
-        scale = F.lit(float(target)) / source
-        first = F.floor(position * scale).cast("int")
-        last = F.least(F.ceil((position + 1) * scale).cast("int") - 1, F.lit(target - 1))
-
-        def overlap(cell: Column) -> Column:
-            return F.struct(
-                cell.alias("cell"),
-                (F.least((position + 1) * scale, cell + 1.0) - F.greatest(position * scale, cell * F.lit(1.0))).alias("weight"),
-            )
-
-        return F.filter(F.transform(F.sequence(first, last), overlap), lambda c: c["weight"] > 1e-9)
+    if source:
+        sized = pixels.withColumns({"w": F.lit(source[0]), "h": F.lit(source[1])})
+    else:
+        sized = pixels.join(pixels.groupBy(key).agg((F.max("x") + 1).alias("w"), (F.max("y") + 1).alias("h")), on=key)
+
+    def cells(position: str, size: str, target: int) -> Column:
+        scale = f"({float(target)}D / {size})"
+        first, last = f"int(floor({position} * {scale}))", f"int(least(ceil(({position} + 1) * {scale}) - 1, {target - 1}))"
+        overlap = f"least(({position} + 1) * {scale}, c + 1D) - greatest({position} * {scale}, double(c))"
+        shares = f"transform(sequence({first}, {last}), c -> struct(c AS cell, {overlap} AS weight))"
+        return F.expr(f"explode(filter({shares}, s -> s.weight > 1e-9))")
 
     spread = (
-        pixels.join(sizes, on=key)
-        .withColumn("cx", F.explode(cells(F.col("x"), F.col("w"), width)))
-        .withColumn("cy", F.explode(cells(F.col("y"), F.col("h"), height)))
+        sized.withColumn("cx", cells("x", "w", width))
+        .withColumn("cy", cells("y", "h", height))
         .withColumn("weight", F.col("cx.weight") * F.col("cy.weight"))
     )
 

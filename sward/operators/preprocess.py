@@ -36,12 +36,13 @@ def list_folds(df: DataFrame, fold: str = FOLD) -> list[int]:
 
 def vocabularies(df: DataFrame, columns: Sequence[str] = CATEGORICAL_METADATA) -> DataFrame:
     """``(column, vocabulary)``: sorted distinct non-null categories over all rows, as arrays."""
-    long = df.unpivot([], list(columns), "column", "category").where("category IS NOT NULL")
-    return (
-        long.groupBy("column", "category")
-        .agg(F.lit(1).alias("seen"))
-        .groupBy("column")
-        .agg(F.array_sort(F.collect_list("category")).alias("vocabulary"))
+    pairs = df.unpivot([], list(columns), "column", "category").where("category IS NOT NULL").distinct()
+    # The limit keeps a runaway column from filling a task; it can only be reached when the check below fails.
+    bounded = pairs.limit(MAX_VOCABULARY * len(columns) + 1)
+    words = F.array_sort(F.collect_list("category"))
+    too_many = F.raise_error(F.concat("column", F.lit(f" has more than {MAX_VOCABULARY} categories"))).cast("array<string>")
+    return bounded.groupBy("column").agg(
+        F.when(F.count(F.lit(1)) > MAX_VOCABULARY, too_many).otherwise(words).alias("vocabulary")
     )
 
 

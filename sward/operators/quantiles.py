@@ -34,16 +34,22 @@ def exact_quantiles(
     """
     groups = list(groups)
     values = df.select(*groups, F.col(value).cast("double").alias("v")).where(~is_missing("v"))
-    margin = 4.0 / accuracy
-    lows = F.percentile_approx("v", F.array(*[F.lit(max(p - margin, 0.0)) for p in probs]), accuracy)
-    highs = F.percentile_approx("v", F.array(*[F.lit(min(p + margin, 1.0)) for p in probs]), accuracy)
+    # The sketch is off by at most 1 / accuracy of the rows, and by a rank or two from rounding. So each group takes the
+    # narrowest of a few margins that is at least three ranks wider than the error, and its whole range if none is.
+    margins = [4.0 / accuracy * 10**i for i in range(4)]
+    rows = F.count(F.lit(1))
+
+    def bound(p: float, sign: int):
+        shares = [min(max(p + sign * m, 0.0), 1.0) for m in margins]
+        sketch = F.percentile_approx("v", F.array(*[F.lit(share) for share in shares]), accuracy)
+        value = F.min("v") if sign < 0 else F.max("v")
+        for i in reversed(range(len(margins))):
+            enough = (margins[i] - 1.0 / accuracy) * rows >= 3.0
+            value = F.when(enough & F.lit(0.0 < shares[i] < 1.0), sketch[i]).otherwise(value)
+        return value
+
     cells = [
-        F.struct(
-            F.lit(float(p)).alias("prob"),
-            (F.min("v") if p - margin <= 0.0 else lows[i]).alias("lo"),
-            (F.max("v") if p + margin >= 1.0 else highs[i]).alias("hi"),
-        )
-        for i, p in enumerate(probs)
+        F.struct(F.lit(float(p)).alias("prob"), bound(p, -1).alias("lo"), bound(p, 1).alias("hi")) for p in probs
     ]
     # One row per group and few groups by contract. A shuffle on the group would put a hot group into one task.
     brackets = held(values.groupBy(*groups).agg(F.array(*cells).alias("brackets")), what="quantile groups")
