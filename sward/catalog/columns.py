@@ -121,19 +121,14 @@ def b5_feature_matrix(spark, folder):
         FROM folds, modelling GROUP BY k"""),
 )
 def b8_fold_split(spark, folder):
-    table = base.design(spark, folder)
-
-    def side(k: int, rows, name: str):
-        return rows.agg(F.count(F.lit(1)).alias(f"{name}_rows"), F.avg("Dry_Total_g").alias(f"{name}_mean")).withColumn("k", F.lit(k))
-
-    parts = [
-        side(k, features.training_rows(table, k), "train").join(side(k, features.validation_rows(table, k), "validation"), on="k")
+    """Training and validation side of every fold from one pass; model fits use the same predicates as row filters."""
+    sides = [
+        f"""struct({k} AS k, count_if(fold <> {k}) AS train_rows, count_if(fold = {k}) AS validation_rows,
+            avg(Dry_Total_g) FILTER (WHERE fold <> {k}) AS train_mean, avg(Dry_Total_g) FILTER (WHERE fold = {k}) AS validation_mean)"""
         for k in range(5)
     ]
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part)
-    return base.rounded(united)
+    split = base.design(spark, folder).agg(F.expr(f"array({', '.join(sides)})").alias("sides"))
+    return base.rounded(split.select(F.inline("sides")))
 
 
 @query("b9_filters", sql("SELECT token, State, Species, Dry_Total_g FROM monitor WHERE State = 'click'"))

@@ -30,13 +30,13 @@ def a2_image_files(spark, folder):
     path = work_path(spark, "image-folders")
     views.embeddings(spark, folder).write.mode("overwrite").partitionBy("label").parquet(path)
     found = tables.image_files(spark, path, "*.parquet").select(F.regexp_extract(KEY, "(label=[^/]+)/", 1).alias("folder"))
-    labels = views.embeddings(spark, folder).select(F.concat(F.lit("label="), "label").alias("folder")).distinct()
-    expected = labels.unionByName(labels.limit(1).select(F.lit("label=none").alias("folder")))
+    # Every label's folder is expected, and one more that nobody wrote.
+    names = F.explode(F.array(F.concat(F.lit("label="), "label"), F.lit("label=none")))
+    expected = views.embeddings(spark, folder).select(names.alias("folder")).distinct()
     missing = joins.missing_rows(expected, found, ["folder"]).withColumn("missing", F.lit(True))
-    return expected.join(missing, on="folder", how="left").select(
-        "folder",
-        F.col("missing").isNull().alias("present"),
-        F.when(F.col("missing"), "missing").otherwise("ok").alias("note"),
+    present = joins.available_rows(expected, found, ["folder"], "folder").withColumn("missing", F.lit(False))
+    return present.unionByName(missing).select(
+        "folder", (~F.col("missing")).alias("present"), F.when(F.col("missing"), "missing").otherwise("ok").alias("note")
     )
 
 
