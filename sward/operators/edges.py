@@ -127,7 +127,7 @@ def edge_density(pixels: DataFrame, key: str = KEY, low: int = EDGE_LOW, high: i
 
     schema = T.StructType([found.schema[key], T.StructField("edges", T.LongType())])
     edges = found.groupBy(key).applyInArrow(count, schema)
-    sizes = pixels.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    sizes = grey_scanlines(pixels, key).groupBy(key).agg(F.sum(F.size("line")).alias("n"))
     return sizes.join(edges, on=key, how="left").select(
         key, (F.coalesce(F.col("edges"), F.lit(0)) / F.col("n")).alias("edge_density")
     )

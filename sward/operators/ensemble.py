@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from sward.constants import BLEND_STEPS, KEY, PARITY_ATOL, PARITY_RTOL
 from sward.functions.scalars import clip_lower, even_grid, is_missing
-from sward.operators.joins import align
 
 
 def fold_mean(predictions: DataFrame, key: str = KEY) -> DataFrame:
@@ -26,12 +25,20 @@ def fold_mean(predictions: DataFrame, key: str = KEY) -> DataFrame:
     )
 
 
-def paired(first: DataFrame, second: DataFrame, key: str = KEY, check: bool = True) -> DataFrame:
-    """``(key, target, y, a, b)`` from two long prediction tables over the same keys."""
-    left = first.select(key, "target", "y", F.col("pred").alias("a"))
-    right = second.select(key, "target", F.col("pred").alias("b"))
-    keys = [key, "target"]
-    return align(left, right, keys) if check else left.join(right, on=keys)
+def paired(first: DataFrame, second: DataFrame, key: str = KEY) -> DataFrame:
+    """``(key, target, y, a, b)`` from two long prediction tables, which must cover the same keys once each.
+
+    Both tables meet in one counted union: one shuffle that also finds missing and repeated keys, which are errors.
+    """
+    nothing = F.lit(None).cast("double")
+    left = first.select(key, "target", F.col("y").alias("y"), F.col("pred").alias("a"), nothing.alias("b"), F.lit(1).alias("l"), F.lit(0).alias("r"))
+    right = second.select(key, "target", nothing.alias("y"), nothing.alias("a"), F.col("pred").alias("b"), F.lit(0).alias("l"), F.lit(1).alias("r"))
+    matched = left.unionByName(right).groupBy(key, "target").agg(
+        F.max("y").alias("y"), F.max("a").alias("a"), F.max("b").alias("b"), F.sum("l").alias("l"), F.sum("r").alias("r")
+    )
+    problem = F.concat(F.lit("predictions do not align at "), F.col(key).cast("string"), F.lit(" / "), F.col("target"))
+    once = F.when((F.col("l") == 1) & (F.col("r") == 1), F.col("a")).otherwise(F.raise_error(problem).cast("double"))
+    return matched.select(key, "target", "y", once.alias("a"), "b")
 
 
 def with_weight_grid(df: DataFrame, steps: int = BLEND_STEPS) -> DataFrame:

@@ -188,8 +188,10 @@ def texture_features(
     The symmetric normalised matrix is never built: pairs are counted unordered, and every property is a sum over those
     counts (at most ``levels * (levels + 1) / 2`` per image and offset).
     """
-    lines = scanlines(pixels, truncated_level(grey8(), levels), key)
-    pairs = neighbour_pairs(lines, glcm_offsets(distances, angles), key)
+    # Grey values become levels only here, so that edges read the very same scanlines and Spark shuffles them once.
+    pairs = neighbour_pairs(grey_scanlines(pixels, key), glcm_offsets(distances, angles), key).select(
+        key, "offset", truncated_level("a", levels).alias("a"), truncated_level("b", levels).alias("b")
+    )
     counts = pairs.groupBy(key, "offset", F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")).agg(
         F.count(F.lit(1)).cast("double").alias("n")
     )
@@ -221,7 +223,7 @@ def texture_features(
 def visual_features(pixels: DataFrame, key: str = KEY) -> DataFrame:
     """All 88 visual features per image, in canonical order; a missing or infinite value is an error.
 
-    Three aggregates over the pixels, joined on the image: what is joined has one row per image.
+    One aggregate over the pixels, and texture and edges over one set of scanlines. What is joined has one row per image.
     """
     from sward.operators.edges import edge_density
 

@@ -106,31 +106,24 @@ def histogram(df: DataFrame, value: str, bins: int = 40) -> DataFrame:
     """
     v = F.col(value).cast("double")
     values = df.select(v.alias("v")).where(~is_missing("v") & ~is_infinite("v"))
-    bounds = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("bounds")).scalar()
-    # As with the usual library histogram, a single value gets a bin range of width one around it.
-    flat = F.col("hi") == F.col("lo")
-    lo, hi = F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")), F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi"))
-    placed = values.withColumn("bounds", bounds).select("v", "bounds.lo", "bounds.hi").select("v", lo.alias("lo"), hi.alias("hi"))
-    counted = (
-        placed.select(
-            F.least(F.width_bucket("v", "lo", "hi", F.lit(bins)), F.lit(bins)).cast("int").alias("bin"), "lo", "hi"
-        )
-        .groupBy("bin", "lo", "hi")
-        .agg(F.count(F.lit(1)).alias("n"))
+    # As with the usual library histogram, a single value gets a range of width one around it.
+    flat = F.min("v") == F.max("v")
+    edges = F.struct(
+        F.when(flat, F.min("v") - 0.5).otherwise(F.min("v")).alias("lo"),
+        F.when(flat, F.max("v") + 0.5).otherwise(F.max("v")).alias("hi"),
     )
-    # Every row carries the same bounds, so the empty bins come from a copy of the counts with n = 0.
+    bounds = values.agg(edges.alias("bounds"))
+    placed = values.select("v", bounds.scalar().alias("at"))
+    counted = placed.groupBy(
+        F.least(F.width_bucket("v", "at.lo", "at.hi", F.lit(bins)), F.lit(bins)).cast("int").alias("bin")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    frame = bounds.select("bounds.*", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")).where("lo IS NOT NULL")
     width = (F.col("hi") - F.col("lo")) / bins
-    frame = counted.select("lo", "hi").distinct().select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "lo", "hi", F.lit(0).cast("bigint").alias("n"))
-    return (
-        counted.select("bin", "lo", "hi", "n").unionByName(frame)
-        .groupBy("bin", "lo", "hi")
-        .agg(F.sum("n").alias("n"))
-        .select(
-            "bin",
-            (F.col("lo") + (F.col("bin") - 1) * width).alias("lower"),
-            (F.col("lo") + F.col("bin") * width).alias("upper"),
-            "n",
-        )
+    return frame.join(counted, on="bin", how="left").select(
+        "bin",
+        (F.col("lo") + (F.col("bin") - 1) * width).alias("lower"),
+        (F.col("lo") + F.col("bin") * width).alias("upper"),
+        F.coalesce("n", F.lit(0)).alias("n"),
     )
 
 

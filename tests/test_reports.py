@@ -157,6 +157,16 @@ def test_fold_mean_clips_before_and_refuses_gaps(spark):
         ensemble.fold_mean(gap).collect()
 
 
+def test_pairs_must_align(spark):
+    schema = "image_path string, target string, y double, pred double"
+    first = spark.createDataFrame([("a", "t", 1.0, 2.0), ("b", "t", 3.0, 4.0)], schema)
+    second = spark.createDataFrame([("b", "t", 3.0, 5.0), ("a", "t", 1.0, 6.0)], schema)
+    assert [(r["y"], r["a"], r["b"]) for r in rows(ensemble.paired(first, second), "image_path")] == [(1.0, 2.0, 6.0), (3.0, 4.0, 5.0)]
+    for other in (second.limit(1), second.unionByName(second.limit(1))):
+        with pytest.raises(Exception, match="do not align"):
+            ensemble.paired(first, other).collect()
+
+
 def test_parity_tolerance(spark):
     df = spark.createDataFrame([(1.0, 1.0), (100.0, 100.0009)], "a double, b double")
     assert rows(ensemble.parity(df))[0]["within_tolerance"] is True
