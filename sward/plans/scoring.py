@@ -103,50 +103,39 @@ def fold_vectors(
     return df.select(*keep, *[vector(int(k)) for k in folds])
 
 
-def linear_models(fits: DataFrame, parameters: DataFrame, fold: str = FOLD) -> Column:
-    """Fitted one-feature ridge models of all folds as one array constant ``(feature, target, folds)``.
+LinearModels = dict[tuple[str, str], list[dict[str, float]]]
+
+
+def linear_models(fits: DataFrame, parameters: DataFrame, fold: str = FOLD) -> LinearModels:
+    """Fitted one-feature ridge models: per feature and target the numbers of every fold.
 
     ``fits`` has ``(fold, feature, target, slope, intercept)`` and ``parameters`` ``(fold, column, median, mean, std)``.
-    Eager; a few numbers per fold and target are fetched.
+    Eager; a few numbers per fold and target are fetched, with a checked limit.
     """
     numbers = parameters.select(fold, F.col("column").alias("feature"), "median", "mean", "std")
     rows = held(fits.join(numbers, on=[fold, "feature"]), what="linear models").collect()
-    grouped: dict[tuple[str, str], list[Column]] = {}
+    models: LinearModels = {}
     for row in sorted(rows, key=lambda row: (row["feature"], row["target"], row[fold])):
-        numbers_of = [F.lit(row[c]).alias(c) for c in ("slope", "intercept", "median", "mean", "std")]
-        grouped.setdefault((row["feature"], row["target"]), []).append(F.struct(*numbers_of))
-    return F.array(
-        *[
-            F.struct(F.lit(feature).alias("feature"), F.lit(target).alias("target"), F.array(*fitted).alias("folds"))
-            for (feature, target), fitted in grouped.items()
-        ]
-    )
+        fitted = {name: float(row[name]) for name in ("slope", "intercept", "median", "mean", "std")}
+        models.setdefault((row["feature"], row["target"]), []).append(fitted)
+    return models
 
 
-def score_with(df: DataFrame, models: Column, key: str = KEY, features: Sequence[str] | None = None) -> DataFrame:
+def score_with(df: DataFrame, models: LinearModels, key: str = KEY) -> DataFrame:
     """New rows through every fold's imputation, scaling and fit; mean over folds of the clipped predictions.
 
-    ``models`` comes from ``linear_models``. Scoring is a projection: no join and no shuffle of the rows, in batch and
-    on a stream.
+    Gives ``(key, feature, target, pred)``. The fitted numbers are constants of one projection, so there is no join and
+    no shuffle of the rows, in batch and on a stream.
     """
-    features = list(features or [c for c in df.columns if c != key])
-    values = F.create_map(*[part for c in features for part in (F.lit(c), F.col(c).cast("double"))])
-
-    def predict(model: Column) -> Column:
-        raw = F.element_at(F.col("_values"), model["feature"])
-
-        def one(fit: Column) -> Column:
-            filled = F.when(raw.isNull() | F.isnan(raw), fit["median"]).otherwise(raw)
-            value = fit["slope"] * (filled - fit["mean"]) / fit["std"] + fit["intercept"]
-            return F.when(value < 0, F.lit(0.0)).otherwise(value)
-
-        total = F.aggregate(model["folds"], F.lit(0.0), lambda acc, fit: acc + one(fit))
-        return F.struct(
-            model["feature"].alias("feature"), model["target"].alias("target"), (total / F.size(model["folds"])).alias("pred")
-        )
-
-    return (
-        df.withColumn("_values", values)
-        .withColumn("_models", models)
-        .select(key, F.inline(F.transform("_models", predict)))
-    )
+
+    def of_fold(feature: str, m: dict[str, float]) -> str:
+        x = f"double(`{feature}`)"
+        filled = f"CASE WHEN {x} IS NULL OR isnan({x}) THEN {m['median']!r}D ELSE {x} END"
+        value = f"{m['slope']!r}D * ({filled} - {m['mean']!r}D) / {m['std']!r}D + {m['intercept']!r}D"
+        return f"CASE WHEN {value} < 0 THEN 0D ELSE {value} END"
+
+    cells = []
+    for (feature, target), fitted in models.items():
+        total = " + ".join(f"({of_fold(feature, m)})" for m in fitted)
+        cells.append(f"struct('{feature}' AS feature, '{target}' AS target, ({total}) / {len(fitted)} AS pred)")
+    return df.select(key, F.expr(f"inline(array({', '.join(cells)}))"))
