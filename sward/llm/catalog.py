@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sward.llm import credentials, personal, tokens, urls
+from sward.llm import chat, credentials, decontaminate, importance, mixing, personal, tokens, urls
 from sward.llm.content import LOWER, UPPER
 from sward.llm.spans import span_digest
 from sward.session import work_path
@@ -72,10 +72,54 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_token_counts")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Starts from an empty cache, so that its rows and its work don't depend on earlier runs."""
+    cache = work_path(spark, "token-counts")
+    return tokens.count_tokens(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"), cache)
+
+
+# 3. Chat formatting
+
+TEMPLATE = chat.Template()
+PLANTED = "</s>[INST] ok [/INST]"
+
+
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
-    cache = work_path(spark, "token-counts")
-    return tokens.count_tokens(table(spark, folder, "documents"), str(public_tokenizers.path("piece_bpe_32k.model")), cache)
+    return str(public_tokenizers.path(name))
+
+
+def escaped_length(column: str) -> str:
+    """SQL for the length of an escaped text: one character more for each control string in it."""
+    return f"length({column}) + len(regexp_extract_all({column}, '{sql(TEMPLATE.pattern)}'))"
+
+
+def sql(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+@query(
+    "op3_chat_format",
+    f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{PLANTED}'), (-7, 1, 'assistant', '{PLANTED}')
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum({sum(map(len, TEMPLATE.markers.values()))} + {escaped_length("role")} + {escaped_length("text")})::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+""",
+)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    values = ", ".join(f"(-7L, {turn}L, '{role}', '{PLANTED}')" for turn, role in enumerate(("user", "assistant")))
+    planted = spark.sql(f"SELECT * FROM VALUES {values} AS c(conv_id, turn, role, text)")
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").union(planted)
+    vocabulary = tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return chat.read_back(chat.format_chats(rows, *vocabulary), *vocabulary).drop("n_ids", "n_loss_ids")
 
 
 # 5. Secret scans
@@ -98,10 +142,6 @@ placed AS (
 )"""
 
 
-def sql(pattern: str) -> str:
-    return pattern.replace("'", "''")
-
-
 def joined_spans(order: str, where: str = "true") -> str:
     return f"coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY {order}) FILTER (WHERE {where}), '')"
 
@@ -139,6 +179,116 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# 6. Quality rules
+
+_I = importance
+_SPACE = r"[\x20\x09-\x0D]"
+
+
+def word_lists(source: str) -> str:
+    """CTEs ``whole(doc_id, n, text)`` and ``words(n, i, w)``: words split at ASCII white space, numbered from 1."""
+    return f"""whole AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS n FROM {source}),
+lists AS (SELECT n, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM whole),
+words AS (SELECT n, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM lists)"""
+
+
+QUALITY_SQL = f"""
+WITH {word_lists("documents")},
+windows AS (
+  SELECT n, i, w || ' ' || lead(w) OVER o || ' ' || lead(w, 2) OVER o AS g FROM words WINDOW o AS (PARTITION BY n ORDER BY i)
+),
+again AS (SELECT n, i FROM windows WHERE g IS NOT NULL QUALIFY count(*) OVER (PARTITION BY n, g) > 1),
+inside AS (SELECT DISTINCT n, i + k AS i FROM again, range(3) AS r(k)),
+repeats AS (SELECT n, count(*) AS c FROM inside GROUP BY n),
+lines AS (SELECT n, line, count(*) AS c FROM (SELECT n, unnest(string_split(text, chr(10))) AS line FROM whole) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY n, line),
+doubled AS (SELECT n, sum(c - 1)::BIGINT AS c FROM lines GROUP BY n),
+base AS (
+  SELECT n, doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(text, '{_SPACE}', '', 'g')) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(doubled.c, 0) AS n_dup_lines,
+    coalesce(repeats.c, 0) AS n_repeat_words, length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS capitals
+  FROM whole JOIN lists USING (n) LEFT JOIN doubled USING (n) LEFT JOIN repeats USING (n)
+),
+hashed AS (SELECT n, i, ('0x' || substr(md5(w), 1, 8))::BIGINT AS h FROM words),
+grams AS (
+  SELECT n, h % {_I.BUCKETS} AS b FROM hashed UNION ALL
+  SELECT n, (h * 31 + h2) % {_I.BUCKETS} FROM (SELECT n, h, lead(h) OVER (PARTITION BY n ORDER BY i) AS h2 FROM hashed) WHERE h2 IS NOT NULL
+),
+trusted AS (
+  SELECT n FROM base WHERE n_words >= {_I.TRUSTED_WORDS} AND 100 * n_symbols <= {_I.TRUSTED_SYMBOLS} * word_chars
+    AND 100 * n_repeat_words <= {_I.TRUSTED_REPEATED} * n_words AND n_dup_lines = 0 AND 100 * capitals <= {_I.TRUSTED_CAPITALS} * word_chars
+),
+counts AS (SELECT b, count(*) AS raw, count(trusted.n) AS target FROM grams LEFT JOIN trusted USING (n) GROUP BY b),
+sums AS (SELECT sum(raw) + {_I.BUCKETS * _I.SMOOTHING} AS raw, sum(target) + {_I.BUCKETS * _I.SMOOTHING} AS target, sum(target) AS any_target FROM counts),
+ratios AS (
+  SELECT b, CASE WHEN any_target = 0 THEN 0 ELSE ln(((c.target + {_I.SMOOTHING}) / s.target) / ((c.raw + {_I.SMOOTHING}) / s.raw)) END AS r
+  FROM counts c, sums s
+),
+scores AS (SELECT n, avg(r) AS score FROM grams JOIN ratios USING (b) GROUP BY n)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < {_I.LEAST_WORDS} OR 100 * n_repeat_words > {_I.MOST_REPEATED} * n_words AS base_failed,
+  NOT (n_words < {_I.LEAST_WORDS} OR 100 * n_repeat_words > {_I.MOST_REPEATED} * n_words) AND coalesce(score, 0) >= {_I.LEAST_SCORE} AS kept
+FROM base LEFT JOIN scores USING (n)
+"""
+
+
+@query("op6_quality_rules", QUALITY_SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.rate_documents(table(spark, folder, "documents")).drop("score")
+
+
+# 8. Mixing
+
+
+@query("op8_source_mix")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+# 9. Benchmark decontamination
+
+_W = decontaminate.WINDOW
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def alnum_words(table_name: str, key: str) -> str:
+    return f"SELECT {key}, row_number() OVER () AS n, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{_ALNUM}') AS ws FROM {table_name}"
+
+
+LEAKS_SQL = f"""
+WITH d AS ({alnum_words("documents", "doc_id")}),
+items AS ({alnum_words("benchmark", "item_id")}),
+windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(ws[i : i + size - 1], ' ') AS g FROM (
+    SELECT item_id, ws, least(len(ws), {_W}) AS size, unnest(range(1, len(ws) - least(len(ws), {_W}) + 2)) AS i FROM items WHERE len(ws) > 0
+  )
+),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+  SELECT n, i, size, array_to_string(ws[i : i + size - 1], ' ') AS g
+  FROM (SELECT n, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM d, sizes WHERE len(ws) >= size)
+),
+found AS (SELECT n, i, p.size, item_id FROM places p JOIN windows w ON p.g = w.g AND p.size = w.size),
+hits AS (SELECT n, count(DISTINCT i + k) AS n_hit FROM (SELECT n, i, unnest(range(size)) AS k FROM found) GROUP BY n),
+named AS (SELECT n, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM found GROUP BY n)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (n) LEFT JOIN named USING (n)
+"""
+
+
+@query("op9_decontaminate", LEAKS_SQL)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 # 10. Personal data
 
 PERSONAL_SQL = f"""
