@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sward.llm import chat, credentials, decontaminate, importance, mixing, personal, tokens, urls
+from sward.llm import chat, credentials, decontaminate, importance, mixing, ngram_join, personal, quality_net, tokens, urls
 from sward.llm.content import LOWER, UPPER
 from sward.llm.spans import span_digest
 from sward.session import work_path
@@ -122,6 +122,14 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_chats(rows, *vocabulary), *vocabulary).drop("n_ids", "n_loss_ids")
 
 
+# 4. Quality classifier
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_net.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 # 5. Secret scans
 
 
@@ -236,6 +244,14 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return importance.rate_documents(table(spark, folder, "documents")).drop("score")
 
 
+# 7. N-gram Jaccard join
+
+
+@query("op7_ngram_join")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join_classes(table(spark, folder, "documents"))
+
+
 # 8. Mixing
 
 

@@ -21,7 +21,7 @@ BUCKETS = 1 << 16
 #: Added to every bucket's count.
 SMOOTHING = 1.0
 #: Kept from this mean log ratio (nats per n-gram) on.
-LEAST_SCORE = -0.5
+LEAST_SCORE = -0.15
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED = 50
