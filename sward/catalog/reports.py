@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sward.catalog import base, query
 from sward.catalog.oracle import TARGETS, r, sql
 from sward.constants import KEY, METADATA, NUMERIC_METADATA
+from sward.operators.folds import list_folds
 from sward.operators import ensemble, joins, metrics, profile, ranking
 from sward.operators.features import dimensions_long, harmonise, tag
 from sward.functions import scalars
@@ -156,7 +157,8 @@ def fold_predictions(spark, folder):
 
 @query("d14_fold_mean", sql(f"SELECT image_path, target, {r('pred', 'pred')} FROM ({NEW_ROWS_SQL})"))
 def d14_fold_mean(spark, folder):
-    return base.rounded(ensemble.fold_mean(fold_predictions(spark, folder)))
+    folds = len(list_folds(base.design(spark, folder)))
+    return base.rounded(ensemble.fold_mean(fold_predictions(spark, folder), folds))
 
 
 GRID_SQL = """SELECT i / 20.0::DOUBLE AS weight_a, 1.0 - i / 20.0::DOUBLE AS weight_b, avg(rmse) AS mean_rmse FROM (

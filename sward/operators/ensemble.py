@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sward.constants import BLEND_STEPS, KEY, PARITY_ATOL, PARITY_RTOL
+from sward.constants import BLEND_STEPS, FOLD, KEY, PARITY_ATOL, PARITY_RTOL
 from sward.functions.scalars import clip_lower, even_grid, is_missing
 
 
-def fold_mean(predictions: DataFrame, key: str = KEY) -> DataFrame:
-    """Mean over the fold models of the clipped predictions, clipped again. Missing predictions are an error."""
-    missing = F.count_if(is_missing("pred"))
+def fold_mean(predictions: DataFrame, folds: int | None = None, key: str = KEY) -> DataFrame:
+    """Mean over the fold models of the clipped predictions, clipped again.
+
+    ``folds`` is the number of models; it is read from the data (eager) when the table has a fold column and the number
+    is not given. A key with fewer or more predictions than that, or with an empty one, is an error.
+    """
+    if folds is None:
+        folds = predictions.select(FOLD).distinct().count()
+    missing = F.count_if(is_missing("pred")) + F.abs(F.count(F.lit(1)) - folds)
     return (
         predictions.groupBy(key, "target")
         .agg(missing.alias("missing"), F.avg(clip_lower("pred")).alias("pred"))

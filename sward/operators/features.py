@@ -112,9 +112,13 @@ def validation_rows(df: DataFrame, fold: int, fold_column: str = "fold") -> Data
     return df.where(F.col(fold_column) == fold)
 
 
-def filter_optional(df: DataFrame, everything: str = "All", **wanted: str | None) -> DataFrame:
-    """Equality filters; ``None`` or the sentinel (alone or as in ``All States``) leaves a column unfiltered."""
+#: The choice that leaves a column unfiltered.
+NO_FILTER = {"State": "All States", "Species": "All Species"}
+
+
+def filter_optional(df: DataFrame, everything: Mapping[str, str] = NO_FILTER, **wanted: str | None) -> DataFrame:
+    """Equality filters; ``None`` or exactly the column's entry in ``everything`` leaves a column unfiltered."""
     for column, choice in wanted.items():
-        if choice is not None and choice != everything and not choice.startswith(f"{everything} "):
+        if choice is not None and choice != everything.get(column):
             df = df.where(F.col(column) == choice)
     return df

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from sward.constants import CATEGORICAL_METADATA, FOLD, KEY, N_FOLDS, NUMERIC_METADATA
 from sward.functions.scalars import is_missing
 from sward.operators.bounded import held
+from sward.operators.folds import MAX_FOLDS, checked_folds, covered_folds, found_folds, list_folds  # noqa: F401
 from sward.operators.quantiles import exact_quantiles
 
 MAX_VOCABULARY = 2_000
-MAX_FOLDS = 100
 
 
 def assign_folds(df: DataFrame, group: str, folds: int = N_FOLDS, hashed: bool = True) -> DataFrame:
@@ -26,14 +26,6 @@ def assign_folds(df: DataFrame, group: str, folds: int = N_FOLDS, hashed: bool =
     return df.withColumn(FOLD, F.pmod(basis, F.lit(folds)).cast("int"))
 
 
-def list_folds(df: DataFrame, fold: str = FOLD) -> list[int]:
-    """Eager: the fold labels, at least two and at most MAX_FOLDS."""
-    found = sorted(r[0] for r in df.select(fold).distinct().limit(MAX_FOLDS + 1).collect())
-    if not 2 <= len(found) <= MAX_FOLDS:
-        raise ValueError(f"expected 2 to {MAX_FOLDS} folds, found {len(found)}")
-    return found
-
-
 def vocabularies(df: DataFrame, columns: Sequence[str] = CATEGORICAL_METADATA) -> DataFrame:
     """``(column, vocabulary)``: sorted distinct non-null categories over all rows, as arrays."""
     pairs = df.unpivot([], list(columns), "column", "category").where("category IS NOT NULL").distinct()
@@ -120,16 +112,18 @@ def training_modes(df: DataFrame, columns: Sequence[str], folds: Sequence[int],
 
 def fit_fold_parameters(
     df: DataFrame,
-    folds: Sequence[int] = tuple(range(N_FOLDS)),
+    folds: Sequence[int] | None = None,
     numeric: Sequence[str] = NUMERIC_METADATA,
     categorical: Sequence[str] = CATEGORICAL_METADATA,
     fold: str = FOLD,
 ) -> DataFrame:
     """Long parameter table ``(fold, column, median, mean, std, mode)``, one row per held-out fold and column.
 
+    Folds come from the data unless they are given; rows outside them, or without a fold, are an error.
     ``mean`` and population ``std`` describe the values after median imputation; a zero ``std`` becomes 1.
     """
     df = df.select(fold, *numeric, *categorical)
+    folds = checked_folds(df, folds, fold)
     numbers = training_moments(df, numeric, folds, fold).join(
         training_medians(df, numeric, folds, fold), on=[fold, "column"], how="left"
     )
@@ -203,8 +197,12 @@ def transform_with(
     keep: Sequence[str] = (KEY,),
     fold: str = FOLD,
 ) -> DataFrame:
-    """Apply each row's fold parameters. They are fetched once, one row per fold, and travel to the rows."""
+    """Apply each row's fold parameters. They are fetched once, one row per fold, and travel to the rows.
+
+    A row whose fold has no parameters is an error.
+    """
     wide = held(widen_parameters(parameters, numeric, list(vocabulary), fold), MAX_FOLDS, "fold parameters")
+    covered_folds(found_folds(df, fold), [r[0] for r in wide.select(fold).collect()], fold)
     features = feature_columns(vocabulary, numeric)
     return df.join(wide, on=fold).select(*keep, fold, *[expr.alias(name) for name, expr in features])
 
@@ -212,7 +210,7 @@ def transform_with(
 def out_of_fold_features(
     df: DataFrame,
     vocabulary: Mapping[str, Sequence[str]] | None = None,
-    folds: Sequence[int] = tuple(range(N_FOLDS)),
+    folds: Sequence[int] | None = None,
     numeric: Sequence[str] = NUMERIC_METADATA,
     categorical: Sequence[str] = CATEGORICAL_METADATA,
     keep: Sequence[str] = (KEY,),
@@ -220,10 +218,9 @@ def out_of_fold_features(
 ) -> DataFrame:
     """Every row transformed with parameters learned outside its own fold.
 
-    Category names come from all rows, so every fold has the same columns; statistics do not.
+    Category names come from all rows, so every fold has the same columns; statistics do not. Folds come from the data
+    unless they are given.
     """
-    if len(folds) < 2:
-        raise ValueError("at least two folds are needed")
     if vocabulary is None:
         vocabulary = collect_vocabularies(df, categorical)
     parameters = fit_fold_parameters(df, folds, numeric, categorical, fold)
@@ -234,14 +231,19 @@ def transform_new_rows(
     df: DataFrame,
     parameters: DataFrame,
     vocabulary: Mapping[str, Sequence[str]],
-    folds: Sequence[int] = tuple(range(N_FOLDS)),
+    folds: Sequence[int] | None = None,
     numeric: Sequence[str] = NUMERIC_METADATA,
     keep: Sequence[str] = (KEY,),
     fold: str = FOLD,
 ) -> DataFrame:
-    """New rows under every fold's parameters: one output row per input row and fold.
+    """New rows under every fold's parameters: one output row per input row and fold that parameters exist for.
 
     A row without any metadata becomes the medians and modes.
     """
+    parameters = held(parameters, what="fold parameters")
+    known = found_folds(parameters, fold)
+    if folds is None:
+        folds = known
+    covered_folds(folds, known, fold)
     copies = df.drop(fold).withColumn(fold, F.explode(F.array(*[F.lit(int(k)) for k in folds])))
     return transform_with(copies, parameters, vocabulary, numeric, keep, fold)

@@ -15,7 +15,8 @@ from sward.constants import FOLD, KEY, RIDGE_ALPHA, TARGETS
 from sward.functions.scalars import clip_lower
 from sward.operators.bounded import held
 from sward.operators.features import training_rows, validation_rows
-from sward.plans.ridge import ALL_FOLDS, single_feature_fits
+from sward.operators.folds import checked_folds, covered_folds, found_folds
+from sward.plans.ridge import single_feature_fits
 
 EstimatorFactory = Callable[[], Estimator]
 JobFactory = Callable[[int, str], Estimator]
@@ -26,7 +27,7 @@ def ridge_oof(
     features: Mapping[str, str],
     models: Mapping[str, float] | None = None,
     targets: Sequence[str] = TARGETS,
-    folds: Sequence[int] = ALL_FOLDS,
+    folds: Sequence[int] | None = None,
     key: str = KEY,
     clip: bool = True,
 ) -> DataFrame:
@@ -92,7 +93,7 @@ def fit_folds(
     df: DataFrame,
     factory: EstimatorFactory | None,
     targets: Sequence[str],
-    folds: Sequence[int] = ALL_FOLDS,
+    folds: Sequence[int] | None = None,
     features: str = "features",
     parallelism: int = 4,
     per_job: JobFactory | None = None,
@@ -109,6 +110,7 @@ def fit_folds(
         estimator.setFeaturesCol(features).setLabelCol(target).setPredictionCol("pred")
         return job, estimator.fit(training_rows(df, fold).select(features, target))
 
+    folds = checked_folds(df, folds)
     jobs = [(int(fold), target) for fold in folds for target in targets]
     with ThreadPoolExecutor(parallelism) as pool:
         return dict(pool.map(fit, jobs))
@@ -123,9 +125,10 @@ def predict_folds(
 ) -> DataFrame:
     """Each row scored by the models of its own fold: ``(key, fold, target, y, pred)``.
 
-    The models of a fold run one after another over the fold's rows as added columns, which are then unfolded. Nothing
+    A row whose fold has no models is an error. The models of a fold run one after another over the fold's rows as added columns, which are then unfolded. Nothing
     is shuffled.
     """
+    covered_folds(found_folds(df), {fold for fold, _ in models})
     parts = []
     for fold in sorted({fold for fold, _ in models}):
         part = validation_rows(df, fold)
@@ -149,7 +152,7 @@ def cross_validate(
     model: str,
     feature_set: str,
     targets: Sequence[str] = TARGETS,
-    folds: Sequence[int] = ALL_FOLDS,
+    folds: Sequence[int] | None = None,
     features: str = "features",
     key: str = KEY,
     clip: bool = False,
@@ -169,7 +172,7 @@ def experiment_grid(
     factories: Mapping[str, EstimatorFactory],
     feature_sets: Mapping[str, str],
     targets: Sequence[str] = TARGETS,
-    folds: Sequence[int] = ALL_FOLDS,
+    folds: Sequence[int] | None = None,
     key: str = KEY,
     clip: bool = False,
 ) -> tuple[DataFrame, list[tuple[str, str, float]]]:

@@ -14,10 +14,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sward.constants import FOLD, N_FOLDS, RIDGE_ALPHA, TARGETS
+from sward.constants import FOLD, RIDGE_ALPHA, TARGETS
 from sward.operators.bounded import held
-
-ALL_FOLDS = tuple(range(N_FOLDS))
+from sward.operators.folds import checked_folds, covered_folds, found_folds
 
 
 def _outside(folds: Sequence[int], fold: str = FOLD) -> Column:
@@ -29,13 +28,15 @@ def single_feature_fits(
     features: Sequence[str],
     alphas: Sequence[float] = (RIDGE_ALPHA,),
     targets: Sequence[str] = TARGETS,
-    folds: Sequence[int] = ALL_FOLDS,
+    folds: Sequence[int] | None = None,
     fold: str = FOLD,
 ) -> DataFrame:
     """One-feature ridge fits ``(fold, feature, target, alpha, slope, intercept)`` on the rows outside each fold.
 
-    The intercept is not penalised. Moments are centred per fold and merged, so large offsets lose no digits.
+    The intercept is not penalised. Moments are centred per fold and merged, so large offsets lose no digits. Folds come
+    from the data unless they are given; a row outside them is an error.
     """
+    folds = checked_folds(df, folds, fold)
     cells = ", ".join(
         f"""struct('{x}' AS feature, '{y}' AS target, count_if(`{x}` IS NOT NULL AND `{y}` IS NOT NULL) AS n,
             avg(`{x}`) FILTER (WHERE `{y}` IS NOT NULL) AS mx, avg(`{y}`) FILTER (WHERE `{x}` IS NOT NULL) AS my,
@@ -64,36 +65,70 @@ def single_feature_fits(
     )
 
 
-def _moment_rows(batches: Iterator[pd.DataFrame], fold: str, features: str, targets: Sequence[str]) -> Iterator[pd.DataFrame]:
-    """Sums of products of ``(1, features, targets)`` per fold over one partition, a matrix row per output row."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for label, part in batch.groupby(fold, sort=False):
-            x = np.stack(part[features].to_numpy()).astype(float)
-            z = np.hstack([np.ones((len(part), 1)), x, part[list(targets)].to_numpy(float)])
-            if not np.isfinite(z).all():
-                raise ValueError("features and targets must be finite")
-            product = z.T @ z
-            sums[label] = sums[label] + product if label in sums else product
-    for label, matrix in sums.items():
-        yield pd.DataFrame({fold: label, "i": np.arange(len(matrix)), "row": list(matrix)})
+def _design_rows(part: pd.DataFrame, features: str, targets: Sequence[str]) -> np.ndarray:
+    x = np.stack(part[features].to_numpy()).astype(float)
+    z = np.hstack([x, part[list(targets)].to_numpy(float)])
+    if not np.isfinite(z).all():
+        raise ValueError("features and targets must be finite")
+    return z
+
+
+def column_means(df: DataFrame, features: str, targets: Sequence[str] = TARGETS) -> np.ndarray:
+    """Eager: means of the features and targets over all rows, one vector per partition merged by its row count."""
+
+    def means(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, mean = 0, 0.0
+        for batch in batches:
+            if len(batch):
+                z = _design_rows(batch, features, targets)
+                n += len(z)
+                mean = mean + (z.mean(axis=0) - mean) * (len(z) / n)
+        if n:
+            yield pd.DataFrame({"n": n, "i": np.arange(len(mean)), "mean": mean})
+
+    columns = df.select(F.col(features).cast("array<double>").alias(features), *targets)
+    parts = columns.mapInPandas(means, "n long, i int, mean double")
+    merged = parts.groupBy("i").agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"))
+    found = {row["i"]: row["mean"] for row in merged.collect()}
+    return np.array([found[i] for i in range(len(found))])
 
 
-def product_sums(df: DataFrame, features: str, targets: Sequence[str] = TARGETS, fold: str = FOLD) -> DataFrame:
-    """``(fold, i, row)``: the matrix of product sums per fold, row by row.
+#: Groups in which matrices of partitions are added, from the widest level to the last.
+LEVELS = (4096, 64, 1)
 
-    Each partition sends one matrix per fold; a group that is added up holds one matrix row per partition.
+
+def product_sums(
+    df: DataFrame, features: str, shift: np.ndarray, targets: Sequence[str] = TARGETS, fold: str = FOLD
+) -> DataFrame:
+    """``(fold, i, row)``: sums of products of ``(1, features, targets)`` minus ``shift`` per fold, row by row.
+
+    Values are shifted before they are multiplied, so a large offset costs no digits. Each partition sends one matrix per
+    fold; they are added in levels, so that no group grows with the number of partitions.
     """
-    schema = f"{fold} int, i int, row array<double>"
-    columns = df.select(F.col(fold).cast("int").alias(fold), F.col(features).cast("array<double>").alias(features), *targets)
-    partial = columns.mapInPandas(lambda batches: _moment_rows(batches, fold, features, targets), schema)
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        part_of = 0
+        for batch in batches:
+            for (label, part_of), part in batch.groupby([fold, "part"], sort=False):
+                z = np.hstack([np.ones((len(part), 1)), _design_rows(part, features, targets) - shift])
+                product = z.T @ z
+                sums[label] = sums[label] + product if label in sums else product
+        for label, matrix in sums.items():
+            yield pd.DataFrame({fold: label, "part": part_of, "i": np.arange(len(matrix)), "row": list(matrix)})
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         first = group.iloc[:1].copy()
         first["row"] = [np.sum(np.stack(group["row"].to_numpy()), axis=0)]
         return first
 
-    return partial.groupBy(fold, "i").applyInPandas(add, schema)
+    schema = f"{fold} int, part int, i int, row array<double>"
+    values = F.col(features).cast("array<double>").alias(features)
+    columns = df.select(F.col(fold).cast("int").alias(fold), F.spark_partition_id().alias("part"), values, *targets)
+    sums = columns.mapInPandas(products, schema)
+    for groups in LEVELS:
+        sums = sums.withColumn("part", F.col("part") % groups).groupBy(fold, "part", "i").applyInPandas(add, schema)
+    return sums.select(fold, "i", "row")
 
 
 def multi_feature_fits(
@@ -101,14 +136,16 @@ def multi_feature_fits(
     features: str,
     alpha: float = RIDGE_ALPHA,
     targets: Sequence[str] = TARGETS,
-    folds: Sequence[int] = ALL_FOLDS,
+    folds: Sequence[int] | None = None,
     fold: str = FOLD,
 ) -> DataFrame:
-    """Ridge fits on an array column: ``(fold, target, coefficients, intercept)`` from one pass over the rows.
+    """Ridge fits on an array column: ``(fold, target, coefficients, intercept)`` from two passes over the rows.
 
     The systems to solve are as large as the feature vector, whatever the number of rows.
     """
     targets = list(targets)
+    folds = checked_folds(df, folds, fold)
+    shift = column_means(df, features, targets)
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
         label = int(group["held_out"].iloc[0])
@@ -120,11 +157,10 @@ def multi_feature_fits(
         mx, my = total[0, x] / n, total[0, y] / n
         gram = total[x, x] - n * np.outer(mx, mx) + alpha * np.eye(p)
         weights = np.linalg.solve(gram, total[x, y] - n * np.outer(mx, my))
-        return pd.DataFrame(
-            {fold: label, "target": targets, "coefficients": list(weights.T), "intercept": my - mx @ weights}
-        )
+        intercept = my + shift[p:] - (mx + shift[:p]) @ weights
+        return pd.DataFrame({fold: label, "target": targets, "coefficients": list(weights.T), "intercept": intercept})
 
-    sums = product_sums(df, features, targets, fold)
+    sums = product_sums(df, features, shift, targets, fold)
     training = sums.select(_outside(folds, fold).alias("held_out"), "i", "row")
     return training.groupBy("held_out").applyInPandas(
         solve, f"{fold} int, target string, coefficients array<double>, intercept double"
@@ -138,6 +174,7 @@ def dot(a: Column | str, b: Column | str) -> Column:
 def score_folds(df: DataFrame, fits: DataFrame, features: str, keep: Sequence[str], fold: str = FOLD) -> DataFrame:
     """Predict each row with the fit of its own fold: ``(keep..., fold, target, pred)``."""
     models = held(fits, what="fitted models")
+    covered_folds(found_folds(df, fold), found_folds(models, fold), fold)
     return df.select(*keep, fold, features).join(models, on=fold).select(
         *keep, fold, "target", (dot(features, "coefficients") + F.col("intercept")).alias("pred")
     )

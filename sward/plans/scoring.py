@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from sward.constants import BATCH_SIZE, FOLD, KEY, NUMERIC_METADATA, TARGETS
 from sward.functions.scalars import clip_lower, is_missing
 from sward.operators.bounded import held
+from sward.operators.folds import FoldError
 
 
 def embed(column: str | Column, make_fn: Callable, size: int, batch_size: int = BATCH_SIZE) -> Column:
@@ -113,11 +114,17 @@ def linear_models(fits: DataFrame, parameters: DataFrame, fold: str = FOLD) -> L
     Eager; a few numbers per fold and target are fetched, with a checked limit.
     """
     numbers = parameters.select(fold, F.col("column").alias("feature"), "median", "mean", "std")
-    rows = held(fits.join(numbers, on=[fold, "feature"]), what="linear models").collect()
+    rows = held(fits.join(numbers, on=[fold, "feature"], how="left"), what="linear models").collect()
+    folds = {row[fold] for row in rows}
     models: LinearModels = {}
     for row in sorted(rows, key=lambda row: (row["feature"], row["target"], row[fold])):
+        if row["std"] is None:
+            raise FoldError(f"no parameters for {row['feature']} in fold {row[fold]}")
         fitted = {name: float(row[name]) for name in ("slope", "intercept", "median", "mean", "std")}
         models.setdefault((row["feature"], row["target"]), []).append(fitted)
+    short = [name for name, fitted in models.items() if len(fitted) != len(folds)]
+    if short:
+        raise FoldError(f"{short[0]} is not fitted in every fold")
     return models
 
 

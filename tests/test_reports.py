@@ -151,10 +151,14 @@ def test_blend_search_equals_brute_force(spark):
 
 def test_fold_mean_clips_before_and_refuses_gaps(spark):
     df = spark.createDataFrame([("a", "t", -4.0), ("a", "t", 2.0)], "image_path string, target string, pred double")
-    assert rows(ensemble.fold_mean(df))[0]["pred"] == 1.0
+    assert rows(ensemble.fold_mean(df, 2))[0]["pred"] == 1.0
     gap = spark.createDataFrame([("a", "t", NAN)], "image_path string, target string, pred double")
     with pytest.raises(Exception, match="no prediction"):
-        ensemble.fold_mean(gap).collect()
+        ensemble.fold_mean(gap, 1).collect()
+    with pytest.raises(Exception, match="no prediction"):
+        ensemble.fold_mean(df, 3).collect()
+    with_folds = df.withColumn("fold", F.monotonically_increasing_id())
+    assert rows(ensemble.fold_mean(with_folds))[0]["pred"] == 1.0
 
 
 def test_pairs_must_align(spark):
