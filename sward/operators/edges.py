@@ -12,22 +12,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sward.constants import EDGE_HIGH, EDGE_LOW, IMAGE_SIDE, KEY
+from sward.constants import EDGE_HIGH, EDGE_LOW, KEY
 from sward.operators.pixels import grey_scanlines
 
 # Fixed value: tan(22.5 degrees), in units of 2**-15 and rounded, which splits directions into four sectors.
 TAN_SECTOR = 13573
 SECTOR_SHIFT = 15
-# An image handed to one linking task; images are resampled to IMAGE_SIDE first, as the published pipeline does.
-MAX_CELLS = IMAGE_SIDE * IMAGE_SIDE
 
 
 def _sobel_lines(pixels: DataFrame, key: str) -> DataFrame:
     """``(image_path, y, g)``: per scanline an array of ``(gx, gy, m)`` from 3x3 Sobel filters with repeated borders."""
     window = Window.partitionBy(key).orderBy("y")
+    previous = F.coalesce(F.lag("y", 1).over(window), F.lit(-1))
+    gap = F.raise_error(F.concat(F.lit("missing line in "), F.col(key).cast("string"))).cast("int")
     lines = grey_scanlines(pixels, key).select(
         key,
-        "y",
+        F.when(previous == F.col("y") - 1, F.col("y")).otherwise(gap).alias("y"),
         F.coalesce(F.lag("line", 1).over(window), "line").alias("up"),
         "line",
         F.coalesce(F.lead("line", 1).over(window), "line").alias("down"),
@@ -87,24 +87,23 @@ def edge_candidates(pixels: DataFrame, key: str = KEY, low: int = EDGE_LOW, high
 
 def _link(group: pa.Table) -> pa.Table:
     """Keep weak pixels that touch a strong one, directly or through other weak pixels (8 neighbours)."""
-    if group.num_rows > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} edge candidates in one image; resample the images first")
-    ys, xs = group["y"].to_numpy() + 1, group["x"].to_numpy() + 1
-    strong = group["strong"].to_numpy()
-    shape = (int(ys.max()) + 2, int(xs.max()) + 2)
-    candidate, linked = np.zeros(shape, bool), np.zeros(shape, bool)
-    candidate[ys, xs] = True
-    linked[ys, xs] = strong
-    kept = -1
-    while kept != (kept := int(linked.sum())):
-        rows = linked.copy()
-        rows[1:] |= linked[:-1]
-        rows[:-1] |= linked[1:]
-        wide = rows.copy()
-        wide[:, 1:] |= rows[:, :-1]
-        wide[:, :-1] |= rows[:, 1:]
-        linked = wide & candidate
-    return group.filter(pa.array(linked[ys, xs])).drop_columns("strong")
+    ys, xs = group["y"].to_numpy().astype(np.int64), group["x"].to_numpy().astype(np.int64)
+    width = int(xs.max(initial=0)) + 3
+    codes = (ys + 1) * width + xs + 1
+    order = np.argsort(codes)
+    places, linked = codes[order], group["strong"].to_numpy(zero_copy_only=False)[order].copy()
+    around = np.array([dy * width + dx for dy in (-1, 0, 1) for dx in (-1, 0, 1) if dy or dx])
+    frontier = places[linked]
+    # Only pixels that the last step linked can link more, so the work is that of the edges, not of the grid.
+    while len(frontier):
+        near = np.unique(frontier[:, None] + around)
+        at = np.minimum(np.searchsorted(places, near), len(places) - 1)
+        fresh = at[(places[at] == near) & ~linked[at]]
+        linked[fresh] = True
+        frontier = places[fresh]
+    kept = np.empty(len(linked), bool)
+    kept[order] = linked
+    return group.filter(pa.array(kept)).drop_columns("strong")
 
 
 def edge_pixels(pixels: DataFrame, key: str = KEY, low: int = EDGE_LOW, high: int = EDGE_HIGH) -> DataFrame:

@@ -6,28 +6,28 @@ from math import exp
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sward.constants import HEAT_PERCENTILES, HEAT_SIGMA, KEY
 from sward.functions.color import excess_green, vegetation_mask
 from sward.functions.scalars import clamp
+from sward.operators.pixels import whole_line
 
 
 def stretched(pixels: DataFrame, key: str = KEY) -> DataFrame:
     """``(image_path, y, x, level)``: excess green between its 2nd and 98th percentile, as 0..255.
 
     A flat image is 0 everywhere. The percentiles are exact per image; an image's distinct values are bounded by the
-    8-bit channels.
+    8-bit channels. The pixels are read and shuffled once: bounds are a window over the image.
     """
     exg = pixels.select(key, "y", "x", excess_green().alias("exg"))
     low, high = HEAT_PERCENTILES
-    bounds = exg.groupBy(key).agg(F.percentile("exg", F.array(F.lit(low), F.lit(high))).alias("p")).select(
-        key, F.col("p")[0].alias("lo"), F.col("p")[1].alias("hi")
-    )
+    bounds = F.percentile("exg", F.array(F.lit(low), F.lit(high))).over(Window.partitionBy(key))
+    bounded = exg.withColumn("p", bounds).withColumns({"lo": F.col("p")[0], "hi": F.col("p")[1]})
     scaled = clamp(F.try_divide(F.col("exg") - F.col("lo"), F.col("hi") - F.col("lo")), 0.0, 1.0)
     level = F.when(F.col("hi") <= F.col("lo"), 0).otherwise(F.floor(scaled * 255.0)).cast("int")
-    return exg.join(bounds, on=key).select(key, "y", "x", level.alias("level"))
+    return bounded.select(key, "y", "x", level.alias("level"))
 
 
 def kernel(sigma: float = HEAT_SIGMA) -> list[float]:
@@ -74,9 +74,12 @@ def smoothed_line(line: str, sigma: float = HEAT_SIGMA) -> Column:
 
 
 def _smooth_axis(grid: DataFrame, key: str, along: str, across: str, sigma: float) -> DataFrame:
-    """One axis: gather lines (as long as the image is wide or high), smooth them, and unfold them again."""
+    """One axis: gather lines (as long as the image is wide or high), smooth them, and unfold them again.
+
+    A line with a missing or repeated pixel is an error.
+    """
     cells = F.array_sort(F.collect_list(F.struct(along, "value")))
-    lines = grid.groupBy(key, across).agg(cells.alias("cells")).select(key, across, F.col("cells.value").alias("line"))
+    lines = grid.groupBy(key, across).agg(cells.alias("cells")).select(key, across, whole_line("cells", along, key).alias("line"))
     return lines.select(key, across, F.posexplode(smoothed_line("line", sigma)).alias(along, "value"))
 
 

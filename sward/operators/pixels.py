@@ -1,8 +1,8 @@
 """Per-image features from a pixel table ``(image_path, y, x, r, g, b)`` with 8-bit channels.
 
-Colour statistics are one mergeable aggregate per image: every task reduces its own pixels before the shuffle, so even
-an image spread over the whole cluster meets only as one row per task. Texture works on scanlines, which split an image
-by row.
+Colour statistics are one mergeable aggregate per image: every task reduces its own pixels before the shuffle. Texture and
+edges read neighbours: their pixels are shuffled once, by image, so that an image (whose size is bounded by the camera)
+is in one task; its rows become arrays, in which neighbours are positions, and nothing is shuffled again.
 """
 
 from __future__ import annotations
@@ -119,14 +119,24 @@ def visual_feature_names(bins: int = HIST_BINS) -> list[str]:
     return colour_feature_names(bins) + [f"texture_{p}" for p in TEXTURE] + ["edge_density"]
 
 
+def whole_line(cells: str, along: str, key: str = KEY) -> Column:
+    """The values of a sorted array of ``(along, value)``; a gap or a repeated position is an error.
+
+    Neighbours are array positions, so a line that doesn't have every position once would give wrong pairs.
+    """
+    complete = F.col(f"{cells}.{along}").cast("array<int>") == F.sequence(F.lit(0), F.size(cells) - 1)
+    problem = F.concat(F.lit(f"missing or repeated {along} in a line of "), F.col(key).cast("string"))
+    return F.when(complete, F.col(f"{cells}.value")).otherwise(F.raise_error(problem))
+
+
 def scanlines(pixels: DataFrame, value: Column, key: str = KEY, name: str = "line") -> DataFrame:
-    """Rows of an image as arrays: ``(image_path, y, line)``.
+    """Rows of an image as arrays: ``(image_path, y, line)``; every line must have all its pixels, once.
 
-    One shuffle by image *and* row, so a big image is spread out, and one array is as long as an image is wide. Later
-    neighbour lookups are array positions instead of further shuffles.
+    One shuffle by image, which also serves every later step that works within an image.
     """
-    cells = F.array_sort(F.collect_list(F.struct("x", value.alias("value"))))
-    return pixels.groupBy(key, "y").agg(cells.alias("cells")).select(key, "y", F.col("cells.value").alias(name))
+    cells = F.array_sort(F.collect_list(F.struct("x", "value")))
+    values = pixels.select(key, "y", "x", value.alias("value")).repartition(key)
+    return values.groupBy(key, "y").agg(cells.alias("cells")).select(key, "y", whole_line("cells", "x", key).alias(name))
 
 
 def grey_scanlines(pixels: DataFrame, key: str = KEY) -> DataFrame:
@@ -139,13 +149,20 @@ def neighbour_pairs(
     """Pairs of values a fixed offset apart: ``(image_path, offset, a, b)``, offsets as ``(rows, columns)``.
 
     ``offset`` is the position in ``offsets``. Offsets within a row are array lookups. Other rows come from ``lead``
-    over the scanlines of an image, which moves one array per row, not one row per pixel.
+    over the scanlines of an image, which moves one array per row, not one row per pixel; a row that is absent has no
+    pairs.
     """
     below = sorted({dy for dy, _ in offsets if dy})
     if any(dy < 0 for dy in below):
         raise ValueError("row offsets must not be negative; swap the pair instead")
     window = Window.partitionBy(key).orderBy("y")
-    table = lines.select(key, "y", line, *[F.lead(line, dy).over(window).alias(f"{line}_{dy}") for dy in below])
+
+    def line_below(dy: int) -> Column:
+        # With rows absent, the one looked for is fewer steps ahead.
+        steps = [F.when(F.lead("y", k).over(window) == F.col("y") + dy, F.lead(line, k).over(window)) for k in range(dy, 0, -1)]
+        return F.coalesce(*steps).alias(f"{line}_{dy}")
+
+    table = lines.select(key, "y", line, *[line_below(dy) for dy in below])
 
     def pair(index: int, dy: int, dx: int) -> Column:
         other = f"{line}_{dy}" if dy else line
@@ -223,7 +240,8 @@ def texture_features(
 def visual_features(pixels: DataFrame, key: str = KEY) -> DataFrame:
     """All 88 visual features per image, in canonical order; a missing or infinite value is an error.
 
-    One aggregate over the pixels, and texture and edges over one set of scanlines. What is joined has one row per image.
+    One aggregate over the pixels for colour; texture and edges read scanlines made from one shuffle of the grey values,
+    by image. What is joined has one row per image.
     """
     from sward.operators.edges import edge_density
 

@@ -176,3 +176,40 @@ def pixels_by_image(found, images, value):
     for r in found:
         grids[r["image_path"]][r["y"], r["x"]] = r[value]
     return grids
+
+
+def test_absent_and_repeated_pixels_are_refused(spark):
+    whole = frame(spark, a=np.arange(48).reshape(4, 4, 3) % 256)
+    hole = whole.where("NOT (y = 2 AND x = 2)")
+    twice = whole.union(whole.where("y = 1 AND x = 1"))
+    for broken in (hole, twice):
+        for feature in (pixels.texture_features, edges.edge_density):
+            with pytest.raises(Exception, match="missing or repeated x"):
+                feature(broken).collect()
+        with pytest.raises(Exception, match="missing or repeated"):
+            heatgrid.smoothed(heatgrid.stretched(broken)).collect()
+
+
+def test_absent_lines_have_no_pairs_and_no_edges(spark):
+    whole = frame(spark, a=np.arange(48).reshape(4, 4, 3) % 256)
+    gap = whole.where("y <> 1")
+    lines = pixels.grey_scanlines(gap)
+    found = pixels.neighbour_pairs(lines, [(1, 0), (2, 0)]).groupBy("offset").count().collect()
+    assert {r["offset"]: r["count"] for r in found} == {0: 4, 1: 4}
+    with pytest.raises(Exception, match="missing line"):
+        edges.edge_density(gap).collect()
+
+
+def test_linking_has_no_size_limit_and_follows_long_chains():
+    import pyarrow as pa
+
+    # A serpentine of weak pixels over a 2000 x 1000 grid, one strong pixel at its end, and an island that stays weak.
+    ys, xs = [], []
+    for i, y in enumerate(range(0, 1990, 10)):
+        ys += [y] * 1000 + [y + k for k in range(1, 10)]
+        xs += list(range(1000)) + [999 if i % 2 == 0 else 0] * 9
+    strong = np.zeros(len(ys), bool)
+    strong[0] = True
+    table = pa.table({"image_path": ["a"] * (len(ys) + 2), "y": [*ys, 1999, 1999], "x": [*xs, 500, 501], "strong": [*strong, False, False]})
+    kept = edges._link(table)
+    assert kept.num_rows == len(ys)
