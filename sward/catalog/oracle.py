@@ -196,4 +196,6 @@ def sql(body: str) -> str:
 
     visit(body)
     views = ",\n".join(f"{name} AS ({VIEWS[name].strip()})" for name in VIEWS if name in needed)
-    return f"WITH RECURSIVE {views}\n{body.strip()}" if views else body.strip()
+    # Only the linking of edges needs recursion.
+    kind = "WITH RECURSIVE" if "edges" in needed else "WITH"
+    return f"{kind} {views}\n{body.strip()}" if views else body.strip()

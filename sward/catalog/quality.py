@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sward.catalog import base, query
 from sward.catalog.oracle import sql
-from sward.constants import KEY, METADATA
+from sward.constants import KEY, METADATA, TARGETS
 from sward.operators import pixels, quality
 from sward.sources import views
 
@@ -22,7 +22,7 @@ def rules_sql(*rules: tuple[str, str, str], source: str = "") -> str:
 
 @query(
     "h1_required",
-    rules_sql(("required_columns_missing", "0", "1"), ("non_empty", "1", "(SELECT count(*) FROM (SELECT 1 FROM samples LIMIT 1))")),
+    rules_sql(("required_columns_missing", "0", "1"), ("missing_column:Not_A_Column", "0", "1"), ("non_empty", "1", "(SELECT count(*) FROM (SELECT 1 FROM samples LIMIT 1))")),
 )
 def h1_required(spark, folder):
     return quality.required_columns(views.samples(spark, folder), [*METADATA, "Not_A_Column"])
@@ -89,17 +89,53 @@ def h7_same_names(spark, folder):
     return quality.same_feature_names(names)
 
 
-_COVERAGE = [
-    ("rows_without_prediction", "0", "(SELECT count(*) FROM samples ANTI JOIN targets_wide USING (image_path))"),
-    ("rows_predicted_twice", "0", "0"),
-    ("predictions_without_row", "0", "0"),
-]
+#: The number in an image's path, on which faults are planted.
+_NUMBER = "CAST(regexp_extract({}, '[0-9]+') AS BIGINT)"
+_EXPECTED = f"""SELECT image_path, target, model, feature_set FROM samples,
+    (VALUES {", ".join(f"('{t}')" for t in TARGETS)}) t(target),
+    (VALUES {", ".join(f"('{m}', '{f}')" for m, f in base.CONFIGURATIONS)}) c(model, feature_set)"""
+#: Predictions with gaps, repetitions and images that don't exist.
+_FAULTY = f"""SELECT image_path, target, model, feature_set FROM oof WHERE NOT ({_NUMBER.format('image_path')} % 50 = 0 AND target = 'GDM_g')
+    UNION ALL SELECT image_path, target, model, feature_set FROM oof WHERE {_NUMBER.format('image_path')} % 50 = 1
+    UNION ALL SELECT 'none/' || image_path, target, model, feature_set FROM oof WHERE {_NUMBER.format('image_path')} % 50 = 2 AND model = 'Ridge'"""
+
+
+def _coverage_rules(predictions: str) -> list[tuple[str, str, str]]:
+    wanted = f"(SELECT *, true AS wanted FROM ({_EXPECTED}))"
+    counted = f"""SELECT coalesce(p, 0) AS p, coalesce(wanted, false) AS wanted
+        FROM (SELECT image_path, target, model, feature_set, count(*) AS p FROM ({predictions}) GROUP BY ALL)
+        FULL JOIN {wanted} USING (image_path, target, model, feature_set)"""
+    return [
+        ("rows_without_prediction", "0", f"(SELECT count(*) FROM ({counted}) WHERE wanted AND p = 0)"),
+        ("rows_predicted_twice", "0", f"(SELECT count(*) FROM ({counted}) WHERE wanted AND p > 1)"),
+        ("predictions_without_row", "0", f"(SELECT count(*) FROM ({counted}) WHERE NOT wanted)"),
+    ]
+
+
+_CONFIGURED = [KEY, "target", "model", "feature_set"]
+
 
+def _expected(spark, folder):
+    """Every image under every target and configuration."""
+    targets = F.explode(F.array(*[F.lit(t) for t in TARGETS])).alias("target")
+    configurations = F.inline(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(f).alias("feature_set")) for m, f in base.CONFIGURATIONS]))
+    return views.samples(spark, folder).select(KEY, targets).select(KEY, "target", configurations)
 
-@query("h8_coverage", rules_sql(*_COVERAGE))
+
+def _number():
+    return F.regexp_extract(KEY, "[0-9]+", 0).cast("bigint")
+
+
+@query("h8_coverage", rules_sql(*_coverage_rules(_FAULTY)))
 def h8_coverage(spark, folder):
-    predictions = base.one_model(spark, folder).where("target = 'Dry_Total_g'")
-    return quality.prediction_coverage(views.samples(spark, folder), predictions, [KEY])
+    """All targets and configurations, with predictions that are absent, repeated or of no image."""
+    whole = base.oof(spark, folder).select(*_CONFIGURED)
+    faulty = (
+        whole.where(~((_number() % 50 == 0) & (F.col("target") == "GDM_g")))
+        .unionByName(whole.where(_number() % 50 == 1))
+        .unionByName(whole.where((_number() % 50 == 2) & (F.col("model") == "Ridge")).withColumn(KEY, F.concat(F.lit("none/"), KEY)))
+    )
+    return quality.prediction_coverage(_expected(spark, folder), faulty, _CONFIGURED)
 
 
 @query("h9_negative", rules_sql(("negative_predictions", "0", "(SELECT count(*) FROM cells WHERE e < 0)")))
@@ -121,7 +157,7 @@ def _report(spark, folder):
                 "target_count": (5, F.count_distinct("target")),
             },
         ),
-        quality.prediction_coverage(views.samples(spark, folder), predictions.where("model = 'Ridge' AND feature_set = 'NDVI' AND target = 'GDM_g'"), [KEY]),
+        quality.prediction_coverage(_expected(spark, folder), predictions, _CONFIGURED),
         quality.fold_labels(views.samples(spark, folder), 5),
     )
 
@@ -132,11 +168,11 @@ _REPORT = [
     ("negative_predictions", "0", "(SELECT count(*) FROM oof WHERE pred < 0)"),
     ("fold_count", "5", "(SELECT count(DISTINCT fold) FROM oof)"),
     ("target_count", "5", "(SELECT count(DISTINCT target) FROM oof)"),
-    *_COVERAGE,
+    *_coverage_rules("SELECT image_path, target, model, feature_set FROM oof"),
     ("fold_count", "5", "(SELECT count(DISTINCT fold) FROM samples)"),
     ("fold_labels_in_range", "5", "(SELECT count(DISTINCT fold) FROM samples WHERE fold BETWEEN 0 AND 4)"),
-    ("fold_missing", "0", "0"),
-    ("at_least_two_folds", "1", "1"),
+    ("fold_missing", "0", "(SELECT count(*) FROM samples WHERE fold IS NULL)"),
+    ("at_least_two_folds", "1", "(SELECT count(DISTINCT fold) >= 2 FROM samples)"),
 ]
 
 
@@ -155,9 +191,25 @@ def h10_overall(spark, folder):
     return quality.overall_status(_report(spark, folder))
 
 
-@query("h11_round_trip", rules_sql(("round_trip_differences", "0", "0 * (SELECT count(*) FROM samples)")))
+_TRIP = f"SELECT {_NUMBER.format('image_path')} % 1000 AS n, Height_Ave_cm AS v FROM samples"
+
+
+@query(
+    "h11_round_trip",
+    rules_sql((
+        "round_trip_differences", "0",
+        f"(SELECT count(*) FILTER (n = 0) + 2 * count(*) FILTER (n = 1 AND v IS NOT NULL) + 2 * count(*) FILTER (n IN (2, 3)) + count(*) FILTER (n = 4) FROM ({_TRIP}))",
+    )),
+)
 def h11_round_trip(spark, folder):
-    return quality.round_trip(views.samples(spark, folder), base.stored_samples(spark, folder))
+    """The stored table against a copy with repeated, changed, NaN, infinite and absent rows; all else must agree."""
+    n, value = _number() % 1000, F.col("Height_Ave_cm")
+    changed = (
+        F.when(n == 1, value + 1).when(n == 2, F.lit(float("nan"))).when(n == 3, F.lit(float("inf"))).otherwise(value)
+    )
+    stored = base.stored_samples(spark, folder)
+    damaged = stored.withColumn("Height_Ave_cm", changed).where(n != 4).unionByName(stored.where(n == 0))
+    return quality.round_trip(views.samples(spark, folder), damaged)
 
 
 @query(
@@ -172,19 +224,32 @@ def h12_same_keys(spark, folder):
     return quality.same_keys(views.samples(spark, folder), views.wide_targets(spark, folder))
 
 
+_DAMAGED = "(SELECT vec_id AS v FROM embeddings UNION ALL SELECT vec_id FROM embeddings WHERE vec_id < 10)"
+
+
 @query(
     "j17_validate",
     rules_sql(
-        ("missing_keys", "0", "0"),
-        ("missing_values", "0", "0"),
-        ("infinite_values", "0", "0"),
-        ("row_count", "500", "(SELECT count(*) FROM images)"),
-        ("duplicate_keys", "0", "(SELECT count(*) - count(DISTINCT image_path) FROM images)"),
+        ("missing_keys", "0", f"(SELECT count(*) FROM {_DAMAGED} WHERE v % 100 = 0)"),
+        ("missing_values", "0", f"(SELECT count(*) FILTER (v % 7 = 0) + count(*) FILTER (v % 9 = 0) FROM {_DAMAGED})"),
+        ("infinite_values", "0", f"(SELECT count(*) FROM {_DAMAGED} WHERE v % 11 = 0)"),
+        ("row_count", "500", f"(SELECT count(*) FROM {_DAMAGED})"),
+        ("duplicate_keys", "0", f"(SELECT count(*) - count(DISTINCT CASE WHEN v % 100 <> 0 THEN v ELSE -1 END) FROM {_DAMAGED})"),
     ),
 )
 def j17_validate(spark, folder):
-    names = pixels.colour_feature_names()
-    return quality.feature_table_checks(pixels.colour_features(views.pixels(spark, folder)), names, expected_rows=500)
+    """All 88 features, with keys and values that are absent, infinite or repeated."""
+    names = pixels.visual_feature_names()
+    table, n = pixels.visual_features(views.pixels(spark, folder)), _number()
+    damaged = table.unionByName(table.where(n < 10)).withColumns(
+        {
+            "texture_contrast": F.when(n % 7 == 0, F.lit(float("nan"))).otherwise(F.col("texture_contrast")),
+            "edge_density": F.when(n % 9 != 0, F.col("edge_density")),
+            "exg_mean": F.when(n % 11 == 0, F.lit(float("-inf"))).otherwise(F.col("exg_mean")),
+            KEY: F.when(n % 100 != 0, F.col(KEY)),
+        }
+    )
+    return quality.feature_table_checks(damaged, names, expected_rows=500)
 
 
 @query(

@@ -13,7 +13,12 @@ from sward.plans import ridge, scoring
 from sward.sources import views
 from sward.streaming import assessments
 
-LOG = "SELECT token, State, Species, Dry_Total_g, area_m2 FROM monitor"
+LOG = "SELECT token, ts, State, Species, Dry_Total_g, area_m2 FROM monitor"
+
+
+def _plain_time(df):
+    """``ts`` without a time zone, as the SQL side has it."""
+    return df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 def _log(spark, folder):
@@ -22,14 +27,14 @@ def _log(spark, folder):
 
 @query("l1_append", sql(LOG))
 def l1_append(spark, folder):
-    return assessments.drain_appends(_log(spark, folder), "log").drop("ts")
+    return _plain_time(assessments.drain_appends(_log(spark, folder), "log"))
 
 
 @query("l2_dedup_stream", sql(LOG))
 def l2_dedup_stream(spark, folder):
     """Every event arrives twice; each token is committed once."""
     twice = _log(spark, folder).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    return assessments.drain_appends(assessments.commit_once(twice, "40 days"), "log-once").drop("ts")
+    return _plain_time(assessments.drain_appends(assessments.commit_once(twice, "2 days"), "log-once"))
 
 
 @query("l3_running", sql(f"SELECT State, count(*) AS assessments, {r('avg(Dry_Total_g)', 'mean_value')} FROM monitor GROUP BY State"))
@@ -38,10 +43,11 @@ def l3_running(spark, folder):
     return base.rounded(assessments.drain_updates(totals, "running", ["State"]))
 
 
-@query("l4_latest", sql("SELECT State, token, Species, Dry_Total_g, area_m2 FROM monitor QUALIFY row_number() OVER (PARTITION BY State ORDER BY ts DESC, token DESC) = 1"))
+@query("l4_latest", sql("SELECT State, token, ts, Species, Dry_Total_g, area_m2 FROM monitor QUALIFY row_number() OVER (PARTITION BY State ORDER BY ts DESC, token DESC) = 1"))
 def l4_latest(spark, folder):
     newest = assessments.latest(_log(spark, folder))
-    return assessments.drain_updates(newest, "latest", ["State"]).select("State", "token", "Species", "Dry_Total_g", "area_m2")
+    state = assessments.drain_updates(newest, "latest", ["State"])
+    return _plain_time(state).select("State", "token", "ts", "Species", "Dry_Total_g", "area_m2")
 
 
 @query(
@@ -71,16 +77,16 @@ def l6_score_stream(spark, folder):
     return base.rounded(assessments.drain_appends(scored, "scored").select("token", "target", "pred"), 4)
 
 
-@query("l8_filter_stream", sql("SELECT token, State, Species, Dry_Total_g, area_m2 FROM monitor WHERE State = 'error' AND Species = '7'"))
+@query("l8_filter_stream", sql("SELECT token, ts, State, Species, Dry_Total_g, area_m2 FROM monitor WHERE State = 'error' AND Species = '7'"))
 def l8_filter_stream(spark, folder):
     chosen = assessments.filtered(_log(spark, folder), state="error", species="7")
-    return assessments.drain_appends(chosen, "filtered").drop("ts")
+    return _plain_time(assessments.drain_appends(chosen, "filtered"))
 
 
 @query("l8_unfiltered_stream", sql(LOG))
 def l8_unfiltered_stream(spark, folder):
     chosen = features.filter_optional(_log(spark, folder), State="All States", Species=None)
-    return assessments.drain_appends(chosen, "unfiltered").drop("ts")
+    return _plain_time(assessments.drain_appends(chosen, "unfiltered"))
 
 
 @query("k11_linear_batch", sql(f"SELECT image_path, target, {r('pred', 'pred')} FROM ({NEW_ROWS_SQL})"))

@@ -46,11 +46,15 @@ def rules_in_one_pass(df: DataFrame, checks: dict[str, tuple[Column | int, Colum
 
 
 def required_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """H1: names come from the schema and emptiness from one row, so nothing is scanned."""
-    absent = len(missing_columns(df, required))
+    """H1: names come from the schema and emptiness from one row, so nothing is scanned.
+
+    Every absent column also has a row of its own that names it.
+    """
+    absent = missing_columns(df, required)
+    named: dict[str, tuple[Column | int, Column]] = {f"missing_column:{c}": (0, F.lit(1)) for c in absent}
     return rules_in_one_pass(
         df.select(F.lit(1).alias("one")).limit(1),
-        {"required_columns_missing": (0, F.lit(absent)), "non_empty": (1, F.count("one"))},
+        {"required_columns_missing": (0, F.lit(len(absent))), **named, "non_empty": (1, F.count("one"))},
     )
 
 

@@ -59,15 +59,44 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_STORED: dict[tuple[str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str], tuple[tuple, DataFrame, str]] = {}
+
+
+def listing(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the files in a folder and its tables: changes when the data does."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in files.listStatus(path) if files.exists(path) else []:
+        inner = files.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in inner]
+    return tuple(sorted(found))
+
+
+def delete_path(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored_once(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A derived table that is written the first time an application asks for it and read from then on.
+    """A derived table ``<folder>/<name>`` that is written when an application first asks for it and read from then on.
 
-    As in any pipeline, feature tables are built once and every report reads them.
+    As in any pipeline, feature tables are built once and every report reads them. When the files of the folder change,
+    the table is built again and the outdated one deleted; ``forget_stored`` deletes all of them.
     """
     key = (spark.sparkContext.applicationId, name)
+    folder, _, short = name.rpartition("/")
+    state = listing(spark, folder)
+    if key in _STORED and _STORED[key][0] != state:
+        delete_path(spark, _STORED.pop(key)[2])
     if key not in _STORED:
-        _STORED[key] = materialise(build(), name.rsplit("/", 1)[-1])
-    return _STORED[key]
+        path = work_path(spark, short)
+        build().write.mode("overwrite").parquet(path)
+        _STORED[key] = (state, spark.read.parquet(path), path)
+    return _STORED[key][1]
+
+
+def forget_stored(spark: SparkSession) -> None:
+    """Delete the stored tables of this application."""
+    for key in [k for k in _STORED if k[0] == spark.sparkContext.applicationId]:
+        delete_path(spark, _STORED.pop(key)[2])

@@ -66,10 +66,11 @@ def read_embeddings(spark: SparkSession, path: str, key: str = KEY, embedding: s
 def write_predictions(frame: DataFrame, path: str) -> None:
     """Out-of-fold predictions, laid out by configuration so that one experiment is one folder.
 
-    Rows are gathered by configuration and spread by key, which keeps the number of files per folder steady.
+    Rows are gathered by configuration; AQE splits and joins the tasks by their size, so files have the advisory size
+    whatever the number of rows.
     """
     (
-        frame.repartition("model", "feature_set", F.pmod(F.xxhash64(KEY), F.lit(32)))
+        frame.hint("rebalance", "model", "feature_set")
         .write.mode("overwrite")
         .partitionBy("model", "feature_set")
         .parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,14 +75,35 @@ def drain_appends(log: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(log.schema).parquet(path)
 
 
-def upsert_to(result: DataFrame, path: str, checkpoint: str):
+#: Batches after which an upsert table is written anew as a whole and its older batches go.
+SNAPSHOT_EVERY = 50
+
+
+def upsert_to(result: DataFrame, path: str, checkpoint: str, keys: Sequence[str], snapshot_every: int = SNAPSHOT_EVERY):
     """Write the changed groups of every batch under ``batch=<n>``.
 
-    A batch that is run again overwrites its own folder, so a restart never counts twice.
+    A batch that is run again overwrites its own folder, so a restart never counts twice. Every so many batches the
+    folder holds the newest version of all groups, after which the older ones are deleted; a crash in between leaves
+    old versions that the snapshot supersedes. So readers never meet more than that number of folders.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        spark = batch.sparkSession
+        if number % snapshot_every or not number:
+            batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+            return
+        root = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [status.getPath().getName() for status in files.listStatus(root)]
+        older = [n for n in names if n.startswith("batch=") and int(n[6:]) < number]
+        schema = T.StructType([*batch.schema.fields, T.StructField("batch", T.IntegerType())])
+        versions = batch.withColumn("batch", F.lit(number))
+        if older:
+            stored = spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{n}" for n in older])
+            versions = versions.unionByName(stored)
+        newest_versions(versions, list(keys), batch.columns).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        for n in older:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}"), True)
 
     return (
         result.writeStream.outputMode("update")
@@ -91,18 +114,21 @@ def upsert_to(result: DataFrame, path: str, checkpoint: str):
     )
 
 
+def newest_versions(versions: DataFrame, keys: list[str], columns: Sequence[str]) -> DataFrame:
+    others = [c for c in columns if c not in keys]
+    newest = versions.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col("batch")).alias("row"))
+    return newest.select(*keys, "row.*")
+
+
 def current_state(spark: SparkSession, path: str, keys: list[str], schema: T.StructType) -> DataFrame:
     """The newest version of every group from a table written by ``upsert_to``."""
     with_batch = T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())])
-    versions = spark.read.schema(with_batch).parquet(path)
-    others = [f.name for f in schema.fields if f.name not in keys]
-    newest = versions.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col("batch")).alias("row"))
-    return newest.select(*keys, "row.*")
+    return newest_versions(spark.read.schema(with_batch).parquet(path), keys, schema.names)
 
 
 def drain_updates(result: DataFrame, name: str, keys: list[str]) -> DataFrame:
     """Run an updating stream over everything available and return its current state."""
     spark = result.sparkSession
     path = work_path(spark, name)
-    upsert_to(result, path, f"{path}-checkpoint").awaitTermination()
+    upsert_to(result, path, f"{path}-checkpoint", keys).awaitTermination()
     return current_state(spark, path, keys, result.schema)

@@ -57,3 +57,54 @@ def test_trend_equals_its_batch_twin(spark, tmp_path):
     streamed = rows(assessments.drain_updates(assessments.windowed_trend(log(spark, folder)), "trend", ["window_start"]), "window_start")
     batch = views.monitor(spark.read.parquet(f"{folder}/events-1.parquet"))
     assert streamed == rows(assessments.windowed_trend(batch), "window_start")
+
+
+def test_upsert_tables_are_snapshotted_and_older_batches_go(spark, tmp_path):
+    """Five batches with a snapshot every two: few folders stay, and the newest version of every group is found."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from sward.streaming import assessments
+
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    for i in range(5):
+        spark.createDataFrame([(f"g{i % 3}", float(i), i), ("all", float(i), i)], "State string, v double, n int").coalesce(1).write.mode("append").parquet(str(source))
+    stream = spark.readStream.schema("State string, v double, n int").option("maxFilesPerTrigger", 1).parquet(str(source))
+    totals = stream.groupBy("State").agg(F.count("*").alias("c"), F.sum("v").alias("s"))
+    assessments.upsert_to(totals, target, str(tmp_path / "cp"), ["State"], snapshot_every=2).awaitTermination()
+    assert sorted(n for n in os.listdir(target) if n.startswith("batch=")) == ["batch=4"]
+    state = {r["State"]: (r["c"], r["s"]) for r in assessments.current_state(spark, target, ["State"], totals.schema).collect()}
+    assert state["all"] == (5, 10.0) and sum(c for c, _ in state.values()) == 10
+
+
+def test_duplicate_tokens_are_forgotten_after_the_watermark(spark, tmp_path):
+    """The second copy of a token within the delay is dropped; one that comes after its state expired is new."""
+    from pyspark.sql import functions as F
+
+    from sward.streaming import assessments
+
+    source = tmp_path / "in"
+    for token, day in ((1, 1), (1, 1), (2, 10), (3, 20), (1, 21)):
+        row = spark.createDataFrame([(token, day)], "token long, day int")
+        stamped = row.select("token", F.make_timestamp(F.lit(2024), F.lit(1), "day", F.lit(0), F.lit(0), F.lit(0)).alias("ts"))
+        stamped.coalesce(1).write.mode("append").parquet(str(source))
+    stream = spark.readStream.schema("token long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(str(source))
+    kept = assessments.drain_appends(assessments.commit_once(stream, "2 days"), "expiry")
+    assert sorted(r["token"] for r in kept.collect()) == [1, 1, 2, 3]
+
+
+def test_stored_tables_follow_their_inputs(spark, tmp_path):
+    from sward.session import forget_stored, stored_once
+
+    folder = str(tmp_path / "tables")
+    spark.range(3).write.parquet(f"{folder}/t.parquet")
+
+    def stored():
+        return stored_once(spark, f"{folder}/copy", lambda: spark.read.parquet(f"{folder}/t.parquet"))
+
+    assert stored().count() == 3
+    spark.range(2).write.mode("append").parquet(f"{folder}/t.parquet")
+    assert stored().count() == 5
+    forget_stored(spark)
+    assert stored().count() == 5
