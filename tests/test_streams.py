@@ -46,7 +46,7 @@ def test_running_totals_survive_restarts(spark, tmp_path):
         expected += [value for _, _, value in events]
         write_events(spark, folder, number, events)
         totals = assessments.running_totals(log(spark, folder))
-        assessments.upsert_to(totals, out, f"{out}-checkpoint").awaitTermination()
+        assessments.upsert_to(totals, out, f"{out}-checkpoint", ["State"]).awaitTermination()
         state = rows(assessments.current_state(spark, out, ["State"], totals.schema))
         assert state == [{"State": "view", "assessments": len(expected), "mean_value": sum(expected) / len(expected)}]
 
