@@ -58,9 +58,8 @@ def _other_folds(fold: str, folds: Sequence[int]) -> Column:
 def training_medians(df: DataFrame, columns: Sequence[str], folds: Sequence[int], fold: str = FOLD) -> DataFrame:
     """``(fold, column, median)`` over the rows outside each fold, exact."""
     long = df.unpivot([fold], list(columns), "column", "value").where(~is_missing("value"))
-    # One copy per training set, on three narrow columns; both passes over it combine before they shuffle.
-    trained = long.select(_other_folds(fold, folds).alias(fold), "column", "value")
-    return exact_quantiles(trained, "value", [0.5], [fold, "column"]).select(
+    others = F.array_compact(F.array(*[F.when(F.col(fold) != int(k), int(k)) for k in folds]))
+    return exact_quantiles(long, "value", [0.5], [fold, "column"], spread=(fold, others)).select(
         fold, "column", F.col("quantile").alias("median")
     )
 

@@ -107,9 +107,24 @@ def test_exact_quantiles_equal_numpy(spark, values):
         assert got[p] == pytest.approx(np.quantile(data, p), rel=1e-12)
 
 
-def test_quantile_with_a_coarse_sketch_is_exact_or_fails(spark):
-    df = spark.range(20_000).select(F.lit(1).alias("k"), (F.col("id") * F.col("id")).cast("double").alias("v"))
-    assert rows(exact_quantiles(df, "v", [0.5], ["k"], accuracy=50))[0]["quantile"] == pytest.approx((9999**2 + 10000**2) / 2)
+@pytest.mark.parametrize("size", [8, 200])
+def test_narrowed_brackets_stay_exact(spark, size):
+    """Many rounds with coarse sketches, ties and a hot value; brackets that miss their rank are not taken."""
+    rng = np.random.default_rng(8)
+    data = {"a": rng.normal(size=20_000), "b": np.where(rng.random(9000) < 0.6, 5.0, rng.random(9000) * 10), "c": np.full(3000, 2.0)}
+    df = spark.createDataFrame([(k, float(v)) for k, values in data.items() for v in values], "k string, v double").repartition(6)
+    for r in rows(exact_quantiles(df, "v", [0.0, 0.1, 0.5, 0.99], ["k"], few=100, size=size)):
+        assert r["quantile"] == pytest.approx(np.quantile(data[r["k"]], r["prob"]), rel=1e-12)
+
+
+@pytest.mark.parametrize("few", [50, 10**6])
+def test_quantiles_of_training_sets(spark, few):
+    rng = np.random.default_rng(1)
+    data = [(int(f), float(v)) for f, v in zip(rng.integers(0, 3, 2000), rng.normal(size=2000))]
+    df = spark.createDataFrame(data, "fold int, v double")
+    others = F.array_compact(F.array(*[F.when(F.col("fold") != k, k) for k in range(3)]))
+    for r in rows(exact_quantiles(df, "v", [0.25, 0.5], ["fold"], spread=("fold", others), few=few)):
+        assert r["quantile"] == pytest.approx(np.quantile([v for f, v in data if f != r["fold"]], r["prob"]), rel=1e-12)
 
 
 def test_small_tables_are_checked(spark):
