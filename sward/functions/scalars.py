@@ -141,3 +141,13 @@ def even_grid(steps: int = BLEND_STEPS) -> Column:
 
 def padded_name(prefix: str, index: int, width: int) -> str:
     return f"{prefix}{index:0{width}d}"
+
+
+def sql_text(value: str) -> str:
+    """A text literal for SQL expressions, whatever characters it has."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_name(column: str) -> str:
+    """A column name for SQL expressions, whatever characters it has."""
+    return "`" + column.replace("`", "``") + "`"

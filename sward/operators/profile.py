@@ -51,14 +51,18 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def matrix_profile(values: DataFrame, row_key: str, value: str = "value", dimension: str = "position") -> DataFrame:
     """One row about a feature or prediction matrix given as rows ``(row_key, dimension, value)``.
 
-    Rows, dimensions, range, mean, population std, and counts of NaN or NULL, infinite and negative entries. The rows
-    are counted as entries over dimensions, so no distinct aggregate of the key is needed; ``ragged`` tells when the
-    entries do not fill the matrix.
+    Rows, dimensions, range, mean, population std, and counts of NaN or NULL, infinite and negative entries.
+    ``n_samples`` counts distinct keys; ``ragged`` tells when some key doesn't have every dimension once.
     """
+    per_row = values.groupBy(row_key, dimension).agg(F.count(F.lit(1)).alias("copies")).groupBy(row_key).agg(
+        F.count(F.lit(1)).alias("dimensions"), F.max("copies").alias("copies")
+    )
+    shape = per_row.agg(
+        F.count(F.lit(1)).alias("n_samples"), F.min("dimensions").alias("fewest"), F.max("copies").alias("copies")
+    )
     v = F.col(value)
     usable = F.when(~is_missing(value) & ~is_infinite(value), v)
     per_dimension = values.groupBy(dimension).agg(
-        F.count(F.lit(1)).alias("entries"),
         F.count(usable).alias("n"),
         F.avg(usable).alias("mean"),
         F.coalesce(F.var_pop(usable), F.lit(0.0)).alias("variance"),
@@ -70,8 +74,7 @@ def matrix_profile(values: DataFrame, row_key: str, value: str = "value", dimens
     )
     mean = F.sum(F.col("n") * F.col("mean")) / F.sum("n")
     square = F.sum(F.col("n") * (F.col("variance") + F.pow("mean", 2.0))) / F.sum("n")
-    return per_dimension.agg(
-        F.max("entries").alias("n_samples"),
+    profile = per_dimension.agg(
         F.count(F.lit(1)).alias("n_features"),
         F.min("low").alias("feature_min"),
         F.max("high").alias("feature_max"),
@@ -81,8 +84,10 @@ def matrix_profile(values: DataFrame, row_key: str, value: str = "value", dimens
         F.sum("inf_count").alias("inf_count"),
         F.sum("negative_count").alias("negative_count"),
         F.count_if(F.col("variance") == 0).alias("zero_variance_features"),
-        (F.min("entries") != F.max("entries")).alias("ragged"),
     )
+    ragged = (F.col("fewest") != F.col("n_features")) | (F.col("copies") > 1)
+    one = F.lit(1).alias("_one")
+    return profile.select("*", one).join(shape.select("*", one), on="_one").select("n_samples", *profile.columns, F.coalesce(ragged, F.lit(False)).alias("ragged"))
 
 
 def dimension_profile(df: DataFrame, column: str) -> DataFrame:

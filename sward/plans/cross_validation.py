@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sward.constants import FOLD, KEY, RIDGE_ALPHA, TARGETS
-from sward.functions.scalars import clip_lower
+from sward.functions.scalars import clip_lower, sql_name, sql_text
 from sward.operators.bounded import held
 from sward.operators.features import training_rows, validation_rows
 from sward.operators.folds import checked_folds, covered_folds, found_folds
@@ -43,7 +43,7 @@ def ridge_oof(
     def fitted(what: str):
         """All of one kind of number as an array in the order of the plan."""
         cells = [
-            f"max({what}) FILTER (WHERE feature = '{c}' AND target = '{t}' AND alpha = {float(a)!r}D)" for _, a, _, c, t in plan
+            f"max({what}) FILTER (WHERE feature = {sql_text(c)} AND target = {sql_text(t)} AND alpha = {float(a)!r}D)" for _, a, _, c, t in plan
         ]
         return F.expr(f"array({', '.join(cells)})")
 
@@ -55,11 +55,11 @@ def ridge_oof(
     target_at, feature_at = f"i % {len(targets)}", f"i div {len(targets)} % {len(features)}"
 
     def pick(position: str, columns: Sequence[str]) -> str:
-        cases = " ".join(f"WHEN {j} THEN double(`{c}`)" for j, c in enumerate(columns))
+        cases = " ".join(f"WHEN {j} THEN double({sql_name(c)})" for j, c in enumerate(columns))
         return f"CASE {position} {cases} END"
 
     def names(values: Sequence[str]) -> str:
-        return "array(" + ", ".join(f"'{v}'" for v in values) + ")[i]"
+        return "array(" + ", ".join(sql_text(v) for v in values) + ")[i]"
 
     value = "_slopes[i] * x + _intercepts[i]"
     return (

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sward.constants import FOLD, RIDGE_ALPHA, TARGETS
+from sward.functions.scalars import sql_name, sql_text
 from sward.operators.bounded import held
 from sward.operators.folds import checked_folds, covered_folds, found_folds
 
@@ -38,11 +39,11 @@ def single_feature_fits(
     """
     folds = checked_folds(df, folds, fold)
     cells = ", ".join(
-        f"""struct('{x}' AS feature, '{y}' AS target, count_if(`{x}` IS NOT NULL AND `{y}` IS NOT NULL) AS n,
-            avg(`{x}`) FILTER (WHERE `{y}` IS NOT NULL) AS mx, avg(`{y}`) FILTER (WHERE `{x}` IS NOT NULL) AS my,
-            var_pop(`{x}`) FILTER (WHERE `{y}` IS NOT NULL) AS vx, covar_pop(`{x}`, `{y}`) AS cxy)"""
-        for x in features
-        for y in targets
+        f"""struct({sql_text(a)} AS feature, {sql_text(b)} AS target, count_if({x} IS NOT NULL AND {y} IS NOT NULL) AS n,
+            avg({x}) FILTER (WHERE {y} IS NOT NULL) AS mx, avg({y}) FILTER (WHERE {x} IS NOT NULL) AS my,
+            var_pop({x}) FILTER (WHERE {y} IS NOT NULL) AS vx, covar_pop({x}, {y}) AS cxy)"""
+        for a, x in ((c, sql_name(c)) for c in features)
+        for b, y in ((c, sql_name(c)) for c in targets)
     )
     per_fold = df.groupBy(fold).agg(F.expr(f"array({cells})").alias("m")).select(fold, F.inline("m"))
     merged = (

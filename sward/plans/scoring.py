@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sward.constants import BATCH_SIZE, FOLD, KEY, NUMERIC_METADATA, TARGETS
-from sward.functions.scalars import clip_lower, is_missing
+from sward.functions.scalars import clip_lower, is_missing, sql_name, sql_text
 from sward.operators.bounded import held
 from sward.operators.folds import FoldError
 
@@ -136,7 +136,7 @@ def score_with(df: DataFrame, models: LinearModels, key: str = KEY) -> DataFrame
     """
 
     def of_fold(feature: str, m: dict[str, float]) -> str:
-        x = f"double(`{feature}`)"
+        x = f"double({sql_name(feature)})"
         filled = f"CASE WHEN {x} IS NULL OR isnan({x}) THEN {m['median']!r}D ELSE {x} END"
         value = f"{m['slope']!r}D * ({filled} - {m['mean']!r}D) / {m['std']!r}D + {m['intercept']!r}D"
         return f"CASE WHEN {value} < 0 THEN 0D ELSE {value} END"
@@ -144,5 +144,5 @@ def score_with(df: DataFrame, models: LinearModels, key: str = KEY) -> DataFrame
     cells = []
     for (feature, target), fitted in models.items():
         total = " + ".join(f"({of_fold(feature, m)})" for m in fitted)
-        cells.append(f"struct('{feature}' AS feature, '{target}' AS target, ({total}) / {len(fitted)} AS pred)")
+        cells.append(f"struct({sql_text(feature)} AS feature, {sql_text(target)} AS target, ({total}) / {len(fitted)} AS pred)")
     return df.select(key, F.expr(f"inline(array({', '.join(cells)}))"))

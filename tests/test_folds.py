@@ -107,3 +107,20 @@ def test_ridge_keeps_its_digits_far_from_zero(spark):
         z, t = x[rows] - x[rows].mean(0), y[rows] - y[rows].mean()
         expected = np.linalg.solve(z.T @ z + np.eye(2), z.T @ t)
         assert fit["coefficients"] == pytest.approx(list(expected), abs=1e-6)
+
+
+def test_names_with_quotes_and_backticks(ten):
+    odd = ten.withColumnRenamed("Pre_GSHH_NDVI", "it's `x`")
+    out = ridge_oof(odd, {"f's": "it's `x`"}, {"m\\'s": 1.0}, targets=["GDM_g"])
+    assert out.select("model", "feature_set").distinct().collect() == [("m\\'s", "f's")]
+    assert out.count() == N
+
+
+def test_repeated_rows_make_a_matrix_ragged(spark):
+    from sward.operators import profile
+
+    table = spark.createDataFrame([("a", 0, 1.0), ("a", 1, 2.0), ("b", 0, 3.0), ("b", 1, 4.0)], "k string, position int, value double")
+    whole, double = (profile.matrix_profile(t, "k").first() for t in (table, table.union(table)))
+    assert (whole["n_samples"], whole["n_features"], whole["ragged"]) == (2, 2, False)
+    assert (double["n_samples"], double["ragged"]) == (2, True)
+    assert profile.matrix_profile(table.where("NOT (k = 'b' AND position = 1)"), "k").first()["ragged"]
