@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sward.session import materialise
+
 PARAMETER_ROWS = 10_000
+HELD_BYTES = 64 << 20
 
 
 def held(df: DataFrame, limit: int = PARAMETER_ROWS, what: str = "parameter table") -> DataFrame:
-    """Run a plan whose result is small by contract (fitted parameters) and keep the result in later plans.
+    """Run a plan whose result is usually small (fitted parameters) and keep the result in later plans.
 
-    Eager, as fitting a model is. At most ``limit + 1`` rows reach the driver and more than ``limit`` are an error. What
-    comes back is a local relation of known size, so joins broadcast it, and plans built on it stay short.
+    Eager, as fitting a model is. At most ``limit + 1`` rows reach the driver. What comes back is a local relation of
+    known size, so joins broadcast it, and plans built on it stay short. A result of more rows or bytes is written to
+    the shared folder instead and read from there, so that joins choose by its size.
     """
     table = df.limit(limit + 1).toArrow()
-    if table.num_rows > limit:
-        raise ValueError(f"{what} has more than {limit} rows")
+    if table.num_rows > limit or table.nbytes > HELD_BYTES:
+        return materialise(df, what.replace(" ", "-"))
     return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema))
 
 
