@@ -189,9 +189,12 @@ def train(vectors: DataFrame, labels: DataFrame, key: str = "doc_id", label: str
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg((F.avg(label) >= 0.5).cast("int").alias("y"))
     known = known.where(fold("_k") != 0)
+    # Ids alone decide which rows train; the vectors of those, a bounded number, meet them by broadcast.
+    present = vectors.select("key").join(known, F.col("key") == F.col("_k")).select("_k", "y", F.xxhash64("_k").alias("h")).distinct()
+    chosen = F.broadcast(present.orderBy("h", "_k").limit(TRAINING_ROWS))
     rows = (
-        vectors.join(known, F.col("key") == F.col("_k"))
-        .select("vector", "y", (fold("key") == 1).alias("calibrates"), F.xxhash64("key").alias("h"), "key")
+        vectors.join(chosen, F.col("key") == F.col("_k"))
+        .select("vector", "y", (fold("key") == 1).alias("calibrates"), "h", "key")
         .orderBy("h", "key")
         .limit(TRAINING_ROWS)
         .select("vector", "y", "calibrates")
