@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sward.llm.content import addressed, distinct_digests, owned_texts
+from sward.session import materialise
 
 CACHE = "digest binary, tokenizer string, n_tokens long"
 
@@ -57,7 +58,8 @@ def count_tokens(docs: DataFrame, model_path: str, cache: str, limit: int = 4096
 
     The content is normalised no further than null to empty, since any other change could change the count. Misses are
     appended to ``cache`` (a Parquet folder that all executors reach) under the model's digest before the result is
-    read from it, so a run that dies leaves either none or all of its counts; duplicates of concurrent runs agree.
+    read from it, so a run that dies leaves either none or all of its counts; duplicates of concurrent runs agree. Counts
+    are written once more without duplicates, so that AQE can split the last join at a digest with many rows.
     """
     spark = docs.sparkSession
     version = model_version(model_path)
@@ -65,6 +67,6 @@ def count_tokens(docs: DataFrame, model_path: str, cache: str, limit: int = 4096
     misses = distinct_digests(rows).join(read_cache(spark, cache, version).select("digest"), "digest", "left_anti")
     fresh = owned_texts(rows, misses).mapInArrow(_counter(model_path), "digest binary, n_tokens long")
     fresh.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
-    counts = read_cache(spark, cache, version)
+    counts = materialise(read_cache(spark, cache, version), "token-counts-read")
     narrow = rows.select(F.col("key").alias(key), "digest", F.octet_length("text").cast("long").alias("n_bytes"))
     return narrow.join(counts, "digest").select(key, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
