@@ -13,13 +13,13 @@ different classes is verified against whole sets.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,19 +39,26 @@ BROADCAST_IDS = 1_000_000
 LIST_COST = 3
 #: Largest boundary that is considered; subsets grow with the square of the size.
 LARGEST_LIGHT = 64
-#: Spread of a leader's verification over tasks.
-SALTS = 16
-FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
-
-
-class Words(dict):
-    """Word to its 64-bit hash; remembers what it has seen, up to a limit."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+#: Pairs of one first document that are verified together; more are spread over tasks.
+GROUP = 256
+#: Odd multipliers modulo 2**64: of a word's bytes and of a shingle's words.
+BYTE_FACTOR, WORD_FACTOR = 0x9E3779B97F4A7C15, np.uint64(0xC2B2AE3D27D4EB4F)
+#: A random number for every byte, and whether it separates words.
+BYTE_VALUES = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+SEPARATES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Bytes that are hashed together; longer texts are cut between words.
+BLOCK = 1 << 20
+
+
+@functools.lru_cache(maxsize=1)
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the byte multiplier and of its inverse modulo 2**64."""
+    both = []
+    for factor in (BYTE_FACTOR, pow(BYTE_FACTOR, -1, 1 << 64)):
+        column = np.full(BLOCK + 1, factor, np.uint64)
+        column[0] = 1
+        both.append(np.multiply.accumulate(column))
+    return both[0], both[1]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -60,19 +67,57 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None, known: Words) -> np.ndarray:
+def block_hashes(data: bytes) -> np.ndarray:
+    """64-bit hashes of the words of at most ``BLOCK`` bytes, from running sums over the bytes instead of word by word."""
+    up, down = powers()
+    codes = np.frombuffer(data, np.uint8)
+    inside = np.concatenate([[False], ~SEPARATES[codes], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    upto = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(BYTE_VALUES[codes] * up[: len(codes)], out=upto[1:])
+    return mixed((upto[ends] - upto[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    if len(data) <= BLOCK:
+        return block_hashes(data)
+    parts, at = [], 0
+    while at < len(data):
+        end = min(at + BLOCK, len(data))
+        if end < len(data):
+            cut = max(data.rfind(bytes([c]), at, end) for c in (9, 10, 11, 12, 13, 32))
+            if cut < 0:
+                # One word longer than a block: it is hashed as its halves' names.
+                stop = min((i for c in (9, 10, 11, 12, 13, 32) if (i := data.find(bytes([c]), end)) >= 0), default=len(data))
+                parts.append(np.array([int.from_bytes(hashlib.blake2b(data[at:stop].lstrip(), digest_size=8).digest(), "little")], np.uint64))
+                at = stop
+                continue
+            end = cut
+        if end > at:
+            parts.append(block_hashes(data[at:end]))
+        at = max(end, at + 1)
+    return np.concatenate(parts) if parts else np.empty(0, np.uint64)
+
+
+def shingles(text: str | None) -> np.ndarray:
     """The distinct shingles of a text as sorted 64-bit hashes; a text of fewer words is one shingle, of none no shingle."""
-    words = utf8(text).translate(ASCII_LOWER).split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    if len(h) < SIZE:
-        return mixed((h * FACTORS[: len(h)]).sum(keepdims=True, dtype=np.uint64) + np.uint64(len(h)))
-    last = len(h) - SIZE + 1
-    total = np.zeros(last, np.uint64)
-    for k in range(SIZE):
-        total += h[k : k + last] * FACTORS[k]
-    return np.unique(mixed(total))
+    h = word_hashes(utf8(text).translate(ASCII_LOWER))
+    if not len(h):
+        return h
+    size = min(SIZE, len(h))
+    last = len(h) - size + 1
+    total = h[:last].copy()
+    for k in range(1, size):
+        total *= WORD_FACTOR
+        total += h[k : k + last]
+    if size < SIZE:
+        total += np.uint64(size)
+    total = np.sort(mixed(total))
+    first = np.empty(last, bool)
+    first[0] = True
+    np.not_equal(total[1:], total[:-1], out=first[1:])
+    return total[first]
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -94,7 +139,7 @@ SUMMARY = "key long, n long, print binary, least array<long>, known array<long>,
 
 def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per document, and rows without key that hold how often the task's more frequent shingles occur."""
-    words, seen, waiting, size = Words(), set(), [], 0
+    seen, waiting, size = set(), [], 0
     names, types = zip(*[(f.name, f.type) for f in SUMMARY_ARROW])
 
     def counted() -> list:
@@ -105,7 +150,7 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
-            found = shingles(text, words)
+            found = shingles(text)
             if not len(found):
                 rows.append([key, 0, None, None, None, None])
                 continue
@@ -139,21 +184,21 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """``(a, b)``: the pairs whose whole sets are similar. ``pairs`` is a written table of distinct pairs.
 
     Sets are made from the texts of the documents concerned. A pair's second set goes to its first, whose own set goes
-    to every salt of it; each task then streams sets behind the one they are compared with.
+    to as many tasks as its pairs need; each task then streams sets behind the one they are compared with.
     """
     ids = materialise(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct(), "pair-ids")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         for batch in batches:
-            sets = [shingles(t, words).tobytes() for t in batch.column("text").to_pylist()]
+            sets = [shingles(t).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], names=["key", "set"])
 
-    sets = materialise(_of_ids(texts, ids, "left_semi").select("key", "text").mapInArrow(make, "key long, set binary"), "pair-sets")
-    salt = F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")
-    members = pairs.select(F.col("a").alias("group"), salt.alias("salt"), F.col("b").alias("key"), F.lit(1).alias("role"))
-    leaders = members.select("group", "salt", F.col("group").alias("key"), F.lit(0).alias("role")).distinct()
-    dealt = members.union(leaders).join(sets, "key").select("group", "salt", "role", "key", "set")
+    sets = _of_ids(texts, ids, "left_semi").select("key", "text").mapInArrow(make, "key long, set binary")
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
+    members = pairs.join(parts, "a").select(F.col("a").alias("group"), F.pmod(F.xxhash64("b"), "parts").alias("part"), F.col("b").alias("key"), F.lit(1).alias("role"))
+    leaders = members.select("group", "part", F.col("group").alias("key"), F.lit(0).alias("role")).distinct()
+    dealing = materialise(members.union(leaders), "pair-dealing")
+    dealt = _of_ids(sets, dealing, "inner").select("group", "part", "role", "key", "set")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, own = None, None
@@ -167,7 +212,7 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
                     links.append((group, key))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return dealt.repartition("group", "salt").sortWithinPartitions("group", "salt", "role", "key").mapInArrow(compare, "a long, b long").distinct()
+    return dealt.repartition("group", "part").sortWithinPartitions("group", "part", "role", "key").mapInArrow(compare, "a long, b long").distinct()
 
 
 def boundary(sizes: dict[int, int], larger: int) -> int:
@@ -181,33 +226,64 @@ def boundary(sizes: dict[int, int], larger: int) -> int:
     return min(range(1, LARGEST_LIGHT + 1), key=cost)
 
 
-def join_keys(found: np.ndarray, order: np.ndarray, light: int) -> np.ndarray:
-    """The keys under which a set meets similar ones; ``order`` sorts ``found`` by the global order."""
+class Order:
+    """The global order: shingles by known frequency, unknown ones (0) first, then by hash."""
+
+    BITS = 22
+
+    def __init__(self, known: np.ndarray, times: np.ndarray):
+        by_hash = np.argsort(known)
+        self.known, self.times = known[by_hash], times[by_hash]
+        self.maybe = np.zeros(1 << self.BITS, bool)
+        self.maybe[self.known >> np.uint64(64 - self.BITS)] = True
+
+    def first(self, found: np.ndarray, n: int) -> np.ndarray:
+        """The ``n`` first of a sorted set, in order."""
+        times = np.zeros(len(found), np.int64)
+        asked = np.flatnonzero(self.maybe[found >> np.uint64(64 - self.BITS)])
+        if len(asked):
+            at = np.minimum(np.searchsorted(self.known, found[asked]), len(self.known) - 1)
+            times[asked] = np.where(self.known[at] == found[asked], self.times[at], 0)
+        plain = found[times == 0]
+        if len(plain) >= n:
+            return plain[:n]
+        often = np.flatnonzero(times)
+        return np.concatenate([plain, found[often[np.lexsort((found[often], times[often]))]][: n - len(plain)]])
+
+
+def in_lists(n: int, light: int) -> bool:
+    """Whether a set of this size can be similar to one above the boundary, or is one."""
+    return 100 * n >= PERCENT * (light + 1)
+
+
+def join_keys(found: np.ndarray, order: Order, light: int) -> np.ndarray:
+    """The keys under which a set meets similar ones: shingles of the short prefix, or pairs of the long one.
+
+    The lowest bit tells the two kinds apart.
+    """
     n = len(found)
     one, two = prefix_lengths(n)
+    first = order.first(found, two)
     keys = []
-    if 100 * n >= PERCENT * (light + 1):
-        keys.append(found[order[:one]])
+    if in_lists(n, light):
+        keys.append(first[:one] | np.uint64(1))
     if 2 <= n <= light:
-        first = np.sort(found[order[:two]])
+        first = np.sort(first)
         a, b = np.triu_indices(two, 1)
-        keys.append(mixed(first[a] * FACTORS[0] + first[b] * FACTORS[1]))
+        keys.append(mixed(first[a] * WORD_FACTOR + first[b]) & ~np.uint64(1))
     return np.concatenate(keys) if keys else np.empty(0, np.uint64)
 
 
-def _entries(texts: DataFrame, classes: DataFrame, known: np.ndarray, times: np.ndarray, light: int) -> DataFrame:
+def _entries(texts: DataFrame, classes: DataFrame, order: Order, light: int) -> DataFrame:
     """``(join_key, cls, key, n)``: the keys of the first document of every distinct set, with its class so far."""
-    order_by = texts.sparkSession.sparkContext.broadcast((known, times))
+    shared_order = texts.sparkSession.sparkContext.broadcast(order)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, (often, count) = Words(), order_by.value
         for batch in batches:
             all_keys, sizes = [np.empty(0, np.uint64)], []
             for text in batch.column("text").to_pylist():
-                found = shingles(text, words)
-                at = np.minimum(np.searchsorted(often, found), max(0, len(often) - 1))
-                rank = np.where(often[at] == found, count[at], 0) if len(often) else np.zeros(len(found), np.int64)
-                all_keys.append(join_keys(found, np.lexsort((found, rank)), light) if len(found) else found)
+                found = shingles(text)
+                all_keys.append(join_keys(found, shared_order.value, light) if len(found) else found)
                 sizes.append(len(found))
             lengths = np.array([len(k) for k in all_keys[1:]], np.int64)
             rows = np.repeat(np.arange(len(lengths)), lengths)
@@ -218,6 +294,24 @@ def _entries(texts: DataFrame, classes: DataFrame, known: np.ndarray, times: np.
     return classed.select("key", F.coalesce("cls", "key").alias("cls"), "text").mapInArrow(emit, "join_key long, cls long, key long, n long")
 
 
+def candidate_pairs(met: DataFrame) -> DataFrame:
+    """``(a, b)``: pairs of sets of different classes that could be similar, from entries of lists with several classes.
+
+    With k shingles in common in both short prefixes, the rest of the set whose prefix ends first adds fewer than the
+    overlap it needs itself; pairs that cannot reach the overlap of their two sizes go without being verified.
+    """
+    other = met.select("join_key", *[F.col(c).alias(f"{c}_2") for c in ("cls", "key", "n")])
+    fits = (F.col("cls") < F.col("cls_2")) & (100 * F.least("n", "n_2") >= PERCENT * F.greatest("n", "n_2"))
+    of_list = F.col("join_key").bitwiseAND(1) == 1
+    counted = met.join(other, "join_key").where(fits).groupBy("key", "key_2").agg(
+        F.count_if(of_list).alias("k"), F.count_if(~of_list).alias("subsets"), F.max("n").alias("n"), F.max("n_2").alias("n_2")
+    )
+    overlap = F.ceil(F.lit(PERCENT) * (F.col("n") + F.col("n_2")) / (100 + PERCENT))
+    own = F.ceil(F.lit(PERCENT) * F.greatest("n", "n_2") / 100)
+    reaches = (F.col("subsets") > 0) | (F.col("k") + own - 1 >= overlap)
+    return counted.where(reaches).select(F.col("key").alias("a"), F.col("key_2").alias("b"))
+
+
 def leader_pairs(sets: DataFrame) -> DataFrame:
     """``(a, b)``: for each set the leader it shares most of its minimum hashes with; at most one pair per set.
 
@@ -259,21 +353,17 @@ def join_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     often = summary.where("known IS NOT NULL").select(F.explode(F.arrays_zip("known", "times")).alias("k")).groupBy("k.known").agg(F.sum("k.times").alias("times"))
     top = often.orderBy(F.desc("times"), "known").limit(KNOWN).toArrow()
-    known, times = top.column("known").to_numpy().view(np.uint64), top.column("times").to_numpy()
-    by_value = np.argsort(known)
+    order = Order(top.column("known").to_numpy().view(np.uint64), top.column("times").to_numpy())
     small = firsts.where(F.col("n") <= 2 * LARGEST_LIGHT).groupBy("n").count().collect()
     larger = firsts.where(F.col("n") > 2 * LARGEST_LIGHT).agg(F.sum(F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)).first()[0] or 0
     light = boundary({r["n"]: r["count"] for r in small}, larger)
 
-    entries = _entries(texts.where("key IS NOT NULL"), classes, known[by_value], times[by_value], light)
+    entries = _entries(texts.where("key IS NOT NULL"), classes, order, light)
     shared = entries.groupBy("join_key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high").select("join_key")
     shared = materialise(shared, "shared-keys")
     few = shared.count() <= BROADCAST_IDS
     met = materialise(entries.join(F.broadcast(shared) if few else shared, "join_key"), "list-entries")
-    other = met.select("join_key", *[F.col(c).alias(f"{c}_2") for c in ("cls", "key", "n")])
-    fits = (F.col("cls") < F.col("cls_2")) & (100 * F.least("n", "n_2") >= PERCENT * F.greatest("n", "n_2"))
-    candidates = met.join(other, "join_key").where(fits).select(F.col("key").alias("a"), F.col("key_2").alias("b")).distinct()
-    candidates = materialise(candidates, "candidate-pairs")
+    candidates = materialise(candidate_pairs(met), "candidate-pairs")
     more = verified(texts, candidates)
 
     linked = components(links.union(more)).withColumnRenamed("node", "key")
