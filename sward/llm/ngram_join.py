@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sward.llm.components import components
@@ -28,9 +28,17 @@ from sward.llm.textual import ASCII_LOWER, CACHED_WORDS, utf8
 from sward.session import materialise
 
 SIZE, PERCENT = 5, 75
-#: Shingles whose frequency the global order knows, the most frequent ones: 4 MB in the driver and in every worker. The
+#: Shingles whose frequency the global order knows, the most frequent ones: 20 MB in the driver and in every worker. The
 #: order decides how long lists get, never which pairs are found.
-KNOWN = 1 << 18
+KNOWN = 1 << 20
+#: Bits of the filter of list keys per key, and the logarithm of its most 64-bit words (32 MB). With more keys than that
+#: holds it lets more entries through to the exact join.
+KEY_BITS, MOST_WORDS = 16, 22
+#: Leaders that a set of another class is compared with in a round over the lists, and rounds at most; a round that
+#: finds no link is the last. What rounds leave is enumerated in full.
+LEADERS, ROUNDS = 3, 2
+#: Percentage of a set's size by which prefixes are longer than they need be, so that pairs have to share as many shingles more.
+MARGIN = 3
 #: Shingles of a task that are counted together.
 COUNTED = 1 << 22
 #: Joins of texts with at most so many ids broadcast them; with more, both sides are shuffled.
@@ -274,42 +282,99 @@ def join_keys(found: np.ndarray, order: Order, light: int) -> np.ndarray:
     return np.concatenate(keys) if keys else np.empty(0, np.uint64)
 
 
-def _entries(texts: DataFrame, classes: DataFrame, order: Order, light: int) -> DataFrame:
-    """``(join_key, cls, key, n)``: the keys of the first document of every distinct set, with its class so far."""
-    shared_order = texts.sparkSession.sparkContext.broadcast(order)
+def key_filter(shared: DataFrame, n: int) -> np.ndarray:
+    """A blocked Bloom filter of list keys: 64-bit words with two bits a key. Made by the cluster, a bounded number of words."""
+    bits = min(MOST_WORDS, max(6, math.ceil(math.log2(max(1, n) * KEY_BITS / 64))))
+    bit = "shiftleft(1L, cast(shiftright(join_key, {}) & 63 as int))"
+    word = F.expr(f"shiftrightunsigned(join_key, {64 - bits})").alias("word")
+    found = shared.groupBy(word).agg(F.bit_or(F.expr(f"{bit.format(2)} | {bit.format(8)}")).alias("bits")).toArrow()
+    words = np.zeros(1 << bits, np.uint64)
+    words[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return words
+
+
+def passing(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Whether keys may be in the filter; those that are always pass."""
+    place = keys >> np.uint64(65 - len(words).bit_length())
+    mask = (np.uint64(1) << ((keys >> np.uint64(2)) & np.uint64(63))) | (np.uint64(1) << ((keys >> np.uint64(8)) & np.uint64(63)))
+    return words[place] & mask == mask
+
+
+def _entries(texts: DataFrame, classes: DataFrame, order: Order, light: int, words: np.ndarray | None = None) -> DataFrame:
+    """``(join_key, cls, key, n, at)``: the keys of the first document of every distinct set, with its class so far.
+
+    ``at`` is the place of a shingle in the global order of its set, and 0 for pairs of shingles. With a filter, only
+    keys that pass it.
+    """
+    shared_order = texts.sparkSession.sparkContext.broadcast((order, words))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order, words = shared_order.value
         for batch in batches:
-            all_keys, sizes = [np.empty(0, np.uint64)], []
+            all_keys, places, sizes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], []
             for text in batch.column("text").to_pylist():
                 found = shingles(text)
-                all_keys.append(join_keys(found, shared_order.value, light) if len(found) else found)
+                keys = join_keys(found, order, light) if len(found) else found
+                at = np.arange(len(keys)) * (keys & np.uint64(1)).astype(np.int64)
+                if words is not None:
+                    pass_ = passing(keys, words)
+                    keys, at = keys[pass_], at[pass_]
+                all_keys.append(keys)
+                places.append(at)
                 sizes.append(len(found))
             lengths = np.array([len(k) for k in all_keys[1:]], np.int64)
             rows = np.repeat(np.arange(len(lengths)), lengths)
-            columns = [batch.column("cls").take(pa.array(rows)), batch.column("key").take(pa.array(rows)), pa.array(np.array(sizes, np.int64)[rows])]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(all_keys).view(np.int64)), *columns], names=["join_key", "cls", "key", "n"])
+            columns = [batch.column("cls").take(pa.array(rows)), batch.column("key").take(pa.array(rows)), pa.array(np.array(sizes, np.int64)[rows]), pa.array(np.concatenate(places))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(all_keys).view(np.int64)), *columns], names=["join_key", "cls", "key", "n", "at"])
 
     classed = _of_ids(texts, classes, "left").where(F.coalesce("stays", F.lit(True)))
-    return classed.select("key", F.coalesce("cls", "key").alias("cls"), "text").mapInArrow(emit, "join_key long, cls long, key long, n long")
+    return classed.select("key", F.coalesce("cls", "key").alias("cls"), "text").mapInArrow(emit, "join_key long, cls long, key long, n long, at long")
+
+
+def several_classes(entries: DataFrame) -> DataFrame:
+    """Keys of lists with more than one class; combined in the map tasks."""
+    return entries.groupBy("join_key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high").select("join_key")
+
+
+def list_leaders(met: DataFrame, number: int) -> DataFrame:
+    """``(a, b)``: each set outside the largest class of its lists with the leaders it meets in most of them.
+
+    A list's leader is one set of the class that has most entries there, drawn anew for every eighth of the lists and
+    every round. Linking to leaders merges a large group of near copies with few pairs, before pairs are enumerated.
+    """
+    draw = F.xxhash64("key", F.pmod(F.xxhash64("join_key"), F.lit(8)), F.lit(number))
+    sizes = met.groupBy("join_key", "cls").agg(F.count("*").alias("c"), F.min(F.struct(draw, "key", "n")).alias("leader"))
+    best = sizes.groupBy("join_key").agg(F.max_by(F.struct("cls", "leader"), F.struct("c", "cls")).alias("best"))
+    led = best.select("join_key", F.col("best.cls").alias("led"), F.col("best.leader.key").alias("a"), F.col("best.leader.n").alias("m"))
+    meets = met.join(led, "join_key").where((F.col("cls") != F.col("led")) & (100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m")))
+    counted = meets.groupBy("key", "a").agg(F.count("*").alias("agree"))
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("agree"), "a"))
+    return counted.withColumn("rank", rank).where(F.col("rank") <= LEADERS).select("a", F.col("key").alias("b"))
+
+
+def reclassed(met: DataFrame, links: DataFrame) -> DataFrame:
+    """Entries with the classes that links make, of lists that still have several."""
+    classes = components(links).select(F.col("node").alias("_k"), "component")
+    named = met.join(classes, F.col("key") == F.col("_k"), "left").withColumn("cls", F.coalesce("component", "cls")).drop("_k", "component")
+    return named.join(several_classes(named), "join_key", "left_semi")
 
 
 def candidate_pairs(met: DataFrame) -> DataFrame:
     """``(a, b)``: pairs of sets of different classes that could be similar, from entries of lists with several classes.
 
-    With k shingles in common in both short prefixes, the rest of the set whose prefix ends first adds fewer than the
-    overlap it needs itself; pairs that cannot reach the overlap of their two sizes go without being verified.
+    Two sets of sizes n and m that overlap in c = t / (1 + t) (n + m) shingles share l of their first n - c + l and
+    m - c + l. That is shorter than the prefix which a set needs for partners of any size, so only matches inside it
+    count, and a pair needs l of them; l grows with the sizes as far as the prefixes that were listed allow.
     """
-    other = met.select("join_key", *[F.col(c).alias(f"{c}_2") for c in ("cls", "key", "n")])
-    fits = (F.col("cls") < F.col("cls_2")) & (100 * F.least("n", "n_2") >= PERCENT * F.greatest("n", "n_2"))
-    of_list = F.col("join_key").bitwiseAND(1) == 1
-    counted = met.join(other, "join_key").where(fits).groupBy("key", "key_2").agg(
-        F.count_if(of_list).alias("k"), F.count_if(~of_list).alias("subsets"), F.max("n").alias("n"), F.max("n_2").alias("n_2")
-    )
+    other = met.select("join_key", *[F.col(c).alias(f"{c}_2") for c in ("cls", "key", "n", "at")])
+    larger = F.greatest("n", "n_2")
     overlap = F.ceil(F.lit(PERCENT) * (F.col("n") + F.col("n_2")) / (100 + PERCENT))
-    own = F.ceil(F.lit(PERCENT) * F.greatest("n", "n_2") / 100)
-    reaches = (F.col("subsets") > 0) | (F.col("k") + own - 1 >= overlap)
-    return counted.where(reaches).select(F.col("key").alias("a"), F.col("key_2").alias("b"))
+    share = F.least(1 + F.floor(larger * MARGIN / 100), overlap - F.ceil(larger * PERCENT / 100) + 1)
+    of_list = F.col("join_key").bitwiseAND(1) == 1
+    inside = (F.col("at") < F.col("n") - overlap + share) & (F.col("at_2") < F.col("n_2") - overlap + share)
+    fits = (F.col("cls") < F.col("cls_2")) & (100 * F.least("n", "n_2") >= PERCENT * larger) & (~of_list | inside)
+    counted = met.join(other, "join_key").where(fits).groupBy("key", "key_2").agg(F.count_if(of_list).alias("k"), F.count_if(~of_list).alias("subsets"), F.max(share).alias("share"))
+    return counted.where((F.col("subsets") > 0) | (F.col("k") >= F.col("share"))).select(F.col("key").alias("a"), F.col("key_2").alias("b"))
 
 
 def leader_pairs(sets: DataFrame) -> DataFrame:
@@ -358,11 +423,16 @@ def join_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     larger = firsts.where(F.col("n") > 2 * LARGEST_LIGHT).agg(F.sum(F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)).first()[0] or 0
     light = boundary({r["n"]: r["count"] for r in small}, larger)
 
-    entries = _entries(texts.where("key IS NOT NULL"), classes, order, light)
-    shared = entries.groupBy("join_key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high").select("join_key")
-    shared = materialise(shared, "shared-keys")
-    few = shared.count() <= BROADCAST_IDS
-    met = materialise(entries.join(F.broadcast(shared) if few else shared, "join_key"), "list-entries")
+    named = texts.where("key IS NOT NULL")
+    shared = materialise(several_classes(_entries(named, classes, order, light)), "shared-keys")
+    words = key_filter(shared, shared.count())
+    met = materialise(_entries(named, classes, order, light, words).join(shared, "join_key", "left_semi"), "list-entries")
+    for number in range(ROUNDS):
+        found = materialise(verified(texts, materialise(list_leaders(met, number), "list-leaders")), "list-links")
+        if not found.limit(1).count():
+            break
+        links = materialise(links.union(found), "links")
+        met = materialise(reclassed(met, links), "list-entries")
     candidates = materialise(candidate_pairs(met), "candidate-pairs")
     more = verified(texts, candidates)
 
