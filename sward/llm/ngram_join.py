@@ -24,23 +24,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sward.llm.components import components
-from sward.llm.textual import ASCII_LOWER, CACHED_WORDS, utf8
+from sward.llm.textual import ASCII_LOWER, utf8
 from sward.session import materialise
 
 SIZE, PERCENT = 5, 75
-#: Shingles whose frequency the global order knows, the most frequent ones: 20 MB in the driver and in every worker. The
+#: Shingles whose frequency the global order knows, the most frequent ones: 6 MB in the driver and in every worker. The
 #: order decides how long lists get, never which pairs are found.
-KNOWN = 1 << 20
-#: Bits of the filter of list keys per key, and the logarithm of its most 64-bit words (32 MB). With more keys than that
+KNOWN = 1 << 18
+#: Bits of the filter of list keys per key, and the logarithm of its most 64-bit words (8 MB). With more keys than that
 #: holds it lets more entries through to the exact join.
-KEY_BITS, MOST_WORDS = 16, 22
+KEY_BITS, MOST_WORDS = 16, 20
 #: Leaders that a set of another class is compared with in a round over the lists, and rounds at most; a round that
 #: finds no link is the last. What rounds leave is enumerated in full.
 LEADERS, ROUNDS = 3, 2
 #: Percentage of a set's size by which prefixes are longer than they need be, so that pairs have to share as many shingles more.
 MARGIN = 3
 #: Shingles of a task that are counted together.
-COUNTED = 1 << 22
+COUNTED = 1 << 20
 #: Joins of texts with at most so many ids broadcast them; with more, both sides are shuffled.
 BROADCAST_IDS = 1_000_000
 #: Cost of an entry in an inverted list, in enumerated subsets: lists of one shingle meet more often than pairs of two.
@@ -55,7 +55,7 @@ BYTE_FACTOR, WORD_FACTOR = 0x9E3779B97F4A7C15, np.uint64(0xC2B2AE3D27D4EB4F)
 BYTE_VALUES = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SEPARATES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 #: Bytes that are hashed together; longer texts are cut between words.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 
 @functools.lru_cache(maxsize=1)
@@ -155,7 +155,7 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = times > 1
         return [None, None, None, None, values[often].view(np.int64), times[often]]
 
-    for batch in batches:
+    for batch in sliced(batches):
         rows = []
         for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
             found = shingles(text)
@@ -166,7 +166,7 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = np.searchsorted(found, np.arange(8, dtype=np.uint64) << np.uint64(61))
             ends = np.append(starts[1:], len(found))
             rows.append([key, len(found), print_, found[starts[starts < ends]].view(np.int64), None, None])
-            if print_ not in seen and len(seen) < CACHED_WORDS:
+            if print_ not in seen and len(seen) < 100_000:
                 seen.add(print_)
                 waiting.append(found)
                 size += len(found)
@@ -183,6 +183,16 @@ SUMMARY_ARROW = pa.schema(
 )
 
 
+#: Rows of an Arrow batch that are worked on at once; what they become may be many times larger.
+SLICE = 500
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def _of_ids(texts: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Join texts with rows per ``key``: a written table whose size is known decides how."""
     return texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "key", how)
@@ -197,7 +207,7 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     ids = materialise(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct(), "pair-ids")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [shingles(t).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], names=["key", "set"])
 
@@ -210,7 +220,7 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, own = None, None
-        for batch in batches:
+        for batch in sliced(batches):
             links = []
             for group, role, key, data in zip(*[batch.column(c).to_pylist() for c in ("group", "role", "key", "set")]):
                 found = np.frombuffer(data, np.uint64)
@@ -310,7 +320,7 @@ def _entries(texts: DataFrame, classes: DataFrame, order: Order, light: int, wor
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, words = shared_order.value
-        for batch in batches:
+        for batch in sliced(batches):
             all_keys, places, sizes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], []
             for text in batch.column("text").to_pylist():
                 found = shingles(text)
