@@ -241,7 +241,8 @@ FROM base LEFT JOIN scores USING (n)
 
 @query("op6_quality_rules", QUALITY_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
-    return importance.rate_documents(table(spark, folder, "documents")).drop("score")
+    """Trusts and smooths as its SQL does; the pipeline's stage uses the operator's own method."""
+    return importance.rate_documents(table(spark, folder, "documents"), as_sql=True).drop("score")
 
 
 # 7. N-gram Jaccard join

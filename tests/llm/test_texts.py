@@ -118,6 +118,22 @@ def test_rules_equal_plain_python_and_junk_goes(spark):
     assert importance.keep_good(docs.where("doc_id < 3")).count() == 0
 
 
+def test_short_clean_texts_of_a_small_corpus_stay(spark):
+    rng = random.Random(7)
+    long = [" ".join(f"common{rng.randrange(90)}" for _ in range(150)) for _ in range(60)]
+    short = [" ".join(f"rare{k}x{rng.randrange(400)}" for _ in range(60)) for k in range(3)]
+    docs = documents(spark, long + short + short[:1])
+    assert all(r["kept"] and not r["base_failed"] for r in importance.rate_documents(docs).collect())
+    assert importance.keep_good(docs).count() == len(long) + 4
+
+
+def test_no_labelled_good_document_is_lost_and_no_bad_one_stays(spark, small):
+    docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
+    rated = importance.rate_documents(docs).join(labels, "doc_id").where("NOT base_failed")
+    found = {(r["quality"], r["kept"]): r["count"] for r in rated.groupBy("quality", "kept").count().collect()}
+    assert found == {(1, True): 71, (0, False): 6}
+
+
 # Quality classifier
 
 
