@@ -118,3 +118,26 @@ def test_csv_is_read_with_its_schema(spark, tmp_path, metadata):
     back = tables.read_csv(spark, path, tables.SAMPLES)
     assert back.count() == 5 and back.where("Species IS NULL").count() == 1
     assert np.isnan(rows(back.where("image_path = 'd'"))[0]["Pre_GSHH_NDVI"])
+
+
+def test_whole_table_holds_every_column_of_its_parts(spark, small):
+    import __spark_entry__ as entry
+    from sward.constants import KEY, TARGETS
+    from sward.sources import views
+
+    queries = entry.queries()
+    whole = {r[KEY]: r.asDict() for r in queries["i10_whole_table"](spark, small).collect()}
+    visual = queries["j15_visual_features"](spark, small)
+    hot = preprocess.out_of_fold_features(views.samples(spark, small)).drop("Pre_GSHH_NDVI", "Height_Ave_cm")
+    parts = [visual, queries["b4_named_columns"](spark, small), queries["i4_standardise"](spark, small), hot, views.wide_targets(spark, small).select(KEY, *TARGETS)]
+    names, keys = set(), []
+    for part in parts:
+        found = {r[KEY]: r.asDict() for r in part.collect()}
+        keys.append(set(found))
+        names |= set(part.columns)
+        for k in set(found) & set(whole):
+            for c, v in found[k].items():
+                assert whole[k][c] == pytest.approx(v, abs=2e-6), (k, c)
+    assert len(visual.columns) == 89 and len(hot.columns) > 3
+    assert set(whole) == set.intersection(*keys) and whole
+    assert all(set(r) == names for r in whole.values())
