@@ -202,7 +202,8 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """``(a, b)``: the pairs whose whole sets are similar. ``pairs`` is a written table of distinct pairs.
 
     Sets are made from the texts of the documents concerned. A pair's second set goes to its first, whose own set goes
-    to as many tasks as its pairs need; each task then streams sets behind the one they are compared with.
+    to as many tasks as its pairs need; each task then streams sets behind the one they are compared with. An id with
+    several texts has several sets; a link to any of them counts, and a task holds all those of the first id.
     """
     ids = materialise(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct(), "pair-ids")
 
@@ -219,14 +220,16 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     dealt = _of_ids(sets, dealing, "inner").select("group", "part", "role", "key", "set")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, own = None, None
+        now, own = None, {}
         for batch in sliced(batches):
             links = []
             for group, role, key, data in zip(*[batch.column(c).to_pylist() for c in ("group", "role", "key", "set")]):
                 found = np.frombuffer(data, np.uint64)
                 if role == 0:
-                    now, own = group, found
-                elif group == now and similar(own, found):
+                    if group != now:
+                        now, own = group, {}
+                    own[data] = found
+                elif group == now and any(similar(x, found) for x in own.values()):
                     links.append((group, key))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
@@ -446,7 +449,10 @@ def join_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     candidates = materialise(candidate_pairs(met), "candidate-pairs")
     more = verified(texts, candidates)
 
-    linked = components(links.union(more)).withColumnRenamed("node", "key")
+    # An id with several sets is one document: it unites their classes.
+    several = rows.where("n > 0 AND key IS NOT NULL").groupBy("key").agg(F.min("print").alias("low"), F.max("print").alias("high")).where("low <> high")
+    shared_ids = copies.join(several.select("key"), "key", "left_semi").select(F.col("first").alias("a"), F.col("key").alias("b"))
+    linked = components(links.union(more).union(shared_ids)).withColumnRenamed("node", "key")
     named = materialise(firsts.join(linked, "key", "left").select("print", F.coalesce("component", "key").alias("component")), "set-classes")
     joined = rows.select("key", "n", "print").join(named.withColumnRenamed("print", "_p"), F.col("print") == F.col("_p"), "left")
     return joined.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id"))
@@ -455,9 +461,28 @@ def join_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 def one_per_class(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their class, all columns as they are.
 
-    Rows without shingles and rows with a null id stay; rows that share the staying id are one document and stay.
+    Rows without shingles and rows with a null id stay. Where rows of one id have different texts, each text is classed
+    by itself, so that no text goes for another one's copy; rows of a class that share its smallest id all stay.
     """
-    classes = join_classes(docs, key, text)
-    going = materialise(classes.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_k")).distinct(), "copies")
+    mark = F.xxhash64(F.col(text).cast("string"))
+    named = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), mark.alias("_m"))
+    several = named.groupBy("_k").agg(F.min("_m").alias("low"), F.max("_m").alias("high")).where("low <> high")
+    if not several.limit(1).count():
+        classes = join_classes(docs, key, text)
+        going = materialise(classes.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_k")).distinct(), "copies")
+        return _without(docs, going, "_k", key)
+    # Numbers in the order of the ids, one for each text of an id; written, so that they stay what they are.
+    numbers = materialise(named.distinct().orderBy("_k", "_m").withColumn("_number", F.monotonically_increasing_id()), "text-numbers")
+    numbered = docs.join(numbers, (F.col(key) == F.col("_k")) & (mark == F.col("_m")), "left").drop("_k", "_m")
+    numbered = materialise(numbered, "numbered-documents")
+    classes = join_classes(numbered, "_number", text).where("_number <> component_id").select("_number", "component_id").distinct()
+    ids = numbers.select("_number", "_k")
+    kept_ids = ids.select(F.col("_number").alias("component_id"), F.col("_k").alias("_kept"))
+    going = classes.join(ids, "_number").join(kept_ids, "component_id").where("_k <> _kept")
+    going = materialise(going.select(F.col("_number").alias("_going")), "copies")
+    return _without(numbered, going, "_going", "_number").select(*docs.columns)
+
+
+def _without(docs: DataFrame, going: DataFrame, name: str, key: str) -> DataFrame:
     going = F.broadcast(going) if going.count() <= BROADCAST_IDS else going
-    return docs.join(going, F.col(key) == F.col("_k"), "left_anti")
+    return docs.join(going, F.col(key) == F.col(name), "left_anti")

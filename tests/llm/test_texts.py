@@ -243,6 +243,25 @@ def test_join_of_odd_rows(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2] and kept.columns == docs.columns
 
 
+@pytest.mark.parametrize("light", [1, 64])
+def test_texts_of_one_id_all_link_and_none_is_lost(spark, light, monkeypatch):
+    monkeypatch.setattr(ngram_join, "boundary", lambda *_: light)
+    rng = random.Random(light)
+    first, second, lone = (" ".join(f"{c}{rng.randrange(999)}" for _ in range(60)) for c in "abc")
+    near = [" ".join(t.split()[:-1] + ["end"]) for t in (first, second)]
+    rows = [(5, first), (5, second), (7, near[0]), (9, near[1]), (8, lone), (3, None)]
+    docs = documents(spark, [t for _, t in rows], [k for k, _ in rows])
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.join_classes(docs).collect())
+    assert got == sorted([(5, 56, 5), (5, 56, 5), (7, 56, 5), (9, 56, 5), (8, 56, 8), (3, 0, 3)])
+    # One row of id 5 is a copy of id 2's text, the other has a text of its own.
+    rows = [(2, first), (5, first), (5, second), (9, near[1]), (8, lone)]
+    docs = documents(spark, [t for _, t in rows], [k for k, _ in rows])
+    got = sorted((r["doc_id"], r["component_id"]) for r in ngram_join.join_classes(docs).collect())
+    assert got == [(2, 2), (5, 2), (5, 2), (8, 8), (9, 2)]
+    kept = [(r["doc_id"], r["text"]) for r in ngram_join.one_per_class(docs).collect()]
+    assert sorted(kept) == sorted([(2, first), (5, second), (8, lone)])
+
+
 def test_very_long_words_and_texts_are_whole():
     long_word = "w" * (3 << 20)
     texts = [long_word + " a b c d e", "a " * (1 << 20), " ".join(map(str, range(300_000)))]
@@ -252,6 +271,19 @@ def test_very_long_words_and_texts_are_whole():
     assert (tail == ngram_join.word_hashes(" ".join(map(str, range(299_995, 300_000))).encode())).all()
 
 
+def test_verification_knows_all_texts_of_an_id(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"{c}{rng.randrange(999)}" for _ in range(60)) for c in "ab"]
+    rows = [(5, texts[0]), (5, texts[1]), (7, texts[0] + " end"), (9, texts[1] + " end")]
+    pairs = spark.createDataFrame([(5, 7), (5, 9)], "a long, b long")
+    links = ngram_join.verified(spark.createDataFrame(rows, "key long, text string"), pairs)
+    assert sorted(map(tuple, links.collect())) == [(5, 7), (5, 9)]
+    # An id whose texts are all copies of others' unites their classes.
+    docs = documents(spark, [texts[0], texts[1], *texts], [1, 2, 5, 5])
+    assert {r["component_id"] for r in ngram_join.join_classes(docs).collect()} == {1}
+    assert sorted(r["doc_id"] for r in ngram_join.one_per_class(docs).collect()) == [1, 2]
+
+
 # Mixing
 
 
