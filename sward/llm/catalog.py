@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sward.llm import chat, credentials, decontaminate, importance, mixing, ngram_join, personal, quality_net, tokens, urls
+from sward.llm import chat, credentials, decontaminate, importance, mixing, ngram_join, personal, quality_net, tokens, turns, urls
 from sward.llm.content import LOWER, UPPER
 from sward.llm.spans import span_digest
 from sward.session import work_path
@@ -345,3 +345,84 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(span_digest(base), 256).alias("base_sha256"),
         span_digest(F.col("spans")).alias("spans"),
     )
+
+
+# 11. Conversation structure repair
+
+
+def crc32_sql(column: str) -> str:
+    """SQL for the CRC-32 of an ASCII string: eight steps of the reflected polynomial for every character."""
+    bits = "list_reduce([xor(x, b)] || range(8), lambda y, k: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)"
+    return f"xor(list_reduce([4294967295] || list_transform(string_split({column}, ''), lambda c: ascii(c)::BIGINT), lambda x, b: {bits}), 4294967295)"
+
+
+def repair_sql() -> str:
+    """The cheapest audit by dynamic programming over rows: for every state the least (cost, initials)."""
+
+    def best(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    def plus(way: str, cost: str, initial: str, text: str = "''") -> str:
+        return f"{{'c': {way}.c + {cost}, 'a': {way}.a || '{initial}', 'd': {way}.d || {text}}}"
+
+    def inserted(to: str, *before: str) -> str:
+        role = {"u": "user", "a": "assistant"}[to]
+        return best(f"{'s2' if to == 'u' else 's3'}", *[plus(b, "5", "I", f"chr(10) || '{role}:'") for b in before])
+
+    far = "{'c': 1000000000, 'a': '', 'd': ''}"
+    own, late = "chr(10) || r.role || ':' || r.text", "CASE r.fault WHEN 'truncated' THEN 5 ELSE 0 END"
+    kept = {letter: f"CASE WHEN r.fault IN ('blank', 'duplicate') OR left(r.role, 1) <> '{letter}' THEN 1000000000 ELSE {late} END" for letter in "sua"}
+    gone = f"CASE WHEN r.fault IN ('blank', 'duplicate') THEN 1000000000 ELSE 1 + {late} END"
+    user, helper = "chr(10) || 'user:' || r.text", "chr(10) || 'assistant:' || r.text"
+    into = {
+        "s0": [plus("i0", "2", "D")],
+        "s1": [plus("i1", "2", "D"), plus("i0", kept["s"], "K", own)],
+        "s2": [plus("i2", "2", "D"), *[w for i in ("i0", "i1", "i3") for w in (plus(i, kept["u"], "K", own), plus(i, gone, "R", user))]],
+        "s3": [plus("i3", "2", "D"), plus("i2", kept["a"], "K", own), plus("i2", gone, "R", helper)],
+    }
+    # Turns are inserted before a row or at the end; an inserted pair comes from a state that a single one can't reach.
+    opened = f"""SELECT *, s0 AS i0, s1 AS i1, {inserted("u", "s0", "s1", "s3")} AS i2,
+      {best("s3", plus("s2", "5", "I", "chr(10) || 'assistant:'"), plus("s0", "10", "II", "chr(10) || 'user:' || chr(10) || 'assistant:'"), plus("s1", "10", "II", "chr(10) || 'user:' || chr(10) || 'assistant:'"))} AS i3"""
+    return f"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS h FROM conversations
+),
+damaged AS MATERIALIZED (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM c, range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) AS copies(k)
+),
+copies AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS copy FROM damaged),
+r AS MATERIALIZED (
+  SELECT *, left(lag(role) OVER o, 1) || left(role, 1) AS pair, row_number() OVER o AS n,
+    CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+      WHEN copy > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' END AS fault
+  FROM copies WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
+),
+convs AS MATERIALIZED (
+  SELECT conv_id, count(*) AS total, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id
+),
+steps AS (
+  SELECT conv_id, total, 0::BIGINT AS n, {{'c': 0::BIGINT, 'a': '', 'd': ''}} AS s0, {far.replace("1000000000", "1000000000::BIGINT")} AS s1,
+    {far.replace("1000000000", "1000000000::BIGINT")} AS s2, {far.replace("1000000000", "1000000000::BIGINT")} AS s3 FROM convs
+  UNION ALL
+  SELECT o.conv_id, total, r.n, {", ".join(f"{best(*ways)} AS {s}" for s, ways in into.items())}
+  FROM ({opened} FROM steps) o JOIN r ON o.conv_id IS NOT DISTINCT FROM r.conv_id AND r.n = o.n + 1
+),
+ends AS (SELECT conv_id, {best("i0", "i3")} AS e FROM ({opened} FROM steps WHERE n = total)),
+names AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT names.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(e.c, 0) AS cost, coalesce(e.a, '') AS audit, sha256(coalesce(substr(e.d, 2), '')) AS repaired_sha256
+FROM names LEFT JOIN convs ON names.conv_id IS NOT DISTINCT FROM convs.conv_id LEFT JOIN ends ON names.conv_id IS NOT DISTINCT FROM ends.conv_id
+"""
+
+
+@query("op11_conversation_repair", repair_sql())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return turns.audit_conversations(turns.damage(conversations), conversations)
