@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sward.llm import chat, credentials, decontaminate, importance, mixing, ngram_join, personal, quality_net, tokens, turns, urls
+from sward.llm import alignment, chat, credentials, decontaminate, importance, licences, mixing, ngram_join, personal, quality_net, tokens, turns, urls
 from sward.llm.content import LOWER, UPPER
 from sward.llm.spans import span_digest
 from sward.session import work_path
@@ -426,3 +426,53 @@ FROM names LEFT JOIN convs ON names.conv_id IS NOT DISTINCT FROM convs.conv_id L
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     conversations = table(spark, folder, "conversations")
     return turns.audit_conversations(turns.damage(conversations), conversations)
+
+
+# 12. Cross-tokenizer alignment
+
+
+@query("op12_tokenizer_alignment")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return alignment.align_tokenizers(table(spark, folder, "documents"), *paths)
+
+
+# 13. Licence scans
+
+
+def licence_sql(templates=licences.TEMPLATES) -> str:
+    index = licences.rare_words(templates)
+    words = ", ".join(
+        f"({n}, '{t.label}', {t.base}, string_split('{t.text}', ' '), string_split('{t.key}', ' '), {t.key_from}, "
+        f"{min(licences.AGREE, sum(1 for _, m, _ in index if m == n))})"
+        for n, t in enumerate(templates)
+    )
+    return f"""
+WITH templates(t, label, base, wanted, phrase, phrase_from, needed) AS (VALUES {words}),
+rare(word, t, at) AS (VALUES {", ".join(f"('{w}', {n}, {i})" for w, n, i in index)}),
+d AS ({alnum_words("documents", "doc_id")}),
+places AS (SELECT n, w, (i - 1)::BIGINT AS i FROM (SELECT n, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d) WHERE w IN (SELECT word FROM rare)),
+starts AS (SELECT n, rare.t, i - at AS start, count(*) AS agreeing FROM places JOIN rare ON w = word GROUP BY n, rare.t, i - at),
+found AS (
+  SELECT n, start, label, base,
+    list_sum(list_transform(range(len(wanted)), lambda k: CASE WHEN start + k >= 0 AND ws[start + k + 1] = wanted[k + 1] THEN 1 ELSE 0 END)) / len(wanted) AS share
+  FROM starts JOIN templates USING (t) JOIN d USING (n)
+  WHERE agreeing >= needed AND start + phrase_from >= 0 AND ws[start + phrase_from + 1 : start + phrase_from + len(phrase)] = phrase
+),
+per AS (
+  SELECT n, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word, max(start) FILTER (WHERE base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM found WHERE share >= 0.5 GROUP BY n
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN per USING (n)
+"""
+
+
+@query("op13_licence_scan", licence_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan_licences(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", *[F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")], "score"
+    )
