@@ -449,10 +449,10 @@ def licence_sql(templates=licences.TEMPLATES) -> str:
     )
     return f"""
 WITH templates(t, label, base, wanted, phrase, phrase_from, needed) AS (VALUES {words}),
-rare(word, t, at) AS (VALUES {", ".join(f"('{w}', {n}, {i})" for w, n, i in index)}),
+rare(word, t, spot) AS (VALUES {", ".join(f"('{w}', {n}, {i})" for w, n, i in index)}),
 d AS ({alnum_words("documents", "doc_id")}),
 places AS (SELECT n, w, (i - 1)::BIGINT AS i FROM (SELECT n, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d) WHERE w IN (SELECT word FROM rare)),
-starts AS (SELECT n, rare.t, i - at AS start, count(*) AS agreeing FROM places JOIN rare ON w = word GROUP BY n, rare.t, i - at),
+starts AS (SELECT n, rare.t, i - spot AS start, count(*) AS agreeing FROM places JOIN rare ON w = word GROUP BY n, rare.t, i - spot),
 found AS (
   SELECT n, start, label, base,
     list_sum(list_transform(range(len(wanted)), lambda k: CASE WHEN start + k >= 0 AND ws[start + k + 1] = wanted[k + 1] THEN 1 ELSE 0 END)) / len(wanted) AS share
