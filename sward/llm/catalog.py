@@ -433,8 +433,10 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op12_tokenizer_alignment")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
     paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
-    return alignment.align_tokenizers(table(spark, folder, "documents"), *paths)
+    return alignment.align_tokenizers(table(spark, folder, "documents"), *paths, public_tokenizers.PATTERN)
 
 
 # 13. Licence scans

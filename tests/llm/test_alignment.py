@@ -95,13 +95,27 @@ def table(spark, texts):
     return spark.createDataFrame([(i if i else None, t, 5, "clash") for i, t in enumerate(texts)], "doc_id long, text string, n_a int, key string")
 
 
-@pytest.mark.parametrize("sizes", [alignment.Sizes(), alignment.Sizes(radix=5, chunk_docs=3, chunk_links=100, block_pairs=8, fan_in=2, sharing=2)])
-def test_alignment_equals_plain_python(spark, sizes):
+FINE = alignment.Sizes(radix=5, chunk_docs=3, chunk_links=100, block_pairs=8, fan_in=2, sharing=2)
+
+
+def test_ranks_give_the_file_s_ids():
+    slow, quick = alignment.byte_side(BYTES), alignment.byte_side(BYTES, public_tokenizers.PATTERN)
+    assert alignment._by_ranks(BYTES, slow.pieces, public_tokenizers.PATTERN) is not None
+    rng = random.Random(9)
+    letters = "aé \n\t'sxyz漢😀01,.<|>ß\u00a0\u2003"
+    for text in [t for t in TEXTS if t] + ["".join(rng.choices(letters, k=200)) for _ in range(300)] + [" " * 300_000 + "x"]:
+        assert slow.encode(" " + text) == quick.encode(" " + text)
+    words = str(public_tokenizers.path("word_bpe_49k.json"))
+    assert alignment._by_ranks(words, [], public_tokenizers.PATTERN) is None
+
+
+@pytest.mark.parametrize("sizes, pattern", [(alignment.Sizes(), None), (FINE, public_tokenizers.PATTERN)])
+def test_alignment_equals_plain_python(spark, sizes, pattern):
     """The second setting makes many chunks, several rounds of merges, small blocks and many copies of the counts."""
     rng = random.Random(7)
     words = "the cat sät on a mat don't 12 éé antidisestablishment\n ,.".split(" ")
     texts = TEXTS + [" ".join(rng.choices(words, k=rng.randrange(60))) for _ in range(30)]
-    got = {r["doc_id"]: tuple(r)[1:] for r in alignment.align_tokenizers(table(spark, texts).repartition(5), BYTES, PIECES, sizes=sizes).collect()}
+    got = {r["doc_id"]: tuple(r)[1:] for r in alignment.align_tokenizers(table(spark, texts).repartition(5), BYTES, PIECES, pattern, sizes=sizes).collect()}
     assert len(got) == len(texts)
     for i, want in enumerate(plain_alignment(texts)):
         assert got[i if i else None] == want, i
