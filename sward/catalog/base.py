@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sward.constants import KEY, NUMERIC_METADATA, TARGETS
-from sward.operators import metrics, preprocess
+from sward.operators import features, joins, metrics, pixels, preprocess
 from sward.plans.cross_validation import ridge_oof
 from sward.session import stored_once
 from sward.sources import views
@@ -43,6 +43,33 @@ def design(spark: SparkSession, folder: str) -> DataFrame:
     return stored_once(spark, f"{folder}/design", build)
 
 
+def combined(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored combined table: fold, all targets, scaled and one-hot metadata, embedding and all visual features.
+
+    Images that lack a record, targets, an embedding or pixels are not in it.
+    """
+
+    def build() -> DataFrame:
+        samples = stored_samples(spark, folder)
+        joins.require_unique(samples, [KEY], "samples")
+        embeddings = views.embeddings(spark, folder).select(KEY, F.col("embedding").cast("array<double>").alias("embedding"))
+        return joins.side_by_side(
+            [
+                preprocess.out_of_fold_features(samples),
+                views.wide_targets(spark, folder).select(KEY, *TARGETS),
+                features.spread_array(embeddings, "embedding", 64),
+                pixels.visual_features(views.pixels(spark, folder)),
+            ]
+        )
+
+    return stored_once(spark, f"{folder}/combined", build)
+
+
+def combined_features(table: DataFrame) -> list[str]:
+    """The feature columns of the combined table, in its order."""
+    return [c for c in table.columns if c not in (KEY, "fold", "group_id", *TARGETS)]
+
+
 def oof(spark: SparkSession, folder: str, configurations: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """Out-of-fold predictions of the chosen configurations (all four by default)."""
     chosen = configurations or CONFIGURATIONS

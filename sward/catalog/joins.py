@@ -8,7 +8,7 @@ from sward.catalog import base, query
 from sward.catalog.oracle import r, sql
 from sward.constants import KEY, METADATA, TARGETS
 from sward.functions import scalars
-from sward.operators import features, joins, metrics, pixels, preprocess
+from sward.operators import joins, metrics, pixels
 from sward.operators.ranking import first_per_key
 from sward.sources import views
 
@@ -139,16 +139,4 @@ def i10_whole_table(spark, folder):
 
     Images that lack a record, targets, an embedding or pixels are not in it. Its parts have SQL of their own.
     """
-    samples = base.stored_samples(spark, folder)
-    joins.require_unique(samples, [KEY], "samples")
-    embeddings = views.embeddings(spark, folder).select(KEY, F.col("embedding").cast("array<double>").alias("embedding"))
-    return base.rounded(
-        joins.side_by_side(
-            [
-                preprocess.out_of_fold_features(samples),
-                views.wide_targets(spark, folder).select(KEY, *TARGETS),
-                features.spread_array(embeddings, "embedding", 64),
-                pixels.visual_features(views.pixels(spark, folder)),
-            ]
-        )
-    )
+    return base.rounded(base.combined(spark, folder))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sward.catalog import base, query
@@ -13,7 +16,7 @@ from sward.catalog.reports import NEW_ROWS_SQL
 from sward.constants import KEY, METADATA, NUMERIC_METADATA
 from sward.functions import scalars
 from sward.operators import metrics, ranking
-from sward.plans import cross_validation, estimators, ridge, scoring
+from sward.plans import cross_validation, estimators, ridge, scoring, trees
 from sward.session import stored_once
 from sward.sources import views
 
@@ -104,14 +107,100 @@ def k2_random_forest(spark, folder):
     return _validated(spark, folder, estimators.random_forest(**TREES), "RandomForest")[0]
 
 
+#: Trees per fold and boosting rounds of the queries; README has seconds of the published 500 and 300.
+GROWN = 100
+ROUNDS = 10
+
+
+def combined_arrays(spark, folder):
+    """The combined table with all features as one array ``x``."""
+    table = base.combined(spark, folder)
+    names = base.combined_features(table)
+    return table.select(KEY, "fold", *TARGETS, F.array(*[F.col(f"`{c}`").cast("double") for c in names]).alias("x")), names
+
+
+def tree_metrics(predictions, model):
+    return metrics.fold_metrics(predictions.select(F.lit(model).alias("model"), F.lit("Combined").alias("feature_set"), "fold", KEY, "target", "y", "pred"))
+
+
 @query("k3_extra_trees")
 def k3_extra_trees(spark, folder):
-    return _validated(spark, folder, estimators.extra_trees(**TREES), "ExtraTrees")[0]
+    """Joint extremely randomised trees over all features of the combined table, unlimited as published but in number."""
+    table, _ = combined_arrays(spark, folder)
+    fitted = trees.extra_trees(table, "x", TARGETS, trees=GROWN)
+    return tree_metrics(fitted.predict(table, "x"), "ExtraTrees")
+
+
+#: The draw of a feature's threshold at a root, as in ``trees.draws``.
+_DRAW = "(('0x' || substr(md5(name), 1, 8))::BIGINT + feature * ('0x' || substr(md5(name), 9, 8))::BIGINT) % 4294967296 / 4294967296.0"
+_SUMS = ", ".join(f"sum({t}) FILTER (WHERE x <= cut) AS l_{t}, sum({t}) AS s_{t}" for t in TARGETS)
+_GAIN = " + ".join(f"l_{t} * l_{t} / nl + (s_{t} - l_{t}) * (s_{t} - l_{t}) / (n - nl) - s_{t} * s_{t} / n" for t in TARGETS)
+_LEFT = ", ".join(r(f"l_{t} / nl", f"left_{t}") + ", " + r(f"(s_{t} - l_{t}) / (n - nl)", f"right_{t}") for t in TARGETS)
+
+
+@query(
+    "k3_extra_stumps",
+    sql(f"""SELECT k AS fold, tree, feature, {r('cut', 'threshold')}, nl AS n_left, n - nl AS n_right, {_LEFT} FROM (
+        SELECT *, row_number() OVER (PARTITION BY k, tree ORDER BY round(gain, 3) DESC, feature) AS place FROM (
+            SELECT *, {_GAIN} AS gain FROM (
+                SELECT k, tree, feature, any_value(cut) AS cut, count(*) FILTER (WHERE x <= cut) AS nl, count(*) AS n, {_SUMS}
+                FROM (SELECT k, tree, feature, low + {_DRAW} * (high - low) AS cut FROM (SELECT *, '42:' || k || ':' || tree || ':1' AS name FROM (
+                    SELECT k, feature, min(x) AS low, max(x) AS high FROM folds
+                    JOIN (SELECT image_path, fold, 0 AS feature, z_n AS x FROM scaled UNION ALL SELECT image_path, fold, 1, z_h FROM scaled) ON fold <> k
+                    JOIN targets_wide USING (image_path) GROUP BY k, feature), range(4) AS r(tree))) cuts
+                JOIN (SELECT image_path, fold, 0 AS f, z_n AS x FROM scaled UNION ALL SELECT image_path, fold, 1, z_h FROM scaled) v ON f = feature AND v.fold <> k
+                JOIN targets_wide USING (image_path) GROUP BY k, tree, feature) WHERE nl > 0 AND nl < n)) WHERE place = 1"""),
+)
+def k3_extra_stumps(spark, folder):
+    """Four one-split trees a fold on the numeric metadata of all samples: drawn thresholds, joint choice, leaf means."""
+    table = base.design(spark, folder).withColumn("x", F.array(*[F.col(c).cast("double") for c in NUMERIC_METADATA]))
+    nodes = trees.extra_trees(table, "x", TARGETS, trees=4, depth=1).table(spark)
+    root = nodes.where("node = '1'").select("fold", "tree", "feature", "threshold")
+    sides = nodes.where("node <> '1'").groupBy("fold", "tree").agg(
+        *[F.max(F.when(F.col("node") == place, F.col("n"))).alias(f"n_{side}") for side, place in (("left", "2"), ("right", "3"))],
+        *[
+            F.max(F.when(F.col("node") == place, F.get("outputs", F.lit(i)))).alias(f"{side}_{t}")
+            for i, t in enumerate(TARGETS)
+            for side, place in (("left", "2"), ("right", "3"))
+        ],
+    )
+    return base.rounded(root.join(sides, ["fold", "tree"]))
 
 
 @query("k4_boosting")
 def k4_boosting(spark, folder):
-    return _validated(spark, folder, estimators.boosting(**BOOSTS), "Boosting")[0]
+    """Histogram boosting over all features of the combined table with the published rate, leaf limit and L2."""
+    table, _ = combined_arrays(spark, folder)
+    fitted = trees.boosted_trees(table, "x", TARGETS, trees.Boosting(rounds=ROUNDS))
+    return tree_metrics(reduce(DataFrame.unionByName, [fitted[t].predict(table, "x") for t in TARGETS]), "Boosting")
+
+
+@query(
+    "k4_boosting_stumps",
+    sql(f"""WITH s_v AS (SELECT image_path, fold, unnest([0, 1]) AS feature, unnest([round(z_n, 1), round(z_h, 1)]) AS x FROM scaled JOIN targets_wide USING (image_path)),
+        s_grid AS (SELECT feature, x, (x + lead(x) OVER (PARTITION BY feature ORDER BY x)) / 2 AS cut FROM (SELECT DISTINCT feature, x FROM s_v)),
+        s_means AS (SELECT k, target, avg(y) AS base FROM folds JOIN scaled ON fold <> k JOIN targets_long USING (image_path) GROUP BY k, target),
+        s_cells AS (SELECT k, target, feature, x, count(*) AS n, sum(base - y) AS g FROM folds JOIN s_v ON fold <> k JOIN targets_long USING (image_path) JOIN s_means USING (k, target) GROUP BY ALL),
+        s_runs AS (SELECT k, target, feature, x, sum(n) OVER w AS nl, sum(g) OVER w AS gl, sum(n) OVER a AS n, sum(g) OVER a AS g FROM s_cells
+            WINDOW w AS (PARTITION BY k, target, feature ORDER BY x), a AS (PARTITION BY k, target, feature)),
+        s_best AS (SELECT *, row_number() OVER (PARTITION BY k, target ORDER BY round(gl * gl / (nl + 1) + (g - gl) * (g - gl) / (n - nl + 1) - g * g / (n + 1), 4) DESC, feature, x) AS place
+            FROM s_runs WHERE nl >= 20 AND n - nl >= 20)
+        SELECT k AS fold, target, feature, {r('cut', 'threshold')}, nl::BIGINT AS n_left, (n - nl)::BIGINT AS n_right,
+            {r('-0.05 * gl / (nl + 1)', 'left_value')}, {r('-0.05 * (g - gl) / (n - nl + 1)', 'right_value')}
+        FROM s_best JOIN s_grid USING (feature, x) WHERE place = 1""").replace("\nWITH s_v AS", ",\ns_v AS"),
+)
+def k4_boosting_stumps(spark, folder):
+    """One round of two leaves on coarse numeric metadata of all samples: histograms, gains and shrunken values."""
+    x = F.array(*[F.round(F.col(c).cast("double"), 1) for c in NUMERIC_METADATA])
+    fitted = trees.boosted_trees(base.design(spark, folder).withColumn("x", x), "x", TARGETS, trees.Boosting(rounds=1, leaves=2))
+    tables = [fitted[t].table(spark).withColumn("target", F.lit(t)) for t in TARGETS]
+    nodes = reduce(DataFrame.unionByName, tables)
+    root = nodes.where("node = '1'").select("fold", "target", "feature", "threshold")
+    sides = nodes.where("node <> '1'").groupBy("fold", "target").agg(
+        *[F.max(F.when(F.col("node") == place, F.col("n"))).alias(f"n_{side}") for side, place in (("left", "2"), ("right", "3"))],
+        *[F.max(F.when(F.col("node") == place, F.get("outputs", F.lit(0)))).alias(f"{side}_value") for side, place in (("left", "2"), ("right", "3"))],
+    )
+    return base.rounded(root.join(sides, ["fold", "target"]))
 
 
 @query("k5_stochastic_boosting")
