@@ -28,7 +28,7 @@ PASS_BYTES = 128 << 20
 #: Partitions from which sums are added in lanes first.
 LANES = 32
 #: A node of at most so many rows is finished by the task that gets them.
-SMALL_ROWS = 64
+SMALL_ROWS = 128
 PURE = 1e-12
 TIE = 1e-9
 

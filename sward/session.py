@@ -56,7 +56,23 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = work_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` wrote, once everything made of them is written, too."""
+    for table in tables:
+        delete_path(table.sparkSession, table.stored_at)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 _STORED: dict[tuple[str, str], tuple[tuple, DataFrame, str]] = {}
