@@ -68,28 +68,36 @@ def byte_side(path: str, pattern: str | None = None) -> Side:
     With ``pattern``, by which the vocabulary was split into words, texts are encoded by ranks, several times as fast, if the
     file's ids are its merges in order and nothing normalises the text; long texts always go through the file's own rules.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    with open(path, encoding="utf-8") as file:
+        rules = json.load(file)
     letters = byte_letters()
-    names = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
-    pieces = [bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode() for name in names]
-    quick = _by_ranks(path, pieces, pattern) if pattern else None
+    ids = {**rules["model"]["vocab"], **{t["content"]: t["id"] for t in rules.get("added_tokens", [])}}
+    pieces = [b""] * (1 + max(ids.values()))
+    for name, i in ids.items():
+        pieces[i] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
+    quick = _by_ranks(rules, pieces, pattern) if pattern else None
 
     def encode(text: str) -> list[int]:
         if quick and len(text) <= QUICK:
             return quick(text)
-        return tokenizer.encode(text, add_special_tokens=False).ids
+        return _tokenizer(path).encode(text, add_special_tokens=False).ids
 
     return Side(encode, pieces, np.array([len(p) for p in pieces], np.int64))
 
 
-def _by_ranks(path: str, pieces: list[bytes], pattern: str):
+@functools.lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    """The library's tokenizer, loaded when a text first needs it."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def _by_ranks(rules: dict, pieces: list[bytes], pattern: str):
     """An encoder that takes ids for ranks, or None where that would not give the file's ids."""
-    with open(path, encoding="utf-8") as file:
-        rules = json.load(file)
     model, split = rules["model"], rules.get("pre_tokenizer") or {}
     vocabulary, merges = model.get("vocab", {}), [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
     in_order = len(vocabulary) >= 256 + len(merges) and all(vocabulary.get("".join(m)) == 256 + i for i, m in enumerate(merges))

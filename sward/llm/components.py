@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sward.session import materialise
+from sward.session import discard, materialise
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,6 +25,8 @@ def components(links: DataFrame) -> DataFrame:
         jumped = low.join(up, F.col("low") == F.col("_n")).select("node", F.least("low", "up").alias("label"))
         new = materialise(jumped, "labels")
         changed = new.join(labels.withColumnRenamed("label", "old"), "node").where("label <> old").limit(1).count()
+        discard(labels)
         labels = new
         if not changed:
+            discard(edges)
             return labels.select("node", F.col("label").alias("component"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sward.llm.content import addressed, distinct_digests, owned_texts
 from sward.llm.spans import find_spans
-from sward.session import materialise
+from sward.session import free_name, materialise
 
 LEDGER = "blob binary, rule string, spans array<struct<kind:string,start:bigint,end:bigint>>"
 
@@ -116,15 +116,19 @@ BROADCAST_BLOBS = 200_000
 
 
 def redact_documents(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by its kind in brackets; all else, null texts too, stays."""
+    """``docs`` with every secret in ``text`` replaced by its kind in brackets; all else, null texts too, stays.
+
+    Repeated rows and null keys are kept, columns of any name too; no rows give no rows.
+    """
     scan_unseen(addressed(docs, key, text), ledger, rules)
     found = read_ledger(docs.sparkSession, ledger, rules).where(F.size("spans") > 0)
-    findings = found.groupBy(F.col("blob").alias("_blob")).agg(F.flatten(F.collect_list("spans")).alias("_spans"))
-    findings = materialise(findings.withColumn("_spans", ordered(F.col("_spans"), rules)), "secret-findings")
+    blob, spans = free_name(docs, "_blob"), free_name(docs, "_spans")
+    findings = found.groupBy(F.col("blob").alias(blob)).agg(F.flatten(F.collect_list("spans")).alias(spans))
+    findings = materialise(findings.withColumn(spans, ordered(F.col(spans), rules)), "secret-findings")
     findings = F.broadcast(findings) if findings.count() <= BROADCAST_BLOBS else findings
-    named = docs.join(findings, F.unhex(F.sha2(F.col(text), 256)) == F.col("_blob"), "left")
-    clean = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(redact(F.col(text), F.col("_spans")))
-    return named.withColumn(text, clean).drop("_blob", "_spans")
+    named = docs.join(findings, F.unhex(F.sha2(F.col(text), 256)) == F.col(blob), "left")
+    clean = F.when(F.col(spans).isNull(), F.col(text)).otherwise(redact(F.col(text), F.col(spans)))
+    return named.withColumn(text, clean).drop(blob, spans)
 
 
 def redact(text: Column, spans: Column) -> Column:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from sward.llm.components import components
 from sward.llm.textual import ASCII_LOWER, utf8
-from sward.session import materialise
+from sward.session import discard, free_name, materialise
 
 SIZE, PERCENT = 5, 75
 #: Shingles whose frequency the global order knows, the most frequent ones: 6 MB in the driver and in every worker. The
@@ -37,8 +37,6 @@ KEY_BITS, MOST_WORDS = 16, 20
 #: Leaders that a set of another class is compared with in a round over the lists, and rounds at most; a round that
 #: finds no link is the last. What rounds leave is enumerated in full.
 LEADERS, ROUNDS = 3, 2
-#: Percentage of a set's size by which prefixes are longer than they need be, so that pairs have to share as many shingles more.
-MARGIN = 3
 #: Shingles of a task that are counted together.
 COUNTED = 1 << 20
 #: Joins of texts with at most so many ids broadcast them; with more, both sides are shuffled.
@@ -233,7 +231,10 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
                     links.append((group, key))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return dealt.repartition("group", "part").sortWithinPartitions("group", "part", "role", "key").mapInArrow(compare, "a long, b long").distinct()
+    in_turn = dealt.repartition("group", "part").sortWithinPartitions("group", "part", "role", "key")
+    links = materialise(in_turn.mapInArrow(compare, "a long, b long").distinct(), "links")
+    discard(ids, dealing)
+    return links
 
 
 def boundary(sizes: dict[int, int], larger: int) -> int:
@@ -375,19 +376,23 @@ def reclassed(met: DataFrame, links: DataFrame) -> DataFrame:
 def candidate_pairs(met: DataFrame) -> DataFrame:
     """``(a, b)``: pairs of sets of different classes that could be similar, from entries of lists with several classes.
 
-    Two sets of sizes n and m that overlap in c = t / (1 + t) (n + m) shingles share l of their first n - c + l and
-    m - c + l. That is shorter than the prefix which a set needs for partners of any size, so only matches inside it
-    count, and a pair needs l of them; l grows with the sizes as far as the prefixes that were listed allow.
+    Two sets of sizes n and m that overlap in c = t / (1 + t) (n + m) shingles share one of their first n - c + 1 and
+    m - c + 1. That is shorter than the prefix which a set needs for partners of any size, so only matches inside it count.
+    The smaller set of a pair has the shorter one: it meets larger sets with no more than its first entries, so a frequent
+    shingle, which is late in the order of most sets that have it, brings few of them together.
     """
     other = met.select("join_key", *[F.col(c).alias(f"{c}_2") for c in ("cls", "key", "n", "at")])
-    larger = F.greatest("n", "n_2")
-    overlap = F.ceil(F.lit(PERCENT) * (F.col("n") + F.col("n_2")) / (100 + PERCENT))
-    share = F.least(1 + F.floor(larger * MARGIN / 100), overlap - F.ceil(larger * PERCENT / 100) + 1)
+
+    def overlap(both):
+        return F.ceil(F.lit(PERCENT) * both / (100 + PERCENT))
+
     of_list = F.col("join_key").bitwiseAND(1) == 1
-    inside = (F.col("at") < F.col("n") - overlap + share) & (F.col("at_2") < F.col("n_2") - overlap + share)
-    fits = (F.col("cls") < F.col("cls_2")) & (100 * F.least("n", "n_2") >= PERCENT * larger) & (~of_list | inside)
-    counted = met.join(other, "join_key").where(fits).groupBy("key", "key_2").agg(F.count_if(of_list).alias("k"), F.count_if(~of_list).alias("subsets"), F.max(share).alias("share"))
-    return counted.where((F.col("subsets") > 0) | (F.col("k") >= F.col("share"))).select(F.col("key").alias("a"), F.col("key_2").alias("b"))
+    smaller = met.where(~of_list | (F.col("at") <= F.col("n") - overlap(2 * F.col("n"))))
+    least = overlap(F.col("n") + F.col("n_2"))
+    inside = (F.col("at") <= F.col("n") - least) & (F.col("at_2") <= F.col("n_2") - least)
+    in_turn = (F.col("n") < F.col("n_2")) | ((F.col("n") == F.col("n_2")) & (F.col("key") < F.col("key_2")))
+    fits = in_turn & (F.col("cls") != F.col("cls_2")) & (100 * F.col("n") >= PERCENT * F.col("n_2")) & (~of_list | inside)
+    return smaller.join(other, "join_key").where(fits).select(F.col("key").alias("a"), F.col("key_2").alias("b")).distinct()
 
 
 def leader_pairs(sets: DataFrame) -> DataFrame:
@@ -401,7 +406,9 @@ def leader_pairs(sets: DataFrame) -> DataFrame:
     met = hashes.join(leaders, "h").where((F.col("key") != F.col("a")) & (100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m")))
     agreed = met.groupBy("key", "a").agg(F.count("*").alias("agree"), F.first("hashes").alias("hashes")).where((F.col("agree") >= 3) | (F.col("agree") == F.col("hashes")))
     best = agreed.groupBy("key").agg(F.min(F.struct((-F.col("agree")).alias("o"), "a")).alias("best"))
-    return best.select("best.a", F.col("key").alias("b"))
+    pairs = materialise(best.select("best.a", F.col("key").alias("b")), "leader-pairs")
+    discard(hashes, leaders)
+    return pairs
 
 
 def join_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -409,20 +416,21 @@ def join_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     ``component_id`` is the smallest id that links lead to, the row's own included. Texts without words, null ones too,
     have no shingles and are linked with nothing. Rows with equal sets are linked; rows that share an id count as one
-    document. A null id is no name: such rows get the class of the smallest other id with the same set, null if there is
-    none, and link nothing else. Ids must be whole numbers; other columns are not read; no rows give no rows.
+    document. A null id is no name: each such row is a document of its own that links like any other; a class without any
+    id is null. Ids must be whole numbers; other columns are not read; no rows give no rows.
 
     Four scans of the texts make shingles; what is shuffled are summaries of documents, list keys (combined in the map
     tasks), and the sets of documents in candidate pairs.
     """
-    texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    texts, last_id = _numbered(docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")))
     summary = materialise(texts.mapInArrow(_summarise, SUMMARY), "shingle-summaries")
     rows = summary.where("n IS NOT NULL").select("key", "n", "print", "least")
     firsts = rows.where("n > 0 AND key IS NOT NULL").groupBy("print").agg(F.min(F.struct("key", "n", "least")).alias("s"))
     firsts = materialise(firsts.select("print", "s.*"), "distinct-sets")
 
-    pairs = materialise(leader_pairs(firsts), "leader-pairs")
-    links = materialise(verified(texts, pairs), "leader-links")
+    pairs = leader_pairs(firsts)
+    links = verified(texts, pairs)
+    discard(pairs)
     # Documents whose class is not simply themselves, and copies, which stay out of the join.
     copies = rows.where("n > 0 AND key IS NOT NULL").join(firsts.select(F.col("print").alias("_p"), F.col("key").alias("first")), F.col("print") == F.col("_p")).where("key <> first")
     classes = components(links).select(F.col("node").alias("key"), F.col("component").alias("cls"), F.lit(True).alias("stays"))
@@ -440,14 +448,20 @@ def join_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     shared = materialise(several_classes(_entries(named, classes, order, light)), "shared-keys")
     words = key_filter(shared, shared.count())
     met = materialise(_entries(named, classes, order, light, words).join(shared, "join_key", "left_semi"), "list-entries")
+    discard(shared)
     for number in range(ROUNDS):
-        found = materialise(verified(texts, materialise(list_leaders(met, number), "list-leaders")), "list-links")
+        leaders = materialise(list_leaders(met, number), "list-leaders")
+        found = verified(texts, leaders)
+        discard(leaders)
         if not found.limit(1).count():
             break
-        links = materialise(links.union(found), "links")
-        met = materialise(reclassed(met, links), "list-entries")
+        both, old = materialise(links.union(found), "links"), (met, links, found)
+        links, met = both, materialise(reclassed(met, both), "list-entries")
+        discard(*old)
     candidates = materialise(candidate_pairs(met), "candidate-pairs")
+    discard(met)
     more = verified(texts, candidates)
+    discard(candidates)
 
     # An id with several sets is one document: it unites their classes.
     several = rows.where("n > 0 AND key IS NOT NULL").groupBy("key").agg(F.min("print").alias("low"), F.max("print").alias("high")).where("low <> high")
@@ -455,7 +469,18 @@ def join_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     linked = components(links.union(more).union(shared_ids)).withColumnRenamed("node", "key")
     named = materialise(firsts.join(linked, "key", "left").select("print", F.coalesce("component", "key").alias("component")), "set-classes")
     joined = rows.select("key", "n", "print").join(named.withColumnRenamed("print", "_p"), F.col("print") == F.col("_p"), "left")
-    return joined.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id"))
+    named = [F.when(c <= last_id, c) for c in (F.col("key"), F.coalesce("component", "key"))]
+    return joined.select(named[0].alias(key), F.col("n").alias("n_shingles"), named[1].alias("component_id"))
+
+
+def _numbered(texts: DataFrame) -> tuple[DataFrame, int]:
+    """Texts whose null ids are numbers above all ids, and the largest id. Rows without id are written to keep theirs."""
+    top, nulls = texts.agg(F.coalesce(F.max("key"), F.lit(0)), F.count_if(F.col("key").isNull())).first()
+    if not nulls:
+        return texts, top
+    numbers = (F.lit(top + 1) + F.monotonically_increasing_id()).alias("key")
+    unnamed = materialise(texts.where("key IS NULL").select(numbers, "text"), "unnamed-texts")
+    return texts.where("key IS NOT NULL").union(unnamed), top
 
 
 def one_per_class(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -465,22 +490,23 @@ def one_per_class(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     by itself, so that no text goes for another one's copy; rows of a class that share its smallest id all stay.
     """
     mark = F.xxhash64(F.col(text).cast("string"))
-    named = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), mark.alias("_m"))
-    several = named.groupBy("_k").agg(F.min("_m").alias("low"), F.max("_m").alias("high")).where("low <> high")
+    k, m, number, going_name = (free_name(docs, c) for c in ("_k", "_m", "_number", "_going"))
+    named = docs.where(F.col(key).isNotNull()).select(F.col(key).alias(k), mark.alias(m))
+    several = named.groupBy(k).agg(F.min(m).alias("low"), F.max(m).alias("high")).where("low <> high")
     if not several.limit(1).count():
         classes = join_classes(docs, key, text)
-        going = materialise(classes.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_k")).distinct(), "copies")
-        return _without(docs, going, "_k", key)
+        going = materialise(classes.where(F.col(key) != F.col("component_id")).select(F.col(key).alias(k)).distinct(), "copies")
+        return _without(docs, going, k, key)
     # Numbers in the order of the ids, one for each text of an id; written, so that they stay what they are.
-    numbers = materialise(named.distinct().orderBy("_k", "_m").withColumn("_number", F.monotonically_increasing_id()), "text-numbers")
-    numbered = docs.join(numbers, (F.col(key) == F.col("_k")) & (mark == F.col("_m")), "left").drop("_k", "_m")
+    numbers = materialise(named.distinct().orderBy(k, m).withColumn(number, F.monotonically_increasing_id()), "text-numbers")
+    numbered = docs.join(numbers, (F.col(key) == F.col(k)) & mark.eqNullSafe(F.col(m)), "left").drop(k, m)
     numbered = materialise(numbered, "numbered-documents")
-    classes = join_classes(numbered, "_number", text).where("_number <> component_id").select("_number", "component_id").distinct()
-    ids = numbers.select("_number", "_k")
-    kept_ids = ids.select(F.col("_number").alias("component_id"), F.col("_k").alias("_kept"))
-    going = classes.join(ids, "_number").join(kept_ids, "component_id").where("_k <> _kept")
-    going = materialise(going.select(F.col("_number").alias("_going")), "copies")
-    return _without(numbered, going, "_going", "_number").select(*docs.columns)
+    classes = join_classes(numbered, number, text).select(F.col(number).alias("number"), "component_id").where("number <> component_id").distinct()
+    ids = numbers.select(F.col(number).alias("number"), F.col(k).alias("id"))
+    kept_ids = ids.select(F.col("number").alias("component_id"), F.col("id").alias("kept"))
+    going = classes.join(ids, "number").join(kept_ids, "component_id").where("id <> kept")
+    going = materialise(going.select(F.col("number").alias(going_name)), "copies")
+    return _without(numbered, going, going_name, number).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _without(docs: DataFrame, going: DataFrame, name: str, key: str) -> DataFrame:

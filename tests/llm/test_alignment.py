@@ -2,7 +2,9 @@
 
 import collections
 import hashlib
+import json
 import random
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -100,13 +102,13 @@ FINE = alignment.Sizes(radix=5, chunk_docs=3, chunk_links=100, block_pairs=8, fa
 
 def test_ranks_give_the_file_s_ids():
     slow, quick = alignment.byte_side(BYTES), alignment.byte_side(BYTES, public_tokenizers.PATTERN)
-    assert alignment._by_ranks(BYTES, slow.pieces, public_tokenizers.PATTERN) is not None
+    rules = [json.loads(Path(str(public_tokenizers.path(n))).read_text(encoding="utf-8")) for n in ("byte_bpe_50k.json", "word_bpe_49k.json")]
+    assert alignment._by_ranks(rules[0], slow.pieces, public_tokenizers.PATTERN) is not None
+    assert alignment._by_ranks(rules[1], [], public_tokenizers.PATTERN) is None
     rng = random.Random(9)
     letters = "aé \n\t'sxyz漢😀01,.<|>ß\u00a0\u2003"
     for text in [t for t in TEXTS if t] + ["".join(rng.choices(letters, k=200)) for _ in range(300)] + [" " * 300_000 + "x"]:
         assert slow.encode(" " + text) == quick.encode(" " + text)
-    words = str(public_tokenizers.path("word_bpe_49k.json"))
-    assert alignment._by_ranks(words, [], public_tokenizers.PATTERN) is None
 
 
 @pytest.mark.parametrize("sizes, pattern", [(alignment.Sizes(), None), (FINE, public_tokenizers.PATTERN)])

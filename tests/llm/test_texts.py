@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from sward.llm import chat, decontaminate, importance, mixing, ngram_join, quality_net, tokens
+from sward.llm import chat, credentials, decontaminate, importance, mixing, ngram_join, quality_net, tokens
 from sward.session import work_path
 
 MODEL = str(public_tokenizers.path("piece_bpe_32k.model"))
@@ -243,6 +243,46 @@ def test_join_of_odd_rows(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2] and kept.columns == docs.columns
 
 
+def test_heavily_edited_copies_link_as_brute_force_says(spark, monkeypatch):
+    """Similarities on either side of the threshold, in long lists of many classes."""
+    monkeypatch.setattr(ngram_join, "ROUNDS", 0)
+    rng, texts = random.Random(12), []
+    for base in ([f"b{i}" for i in range(150)], [f"c{i}" for i in range(60)]):
+        for i in range(60):
+            copy = list(base)[rng.randrange(3) :]
+            for _ in range(rng.randrange(1, 8)):
+                copy[rng.randrange(len(copy))] = f"z{rng.randrange(30)}"
+            texts.append(" ".join(copy))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join_classes(documents(spark, texts)).collect()}
+    assert got == plain_classes(list(enumerate(texts)))
+
+
+def test_rows_without_id_link_like_others(spark):
+    """The first and third text are similar to the one without id, but not to each other."""
+    base = [f"w{i}" for i in range(60)]
+    first, third = [*base[:50], *[f"x{i}" for i in range(5)]], [f"y{i}" for i in range(4)] + base[4:57]
+    rows = [(1, first), (None, base[:57]), (3, third), (None, ["alone"] * 2), (4, ["other"])]
+    docs = documents(spark, [" ".join(t) for _, t in rows], [k for k, _ in rows])
+    sets = [set(zip(*[t[i:] for i in range(5)])) for t in (first, base[:57], third)]
+    share = [len(a & b) / len(a | b) for a, b in ((sets[0], sets[1]), (sets[1], sets[2]), (sets[0], sets[2]))]
+    assert share[0] >= 0.75 and share[1] >= 0.75 and share[2] < 0.75
+    got = sorted(str((r["doc_id"], r["component_id"])) for r in ngram_join.join_classes(docs).collect())
+    assert got == sorted(["(1, 1)", "(None, 1)", "(3, 1)", "(None, None)", "(4, 4)"])
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(1, "a b c d e f", 7, 8, 9, 10), (2, "a b c d e f", 7, 8, 9, 10), (2, "g h i token=abcdefgh", 1, 2, 3, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _k int, _m int, _number int, _going int")
+    kept = ngram_join.one_per_class(docs)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == sorted([rows[0], rows[2]])
+    named = docs.withColumnsRenamed({"_k": "_blob", "_m": "_spans"})
+    clean = credentials.redact_documents(named, work_path(spark, "ledger"))
+    assert clean.columns == named.columns
+    assert sorted(r["_spans"] for r in clean.collect()) == [2, 8, 8]
+    assert credentials.redact_documents(named.limit(0), work_path(spark, "ledger")).count() == 0
+
+
 @pytest.mark.parametrize("light", [1, 64])
 def test_texts_of_one_id_all_link_and_none_is_lost(spark, light, monkeypatch):
     monkeypatch.setattr(ngram_join, "boundary", lambda *_: light)
