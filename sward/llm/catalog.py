@@ -222,13 +222,13 @@ grams AS (
   SELECT n, (h * 31 + h2) % {_I.BUCKETS} FROM (SELECT n, h, lead(h) OVER (PARTITION BY n ORDER BY i) AS h2 FROM hashed) WHERE h2 IS NOT NULL
 ),
 trusted AS (
-  SELECT n FROM base WHERE n_words >= {_I.TRUSTED_WORDS} AND 100 * n_symbols <= {_I.TRUSTED_SYMBOLS} * word_chars
+  SELECT n FROM base WHERE 100 * n_symbols <= {_I.TRUSTED_SYMBOLS} * word_chars
     AND 100 * n_repeat_words <= {_I.TRUSTED_REPEATED} * n_words AND n_dup_lines = 0 AND 100 * capitals <= {_I.TRUSTED_CAPITALS} * word_chars
 ),
 counts AS (SELECT b, count(*) AS raw, count(trusted.n) AS target FROM grams LEFT JOIN trusted USING (n) GROUP BY b),
-sums AS (SELECT sum(raw) + {_I.BUCKETS * _I.SMOOTHING} AS raw, sum(target) + {_I.BUCKETS * _I.SMOOTHING} AS target, sum(target) AS any_target FROM counts),
+sums AS (SELECT sum(target)::DOUBLE / sum(raw) AS trusted FROM counts),
 ratios AS (
-  SELECT b, CASE WHEN any_target = 0 THEN 0 ELSE ln(((c.target + {_I.SMOOTHING}) / s.target) / ((c.raw + {_I.SMOOTHING}) / s.raw)) END AS r
+  SELECT b, CASE WHEN trusted = 0 THEN 0 ELSE ln((c.target + {_I.PRIOR} * trusted) / ((c.raw + {_I.PRIOR}) * trusted)) END AS r
   FROM counts c, sums s
 ),
 scores AS (SELECT n, avg(r) AS score FROM grams JOIN ratios USING (b) GROUP BY n)
@@ -241,8 +241,7 @@ FROM base LEFT JOIN scores USING (n)
 
 @query("op6_quality_rules", QUALITY_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
-    """Trusts and smooths as its SQL does; the pipeline's stage uses the operator's own method."""
-    return importance.rate_documents(table(spark, folder, "documents"), as_sql=True).drop("score")
+    return importance.rate_documents(table(spark, folder, "documents")).drop("score")
 
 
 # 7. N-gram Jaccard join
@@ -314,6 +313,7 @@ WITH {span_sql([
     ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "0"),
     ("card", r"[0-9]([\x20-]?[0-9])+", "0"),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "0"),
+    ("iban", r"\b[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)\b", "0"),
 ])},
 digits AS (SELECT *, regexp_replace(found, '[^0-9]', '', 'g') AS d FROM placed),
 kept AS (
@@ -321,16 +321,20 @@ kept AS (
     WHEN 'email' THEN true
     WHEN 'ip' THEN regexp_full_match(found, '{personal.BYTE}(\\.{personal.BYTE}){{3}}')
     WHEN 'phone' THEN length(d) BETWEEN 8 AND 15
+    WHEN 'iban' THEN list_reduce(
+      [0] || list_transform(string_split(substr(replace(found, ' ', ''), 5) || substr(found, 1, 4), ''), lambda c: CASE WHEN c >= 'A' THEN ascii(c) - 55 ELSE c::INT END),
+      lambda x, v: (x * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97) = 1
     ELSE length(d) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length(d) + 1), lambda i:
       CASE WHEN i % 2 = 1 THEN substr(d, length(d) - i + 1, 1)::INT
       ELSE substr(d, length(d) - i + 1, 1)::INT * 2 - CASE WHEN substr(d, length(d) - i + 1, 1)::INT > 4 THEN 9 ELSE 0 END END)) % 10 = 0
     END
 ),
 per AS (
-  SELECT n, {", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS c_{k}" for k in personal.BASE_KINDS)}, {joined_spans("rank, s")} AS base
+  SELECT n, {", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS c_{k}" for k in personal.BASE_KINDS)}, {joined_spans("rank, s", "kind <> 'iban'")} AS base,
+    {joined_spans("rank, s")} AS spans
   FROM kept GROUP BY n
 )
-SELECT doc_id, {", ".join(f"coalesce(c_{k}, 0) AS n_{k}" for k in personal.BASE_KINDS)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(base, '') AS spans
+SELECT doc_id, {", ".join(f"coalesce(c_{k}, 0) AS n_{k}" for k in personal.BASE_KINDS)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM whole LEFT JOIN per USING (n)
 """
 

@@ -20,8 +20,6 @@ from sward.llm.textual import SPACES, WordHash, utf8
 
 #: Hash buckets of the multinomials: a driver and worker array of 512 KB whatever the corpus.
 BUCKETS = 1 << 16
-#: Added to every bucket's count where the SQL of op6 fixes the method.
-SMOOTHING = 1.0
 #: Raw n-grams that a bucket needs to count for half of what it says; until then its ratio stays near 0.
 PRIOR = 4.0
 #: Kept from this mean log ratio (nats per n-gram) on.
@@ -30,8 +28,8 @@ SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED = 50
 #: A text is trusted when it has at most these percentages of symbols and capitals among word characters, of repeated
-#: words among words, and no repeated line, whatever its length; the SQL of op6 also asks for this many words.
-TRUSTED_WORDS, TRUSTED_SYMBOLS, TRUSTED_CAPITALS, TRUSTED_REPEATED = 100, 1, 15, 20
+#: words among words, and no repeated line, whatever its length.
+TRUSTED_SYMBOLS, TRUSTED_CAPITALS, TRUSTED_REPEATED = 1, 15, 20
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -51,7 +49,7 @@ def repeated_words(hashes: np.ndarray) -> int:
     return int(inside.sum())
 
 
-def measure(text: str | None, hashes: WordHash, least_trusted: int = 0) -> tuple[tuple[int, ...], bool, np.ndarray]:
+def measure(text: str | None, hashes: WordHash) -> tuple[tuple[int, ...], bool, np.ndarray]:
     """The base features, whether the text is trusted, and the buckets of its n-grams."""
     text = text or ""
     words = hashes.of(utf8(text).split())
@@ -60,8 +58,7 @@ def measure(text: str | None, hashes: WordHash, least_trusted: int = 0) -> tuple
     symbols = sum(map(text.count, SYMBOLS))
     features = (len(words), chars, symbols, lines.total() - len(lines), repeated_words(words))
     trusted = (
-        features[0] >= least_trusted
-        and 100 * symbols <= TRUSTED_SYMBOLS * chars
+        100 * symbols <= TRUSTED_SYMBOLS * chars
         and 100 * features[4] <= TRUSTED_REPEATED * features[0]
         and features[3] == 0
         and 100 * sum(map(text.count, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")) <= TRUSTED_CAPITALS * chars
@@ -74,11 +71,11 @@ def base_failed(n_words: int, n_repeat_words: int) -> bool:
     return n_words < LEAST_WORDS or 100 * n_repeat_words > MOST_REPEATED * n_words
 
 
-def _count(batches: Iterator[pa.RecordBatch], least_trusted: int) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes, raw, target = WordHash(8), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            _, trusted, grams = measure(text, hashes, least_trusted)
+            _, trusted, grams = measure(text, hashes)
             counts = np.bincount(grams, minlength=BUCKETS) if len(grams) > BUCKETS // 8 else None
             for table in (raw, target) if trusted else (raw,):
                 if counts is None:
@@ -89,26 +86,18 @@ def _count(batches: Iterator[pa.RecordBatch], least_trusted: int) -> Iterator[pa
     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (used, raw[used], target[used])], names=["bucket", "raw", "target"])
 
 
-def log_ratios(docs: DataFrame, text: str = "text", as_sql: bool = False) -> np.ndarray:
+def log_ratios(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Log ratio of every bucket, from exact counts over all rows.
 
     Each task sends at most one row per bucket; the sums, one row per bucket, are the only thing the driver receives.
     An empty corpus, or one without trusted texts, gives zeros, so that every score is 0 and every text kept.
-    ``as_sql`` trusts texts from ``TRUSTED_WORDS`` words on only and adds ``SMOOTHING`` to every bucket instead of the
-    prior, as the SQL of op6 does; small corpora then lose clean short texts.
     """
-    least = TRUSTED_WORDS if as_sql else 0
-    counted = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(
-        lambda batches: _count(batches, least), "bucket long, raw long, target long"
-    )
+    counted = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(_count, "bucket long, raw long, target long")
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for row in counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect():
         raw[row["bucket"]], target[row["bucket"]] = row["raw"], row["target"]
     if not target.any():
         return np.zeros(BUCKETS)
-    if as_sql:
-        share = [(t + SMOOTHING) / (t.sum() + SMOOTHING * BUCKETS) for t in (target, raw)]
-        return np.log(share[0] / share[1])
     trusted = target.sum() / raw.sum()
     return np.log((target + PRIOR * trusted) / ((raw + PRIOR) * trusted))
 
@@ -121,14 +110,13 @@ def judge(text: str | None, hashes: WordHash, ratios: np.ndarray) -> tuple[tuple
     return features, score, failed, not failed and score >= LEAST_SCORE
 
 
-def rate_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", as_sql: bool = False) -> DataFrame:
+def rate_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score, base_failed, kept)`` for every row.
 
     Null and empty texts have no words, so they fail the base rules; repeated rows and null keys are kept as rows;
-    other columns are not read; no rows give no rows. Two scans of the texts, no shuffle of them. ``as_sql`` is for the
-    query that must agree with SQL, see ``log_ratios``.
+    other columns are not read; no rows give no rows. Two scans of the texts, no shuffle of them.
     """
-    model = docs.sparkSession.sparkContext.broadcast(log_ratios(docs, text, as_sql))
+    model = docs.sparkSession.sparkContext.broadcast(log_ratios(docs, text))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHash(8)
@@ -144,7 +132,10 @@ def rate_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", as_
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text is kept, with all their columns as they are."""
+    """The rows of ``docs`` whose text is kept, with all their columns as they are.
+
+    Rows with null or empty texts fail the base rules and go; repeated rows stay or go together; no rows give no rows.
+    """
     model = docs.sparkSession.sparkContext.broadcast(log_ratios(docs, text))
     at = docs.columns.index(text)
 

@@ -48,10 +48,11 @@ def source_plan(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), share: f
     return leveled.select("source", "n_docs", "source_size", F.least("stop", shared * F.col("weight")).alias("target"))
 
 
-def fly(p: np.ndarray, x: np.ndarray, u: np.ndarray) -> np.ndarray:
+def fly(p: np.ndarray, x: np.ndarray, coins: np.ndarray) -> np.ndarray:
     """Fractions after the flight phase: sums of p and of p * x as before, at most two strictly between 0 and 1.
 
-    ``u`` are uniform numbers; each step ends at one of its two ends so that expectations stay the same.
+    ``coins`` are uniform numbers that don't depend on the order of the rows; each step ends at one of its two ends so that
+    expectations stay the same.
     """
     p, held, k = [float(v) for v in p], [], 0
     for i in range(len(p)):
@@ -65,7 +66,7 @@ def fly(p: np.ndarray, x: np.ndarray, u: np.ndarray) -> np.ndarray:
             moves = [(p[j], d) for j, d in zip(held, step) if d]
             up = min((1 - v) / d if d > 0 else -v / d for v, d in moves)
             down = min(v / d if d > 0 else (v - 1) / d for v, d in moves)
-            by = up if u[k % len(u)] * (up + down) < down else -down
+            by = up if coins[k % len(coins)] * (up + down) < down else -down
             k += 1
             for j, d in zip(held, step):
                 v = p[j] + d * by
@@ -88,7 +89,7 @@ def land(p: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def _flight(group: pd.DataFrame) -> pd.DataFrame:
     group = group.sort_values(["u", "doc_id", "size"], kind="stable", na_position="last")
-    p = fly(group["p"].to_numpy(float), group["size"].to_numpy(float), group["u"].to_numpy(float))
+    p = fly(group["p"].to_numpy(float), group["size"].to_numpy(float), group["coin"].to_numpy(float))
     if group["chunks"].iloc[0] == 1:
         p = land(p, group["size"].to_numpy(float))
     return group.assign(p=p)[["doc_id", "source", "size", "whole", "p"]]
@@ -112,12 +113,15 @@ def balanced_copies(units: DataFrame, seed: int = 0) -> DataFrame:
         if not sizes["n"]:
             break
         counts = counts.withColumnRenamed("source", "_s")
-        u = (F.pmod(F.xxhash64("doc_id", "size", F.lit(seed), F.lit(level)), F.lit(1 << 52)) / float(1 << 52)).alias("u")
+        u, coin = (
+            (F.pmod(F.xxhash64("doc_id", "size", F.lit(seed), F.lit(level), F.lit(name)), F.lit(1 << 52)) / float(1 << 52)).alias(name)
+            for name in ("u", "coin")
+        )
         chunk = F.pmod(F.xxhash64(F.lit(level), "doc_id", "size"), F.col("chunks")).alias("chunk")
         flown = (
             units.where(fraction)
             .join(counts, F.col("source").eqNullSafe(F.col("_s")))
-            .select("doc_id", "source", "size", "whole", "p", "chunks", chunk, u)
+            .select("doc_id", "source", "size", "whole", "p", "chunks", chunk, u, coin)
             .groupBy("source", "chunk")
             .applyInPandas(_flight, schema)
         )

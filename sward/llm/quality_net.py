@@ -40,21 +40,25 @@ def token_rows(text: str | None, hashes: WordHash) -> np.ndarray:
 
 
 def add_contexts(sums: np.ndarray, rows: np.ndarray, places: np.ndarray, signs: np.ndarray) -> None:
-    """Add to every word's sum (``ROWS * DIMENSIONS``, flat) the index vectors of up to ``REACH`` neighbours a side."""
+    """Add to every word's sum (``ROWS * DIMENSIONS``, flat) the index vectors of up to ``REACH`` neighbours a side.
+
+    Texts are ``REACH`` places or more apart, and such places are -1, so both words of a counted pair are of one text.
+    """
     for step in range(1, REACH + 1):
-        for words, near in ((rows[:-step], rows[step:]), (rows[step:], rows[:-step])):
+        inside = (rows[:-step] >= 0) & (rows[step:] >= 0)
+        left, right = rows[:-step][inside], rows[step:][inside]
+        for words, near in ((left, right), (right, left)):
             for entry in range(2):
                 sums += np.bincount(words * DIMENSIONS + places[near, entry], weights=signs[near, entry], minlength=len(sums))
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes, sums, (places, signs) = WordHash(8), np.zeros(ROWS * DIMENSIONS), index_vectors()
-    pad = np.zeros(REACH, np.int64)
+    pad = np.full(REACH, -1, np.int64)
     waiting, size = [], 0
 
     def flush() -> None:
         if waiting:
-            # Texts are separated by padding words of row 0, so that neighbours never come from another text.
             add_contexts(sums, np.concatenate(waiting), places, signs)
             waiting.clear()
 
@@ -194,8 +198,8 @@ def train(vectors: DataFrame, labels: DataFrame, key: str = "doc_id", label: str
     chosen = F.broadcast(present.orderBy("h", "_k").limit(TRAINING_ROWS))
     rows = (
         vectors.join(chosen, F.col("key") == F.col("_k"))
-        .select("vector", "y", (fold("key") == 1).alias("calibrates"), "h", "key")
-        .orderBy("h", "key")
+        .select("vector", "y", (fold("key") == 1).alias("calibrates"), "h", "key", F.xxhash64("vector").alias("text_hash"))
+        .orderBy("h", "key", "text_hash")
         .limit(TRAINING_ROWS)
         .select("vector", "y", "calibrates")
         .toArrow()

@@ -195,3 +195,20 @@ def test_spans_are_digested_as_agreed(spark):
     line = found.select(span_digest(F.col("spans")).alias("s"), F.sha2(span_digest(F.col("spans")), 256).alias("h")).first()
     assert line["s"] == "email:0:6,ip:7:14"
     assert line["h"] == hashlib.sha256(b"email:0:6,ip:7:14").hexdigest()
+
+
+def test_sql_of_personal_data_knows_ibans(spark, tmp_path):
+    import duckdb
+
+    from sward.llm import catalog
+
+    texts = ["to DE89 3704 0044 0532 0130 00 please", "GB82WEST12345698765432", "DE88370400440532013000", None, "IBAN FR1420041010050500013M02606, +49 30 1234567"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalog.PLANS["op10_personal_data"](spark, str(tmp_path))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    cursor = duck.execute(catalog.SQL["op10_personal_data"])
+    names = [d[0] for d in cursor.description]
+    want = {r[0]: dict(zip(names, r)) for r in cursor.fetchall()}
+    assert {r["doc_id"]: r.asDict() for r in got.collect()} == want
+    assert [("iban" in want[i]["spans"]) for i in range(5)] == [True, True, False, False, True]

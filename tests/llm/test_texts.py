@@ -148,6 +148,28 @@ def test_classifier_on_the_held_out_fold(spark, small):
     assert scored.count() == docs.count()
 
 
+def test_contexts_and_scores_do_not_depend_on_partitions(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    found = [{r["doc_id"]: r["score"] for r in quality_net.score_quality(docs.repartition(n), labels).collect()} for n in (1, 7)]
+    assert found[0] == pytest.approx(found[1], abs=1e-9)
+    texts = ["a b c a", "c", "", "b a b b c c a d", "x y"]
+    places, signs = quality_net.index_vectors()
+    want = np.zeros((quality_net.ROWS, quality_net.DIMENSIONS))
+    hashes = quality_net.WordHash(8)
+    for text in texts:
+        rows = quality_net.token_rows(text, hashes)
+        for i, word in enumerate(rows):
+            for j in range(max(0, i - quality_net.REACH), min(len(rows), i + quality_net.REACH + 1)):
+                if j != i:
+                    for place, sign in zip(places[rows[j]], signs[rows[j]]):
+                        want[word, place] += sign
+    want = np.sign(want) * np.log1p(np.abs(want))
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-9)
+    for n in (1, 3):
+        assert np.allclose(quality_net.word_vectors(documents(spark, texts).repartition(n)), want, atol=1e-6)
+
+
 def test_classifier_of_odd_tables(spark):
     docs = documents(spark, [None, "", "a b c", "a b c", "w " * 30000], [None, 1, 2, 2, 3])
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
@@ -423,3 +445,24 @@ def test_cut_texts_are_clean_and_others_unchanged(spark):
     assert plain_leaks(out[4], [(1, item)], 10)[1] == 0 and out[4].count("w2999") == 2
     assert decontaminate.remove_leaks(docs, items.limit(0)).count() == 5
     assert decontaminate.find_leaks(docs.limit(0), items).count() == 0
+
+
+def test_flights_keep_inclusion_probabilities():
+    """Documents of every size are taken as often as they should be, within three standard errors."""
+    rng, times = np.random.default_rng(10), 1500
+    sizes = np.tile([10, 25, 70], 8)
+    taken = np.zeros(len(sizes))
+    for _ in range(times):
+        order = rng.permutation(len(sizes))
+        p = np.full(len(sizes), 0.3)
+        flown = mixing.fly(p[order], sizes[order].astype(float), rng.random(len(sizes)))
+        taken[order] += flown
+    for size in (10, 25, 70):
+        mean = taken[sizes == size].sum() / (times * 8)
+        assert abs(mean - 0.3) < 3 * (0.21 / (times * 8)) ** 0.5
+
+
+def test_good_documents_of_every_table_stay(spark, small):
+    docs, labels = (spark.read.parquet(f"{small}/{n}.parquet") for n in ("documents", "labels"))
+    rated = importance.rate_documents(docs).join(labels.select("doc_id", "quality"), "doc_id")
+    assert rated.where("quality = 1 AND NOT base_failed AND NOT kept").count() == 0
