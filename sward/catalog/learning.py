@@ -7,7 +7,7 @@ from functools import reduce
 import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sward.catalog import base, query
@@ -16,7 +16,7 @@ from sward.catalog.reports import NEW_ROWS_SQL
 from sward.constants import KEY, METADATA, NUMERIC_METADATA
 from sward.functions import scalars
 from sward.operators import metrics, ranking
-from sward.plans import cross_validation, estimators, ridge, scoring, trees
+from sward.plans import cross_validation, dense_head, estimators, ridge, scoring, trees
 from sward.session import stored_once
 from sward.sources import views
 
@@ -284,6 +284,34 @@ def k16_training_history(spark, folder):
     return estimators.training_history(table, models)
 
 
+#: The published head with a rate that suits its ten epochs of few rows, and four mini-batches each.
+HEAD = dense_head.Head(rate=0.01, rounds=4)
+
+
+def fitted_heads(spark, folder):
+    table = base.design(spark, folder).join(views.embeddings(spark, folder).select(KEY, "embedding"), on=KEY)
+    return table, dense_head.fit_heads(table, "embedding", TARGETS, HEAD)
+
+
+@query("k15_dense_head")
+def k15_dense_head(spark, folder):
+    """One hidden layer and five joint outputs on the embedding, Huber loss: out-of-fold metrics at the best epochs."""
+    table, heads = fitted_heads(spark, folder)
+    scored = heads.predict(table, "embedding")
+    return metrics.fold_metrics(scored.select(F.lit("Dense").alias("model"), F.lit("CNN").alias("feature_set"), "fold", KEY, "target", "y", "pred"))
+
+
+@query("k16_validation_history")
+def k16_validation_history(spark, folder):
+    """Training and validation loss and rate by epoch, with the epochs since the best one and whether it is the best."""
+    _, heads = fitted_heads(spark, folder)
+    history = heads.history(spark)
+    order = Window.partitionBy("fold").orderBy("epoch")
+    least = F.min("val_loss").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    best = F.min_by("epoch", F.struct("val_loss", "epoch")).over(Window.partitionBy("fold"))
+    return history.withColumn("least_so_far", least).withColumn("is_best", F.col("epoch") == best)
+
+
 @query("d19_model_importances")
 def d19_model_importances(spark, folder):
     """Importances of forest models: mean over folds and targets, summed by family."""
