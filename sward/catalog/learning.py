@@ -17,7 +17,7 @@ from sward.constants import KEY, METADATA, NUMERIC_METADATA
 from sward.functions import scalars
 from sward.operators import metrics, ranking
 from sward.plans import cross_validation, dense_head, estimators, ridge, scoring, trees
-from sward.session import stored_once
+from sward.session import stored_once, work_path
 from sward.sources import views
 
 FOLDS = range(5)
@@ -239,6 +239,21 @@ def k9_experiment_grid(spark, folder):
     return ranking.rank_configurations(metrics.configuration_means(summary))
 
 
+def ledger_run(spark, folder):
+    factories = {"Forest": estimators.random_forest(trees=3, depth=3), "Linear": lambda: LinearRegression(regParam=0.1, solver="normal")}
+    sets = {"CNN": "cnn", "Metadata": "metadata", "Combined": "combined"}
+    return cross_validation.restartable_grid(image_table(spark, folder), factories, sets, work_path(spark, "experiments"), TARGETS, FOLDS)
+
+
+@query("k9_runtimes")
+def k9_runtimes(spark, folder):
+    """Seconds of every experiment beside its errors, from a ledger that a second run would find complete."""
+    predictions, runtimes = ledger_run(spark, folder)
+    means = metrics.configuration_means(metrics.cv_summary(metrics.fold_metrics(predictions)))
+    seconds = runtimes.groupBy("model", "feature_set").agg(F.sum("seconds").alias("seconds"), F.count("*").alias("folds"))
+    return ranking.rank_configurations(means).join(seconds, ["model", "feature_set"])
+
+
 @query(
     "k11_batch_prediction",
     sql("SELECT image_path, " + ", ".join(r(f"max(CASE WHEN target = '{t}' THEN pred END)", t) for t in TARGETS) + f" FROM ({NEW_ROWS_SQL}) GROUP BY image_path"),

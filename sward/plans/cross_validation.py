@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sward.constants import FOLD, KEY, RIDGE_ALPHA, TARGETS
@@ -186,3 +188,78 @@ def experiment_grid(
             seconds.append((model, name, time.perf_counter() - start))
     return reduce(DataFrame.unionByName, parts), seconds
 
+
+LEDGER = "experiment string, model string, feature_set string, fold int, seconds double, predictions string"
+
+
+def experiment_name(model: str, feature_set: str, column: str, fold: int, estimator: Estimator, targets: Sequence[str], data: str) -> str:
+    """A digest of all that decides a fit: names, fold, targets, the estimator's class and settings, and the rows' version.
+
+    Settings are named without the estimator's random identifier, so two estimators that are set alike are the same.
+    """
+    settings = sorted((param.name, str(value)) for param, value in estimator.extractParamMap().items())
+    named = (model, feature_set, column, int(fold), type(estimator).__name__, settings, tuple(targets), data)
+    return hashlib.sha256(repr(named).encode()).hexdigest()
+
+
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+    """``(experiment, model, feature_set, fold, seconds, predictions)``; an absent folder is an empty ledger."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/done")
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], LEDGER)
+    # Entries are written at the same time, each in a folder of its own.
+    return spark.read.schema(LEDGER).parquet(f"{ledger}/done/*").dropDuplicates(["experiment"])
+
+
+def restartable_grid(
+    df: DataFrame,
+    factories: Mapping[str, EstimatorFactory],
+    feature_sets: Mapping[str, str],
+    ledger: str,
+    targets: Sequence[str] = TARGETS,
+    folds: Sequence[int] | None = None,
+    key: str = KEY,
+    clip: bool = False,
+    parallelism: int = 4,
+    data: str = "",
+) -> tuple[DataFrame, DataFrame]:
+    """Every model with every feature set, fold by fold, through a ledger: what is in it already is not fitted again.
+
+    Returns all out-of-fold predictions and ``(model, feature_set, fold, seconds)``, seconds being those of the run that
+    fitted it. An entry is written after its predictions, so a run that dies leaves whole entries or none, and the next run
+    with the same ledger fits what is absent; a failing fit ends the run after the entries of others. ``data`` names the
+    version of the rows. Entries are worked on by a few threads, each in a scheduler pool of its own, so that with fair
+    scheduling small fits don't wait behind large ones.
+    """
+    spark = df.sparkSession
+    chosen = checked_folds(df, folds)
+    wanted = {}
+    for model, factory in factories.items():
+        for name, column in feature_sets.items():
+            for fold in chosen:
+                wanted[experiment_name(model, name, column, fold, factory(), targets, data)] = (model, name, column, int(fold))
+    known = {r["experiment"] for r in read_ledger(spark, ledger).select("experiment").collect()}
+
+    def run(job: tuple[int, tuple[str, tuple[str, str, str, int]]]) -> None:
+        at, (experiment, (model, name, column, fold)) = job
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"experiments-{at % parallelism}")
+        start = time.perf_counter()
+        models = {}
+        for target in targets:
+            estimator = factories[model]().copy({})
+            estimator.setFeaturesCol(column).setLabelCol(target).setPredictionCol("pred")
+            models[fold, target] = estimator.fit(training_rows(df, fold).select(column, target))
+        scored = predict_folds(validation_rows(df, fold), models, targets, key, clip)
+        columns = [F.lit(model).alias("model"), F.lit(name).alias("feature_set"), FOLD, key, "target", "y", "pred"]
+        path = f"{ledger}/predictions/{experiment}"
+        scored.select(*columns).write.mode("overwrite").parquet(path)
+        row = [(experiment, model, name, fold, time.perf_counter() - start, path)]
+        spark.createDataFrame(row, LEDGER).coalesce(1).write.mode("overwrite").parquet(f"{ledger}/done/{experiment}")
+
+    jobs = [(e, job) for e, job in wanted.items() if e not in known]
+    with ThreadPoolExecutor(parallelism) as pool:
+        list(pool.map(inheritable_thread_target(spark)(run), enumerate(jobs)))
+    entries = [r for r in read_ledger(spark, ledger).collect() if r["experiment"] in wanted]
+    predictions = spark.read.parquet(*[r["predictions"] for r in entries])
+    runtimes = spark.createDataFrame([(r["model"], r["feature_set"], r["fold"], r["seconds"]) for r in entries], "model string, feature_set string, fold int, seconds double")
+    return predictions, runtimes

@@ -119,3 +119,54 @@ def test_embedding_in_batches(table, data):
     got = {r["image_path"]: r["e"] for r in rows(table.select("image_path", scoring.embed("x", scoring.linear_map(weights), 4, batch_size=7).alias("e")))}
     for i in (0, 123, 299):
         assert got[f"k{i}"] == pytest.approx(data[0][i] @ weights, rel=1e-5)
+
+
+def test_restartable_grid_fits_only_what_its_ledger_lacks(spark):
+
+    from sward.session import work_path
+
+    rows = [(f"i{i}", i % 3, float(i % 7), float(i % 5), 2.0 * (i % 7) + i % 5) for i in range(60)]
+    df = spark.createDataFrame(rows, "image_path string, fold int, p double, q double, t double")
+    df = df.select("image_path", "fold", "t", array_to_vector(F.array("p")).alias("one"), array_to_vector(F.array("p", "q")).alias("both")).cache()
+    fits = []
+
+    def line(penalty):
+        def build():
+            fits.append(penalty)
+            return LinearRegression(regParam=penalty, solver="normal")
+
+        return build
+
+    ledger, sets = work_path(spark, "ledger"), {"One": "one", "Both": "both"}
+    run = lambda models, data="": cross_validation.restartable_grid(df, models, sets, ledger, ["t"], data=data)
+    predictions, runtimes = run({"A": line(0.1)})
+    assert predictions.count() == 120 and runtimes.count() == 6 and runtimes.where("seconds <= 0").count() == 0
+    # Every factory is asked for its settings once per entry, and once more for a fit.
+    assert len(fits) == 12
+    direct, _ = cross_validation.experiment_grid(df, {"A": line(0.1)}, sets, ["t"])
+    key = ("model", "feature_set", "fold", "image_path", "target", "y", "pred")
+    assert predictions.select(*key).exceptAll(direct.select(*key)).count() == 0
+    fits.clear()
+    again, later = run({"A": line(0.1)})
+    assert len(fits) == 6 and again.count() == 120
+    assert sorted(map(str, later.collect())) == sorted(map(str, runtimes.collect()))
+    fits.clear()
+    run({"A": line(0.1), "B": line(0.5)})
+    assert len(fits) == 12 + 6
+    fits.clear()
+    run({"A": line(0.1)}, "newer rows")
+    assert len(fits) == 12
+    # A run that dies after some entries leaves them whole.
+    broken = work_path(spark, "ledger")
+
+    def failing():
+        if len(fits) > 15:
+            raise RuntimeError("lost")
+        return line(0.9)()
+
+    with pytest.raises(RuntimeError):
+        cross_validation.restartable_grid(df, {"C": failing}, sets, broken, ["t"], parallelism=1)
+    left = cross_validation.read_ledger(spark, broken).count()
+    fits.clear()
+    cross_validation.restartable_grid(df, {"C": line(0.9)}, sets, broken, ["t"])
+    assert len(fits) == 6 + 6 - left
