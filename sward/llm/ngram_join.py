@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sward.llm.components import components
@@ -37,6 +37,8 @@ KEY_BITS, MOST_WORDS = 16, 20
 #: Leaders that a set of another class is compared with in a round over the lists, and rounds at most; a round that
 #: finds no link is the last. What rounds leave is enumerated in full.
 LEADERS, ROUNDS = 3, 2
+#: Percentage of a set's size by which prefixes are longer than they need be, so that pairs have to share as many shingles more.
+MARGIN = 3
 #: Shingles of a task that are counted together.
 COUNTED = 1 << 20
 #: Joins of texts with at most so many ids broadcast them; with more, both sides are shuffled.
@@ -345,9 +347,34 @@ def _entries(texts: DataFrame, classes: DataFrame, order: Order, light: int, wor
     return classed.select("key", F.coalesce("cls", "key").alias("cls"), "text").mapInArrow(emit, "join_key long, cls long, key long, n long, at long")
 
 
+def overlap(both: Column) -> Column:
+    """Shingles that two similar sets of ``both`` shingles together have in common, at least."""
+    return F.ceil(F.lit(PERCENT) * both / (100 + PERCENT))
+
+
+def meets_larger(counted: bool = False) -> Column:
+    """Whether an entry is early enough to meet sets that are not smaller; pairs of shingles always are.
+
+    With ``counted``, whether it may count for a pair whose larger set is at most 100 / ``PERCENT`` times the smaller one.
+    """
+    more = F.floor(F.col("n") * MARGIN / PERCENT) if counted else F.lit(0)
+    return (F.col("join_key").bitwiseAND(1) == 0) | (F.col("at") <= F.col("n") - overlap(2 * F.col("n")) + more)
+
+
 def several_classes(entries: DataFrame) -> DataFrame:
-    """Keys of lists with more than one class; combined in the map tasks."""
-    return entries.groupBy("join_key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high").select("join_key")
+    """``(join_key, least_n)``: lists of more than one class where a set of ``least_n`` shingles or more may meet another.
+
+    Of two similar sets the one that is not larger has all shingles that count early enough; lists without such an entry,
+    and entries of sets that are smaller than all of these, can be left out. Combined in the map tasks.
+    """
+    least = F.min(F.when(meets_larger(counted=True), F.col("n"))).alias("least_n")
+    lists = entries.groupBy("join_key").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), least)
+    return lists.where("low <> high AND least_n IS NOT NULL").select("join_key", "least_n")
+
+
+def in_lists_of(entries: DataFrame, lists: DataFrame) -> DataFrame:
+    """The entries that may meet another one in the given lists."""
+    return entries.join(lists, "join_key").where("n >= least_n").drop("least_n")
 
 
 def list_leaders(met: DataFrame, number: int) -> DataFrame:
@@ -370,7 +397,7 @@ def reclassed(met: DataFrame, links: DataFrame) -> DataFrame:
     """Entries with the classes that links make, of lists that still have several."""
     classes = components(links).select(F.col("node").alias("_k"), "component")
     named = met.join(classes, F.col("key") == F.col("_k"), "left").withColumn("cls", F.coalesce("component", "cls")).drop("_k", "component")
-    return named.join(several_classes(named), "join_key", "left_semi")
+    return in_lists_of(named, several_classes(named))
 
 
 def candidate_pairs(met: DataFrame) -> DataFrame:
@@ -380,19 +407,33 @@ def candidate_pairs(met: DataFrame) -> DataFrame:
     m - c + 1. That is shorter than the prefix which a set needs for partners of any size, so only matches inside it count.
     The smaller set of a pair has the shorter one: it meets larger sets with no more than its first entries, so a frequent
     shingle, which is late in the order of most sets that have it, brings few of them together.
+
+    Before whole sets are compared, pairs have to share l of their first n - c + l and m - c + l, too, with l as large as
+    ``MARGIN`` and the listed prefixes allow; a document's listed keys are counted against another's.
     """
     other = met.select("join_key", *[F.col(c).alias(f"{c}_2") for c in ("cls", "key", "n", "at")])
-
-    def overlap(both):
-        return F.ceil(F.lit(PERCENT) * both / (100 + PERCENT))
-
     of_list = F.col("join_key").bitwiseAND(1) == 1
-    smaller = met.where(~of_list | (F.col("at") <= F.col("n") - overlap(2 * F.col("n"))))
-    least = overlap(F.col("n") + F.col("n_2"))
-    inside = (F.col("at") <= F.col("n") - least) & (F.col("at_2") <= F.col("n_2") - least)
+    common = overlap(F.col("n") + F.col("n_2"))
+    inside = (F.col("at") <= F.col("n") - common) & (F.col("at_2") <= F.col("n_2") - common)
     in_turn = (F.col("n") < F.col("n_2")) | ((F.col("n") == F.col("n_2")) & (F.col("key") < F.col("key_2")))
     fits = in_turn & (F.col("cls") != F.col("cls_2")) & (100 * F.col("n") >= PERCENT * F.col("n_2")) & (~of_list | inside)
-    return smaller.join(other, "join_key").where(fits).select(F.col("key").alias("a"), F.col("key_2").alias("b")).distinct()
+    meeting = met.where(meets_larger()).join(other, "join_key").where(fits)
+    pairs = materialise(meeting.groupBy("key", "key_2", "n", "n_2").agg(F.max(~of_list).alias("sure")), "meeting-pairs")
+
+    listed = met.where(of_list).groupBy("key").agg(F.collect_list(F.struct("at", "join_key")).alias("listed"))
+    listed = materialise(listed, "listed-keys")
+    first, second = (listed.select(F.col("key").alias(k), F.col("listed").alias(f"{k}_listed")) for k in ("key", "key_2"))
+    share = F.least(1 + F.floor(F.col("n_2") * MARGIN / 100), common - F.ceil(F.col("n_2") * PERCENT / 100) + 1)
+
+    def leading(column: str, n: str) -> Column:
+        return F.transform(F.filter(column, lambda x: x["at"] < F.col(n) - common + share), lambda x: x["join_key"])
+
+    agree = F.size(F.array_intersect(leading("key_listed", "n"), leading("key_2_listed", "n_2")))
+    both = pairs.join(first, "key", "left").join(second, "key_2", "left")
+    kept = both.where(F.col("sure") | (agree >= share)).select(F.col("key").alias("a"), F.col("key_2").alias("b"))
+    found = materialise(kept, "candidate-pairs")
+    discard(pairs, listed)
+    return found
 
 
 def leader_pairs(sets: DataFrame) -> DataFrame:
@@ -447,7 +488,7 @@ def join_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     named = texts.where("key IS NOT NULL")
     shared = materialise(several_classes(_entries(named, classes, order, light)), "shared-keys")
     words = key_filter(shared, shared.count())
-    met = materialise(_entries(named, classes, order, light, words).join(shared, "join_key", "left_semi"), "list-entries")
+    met = materialise(in_lists_of(_entries(named, classes, order, light, words), shared), "list-entries")
     discard(shared)
     for number in range(ROUNDS):
         leaders = materialise(list_leaders(met, number), "list-leaders")
@@ -458,7 +499,7 @@ def join_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         both, old = materialise(links.union(found), "links"), (met, links, found)
         links, met = both, materialise(reclassed(met, both), "list-entries")
         discard(*old)
-    candidates = materialise(candidate_pairs(met), "candidate-pairs")
+    candidates = candidate_pairs(met)
     discard(met)
     more = verified(texts, candidates)
     discard(candidates)
