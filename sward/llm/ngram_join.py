@@ -37,6 +37,8 @@ KEY_BITS, MOST_WORDS = 16, 20
 #: Leaders that a set of another class is compared with in a round over the lists, and rounds at most; a round that
 #: finds no link is the last. What rounds leave is enumerated in full.
 LEADERS, ROUNDS = 3, 2
+#: A leader is compared with sets that meet it in one list for so many shingles of the smaller set, or more.
+AGREEING = 100
 #: Percentage of a set's size by which prefixes are longer than they need be, so that pairs have to share as many shingles more.
 MARGIN = 3
 #: Shingles of a task that are counted together.
@@ -382,13 +384,16 @@ def list_leaders(met: DataFrame, number: int) -> DataFrame:
 
     A list's leader is one set of the class that has most entries there, drawn anew for every eighth of the lists and
     every round. Linking to leaders merges a large group of near copies with few pairs, before pairs are enumerated.
+    Leaders met in few lists, for the size of the smaller set, are left to that enumeration: similar sets of n shingles
+    share about a fifth of n list keys, an eighth of which is one draw's.
     """
     draw = F.xxhash64("key", F.pmod(F.xxhash64("join_key"), F.lit(8)), F.lit(number))
     sizes = met.groupBy("join_key", "cls").agg(F.count("*").alias("c"), F.min(F.struct(draw, "key", "n")).alias("leader"))
     best = sizes.groupBy("join_key").agg(F.max_by(F.struct("cls", "leader"), F.struct("c", "cls")).alias("best"))
     led = best.select("join_key", F.col("best.cls").alias("led"), F.col("best.leader.key").alias("a"), F.col("best.leader.n").alias("m"))
     meets = met.join(led, "join_key").where((F.col("cls") != F.col("led")) & (100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m")))
-    counted = meets.groupBy("key", "a").agg(F.count("*").alias("agree"))
+    counted = meets.groupBy("key", "a").agg(F.count("*").alias("agree"), F.least(F.first("n"), F.first("m")).alias("least_n"))
+    counted = counted.where(F.col("agree") * AGREEING >= F.col("least_n"))
     rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("agree"), "a"))
     return counted.withColumn("rank", rank).where(F.col("rank") <= LEADERS).select("a", F.col("key").alias("b"))
 
