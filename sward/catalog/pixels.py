@@ -70,6 +70,30 @@ def j1_resample(spark, folder):
     return base.rounded(small.select(KEY, F.col("y").cast("int"), F.col("x").cast("int"), "r", "g", "b"))
 
 
+def _mixed(axis: str, cell: str, cells: int, side: int = 8) -> str:
+    left, part = f"({cell} * {side} // {cells})", f"greatest({cell} + 1 - ({cell} * {side} // {cells} + 1) * ({cells} / {side}.0::DOUBLE), 0)"
+    return f"(CASE WHEN {axis} = {left} THEN 1 - {part} ELSE 0 END + CASE WHEN {axis} = least({left} + 1, {side - 1}) THEN {part} ELSE 0 END)"
+
+
+def _enlarge_sql(width: int, height: int) -> str:
+    return sql(f"""SELECT image_path, CAST(ty AS INTEGER) AS y, CAST(tx AS INTEGER) AS x, {r('sum(r * w) / sum(w)', 'r')}, {r('sum(g * w) / sum(w)', 'g')}, {r('sum(b * w) / sum(w)', 'b')}
+        FROM (SELECT *, {_mixed('y', 'ty', height)} * {_mixed('x', 'tx', width)} AS w FROM pixels, range({height}) t(ty), range({width}) u(tx))
+        WHERE w > 1e-9 GROUP BY image_path, ty, tx""")
+
+
+@query("j1_enlarge", _enlarge_sql(20, 12))
+def j1_enlarge(spark, folder):
+    large = pixels.resample_area(views.pixels(spark, folder), 20, 12, whole=False)
+    return base.rounded(large.select(KEY, F.col("y").cast("int"), F.col("x").cast("int"), "r", "g", "b"))
+
+
+@query("j1_enlarge_one_side", _enlarge_sql(5, 11))
+def j1_enlarge_one_side(spark, folder):
+    """Wider than high before, higher than wide after: both axes interpolate as soon as one of them grows."""
+    tall = pixels.resample_area(views.pixels(spark, folder), 5, 11, whole=False, source=(8, 8))
+    return base.rounded(tall.select(KEY, F.col("y").cast("int"), F.col("x").cast("int"), "r", "g", "b"))
+
+
 @query("j2_rgb", _per_image(RGB))
 def j2_rgb(spark, folder):
     return _colour(spark, folder, *[f"rgb_{b}_{s}" for b in "rgb" for s in STATS])

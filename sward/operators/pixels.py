@@ -30,10 +30,12 @@ def resample_area(
     whole: bool = True,
     source: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Shrink every image to ``width x height`` by averaging over covered areas.
+    """Bring every image to ``width x height``: shrunk by averaging over covered areas, enlarged by interpolation.
 
     Works for fractional factors: a source pixel is shared among the target cells it overlaps, weighted by the
-    overlap, and the shares combine before the shuffle. With ``source`` as the common (width, height) of all images
+    overlap, and the shares combine before the shuffle. Where either side grows, cells are mixed from two source
+    positions along each axis instead, in proportion to the part of the cell that reaches into the second, as area
+    resampling does when it enlarges. With ``source`` as the common (width, height) of all images
     nothing is joined; otherwise each image's size is found first and joined by key, where AQE splits a hot image.
     With ``whole`` the averages are rounded back to 8-bit levels.
     """
@@ -41,12 +43,18 @@ def resample_area(
         sized = pixels.withColumns({"w": F.lit(source[0]), "h": F.lit(source[1])})
     else:
         sized = pixels.join(pixels.groupBy(key).agg((F.max("x") + 1).alias("w"), (F.max("y") + 1).alias("h")), on=key)
+    grows = f"(w < {width} OR h < {height})"
 
     def cells(position: str, size: str, target: int) -> Column:
         scale = f"({float(target)}D / {size})"
         first, last = f"int(floor({position} * {scale}))", f"int(least(ceil(({position} + 1) * {scale}) - 1, {target - 1}))"
         overlap = f"least(({position} + 1) * {scale}, c + 1D) - greatest({position} * {scale}, double(c))"
-        shares = f"transform(sequence({first}, {last}), c -> struct(c AS cell, {overlap} AS weight))"
+        # The first of a cell's two positions, and the part of the cell behind it, which the second gets (the last one has no next).
+        left, part = f"((c * {size}) div {target})", f"greatest((c + 1) - ((c * {size}) div {target} + 1) * {scale}, 0D)"
+        mixed = f"IF({left} = {position}, 1 - {part}, 0D) + IF(least({left} + 1, {size} - 1) = {position}, {part}, 0D)"
+        near = f"int(greatest(floor(({position} - 1) * {scale}), 0)), int(least(ceil(({position} + 1) * {scale}), {target - 1}))"
+        shares = f"""IF({grows}, transform(sequence({near}), c -> struct(c AS cell, double({mixed}) AS weight)),
+            transform(sequence({first}, {last}), c -> struct(c AS cell, double({overlap}) AS weight)))"""
         return F.expr(f"explode(filter({shares}, s -> s.weight > 1e-9))")
 
     spread = (

@@ -153,6 +153,29 @@ def test_resampling_keeps_the_mean_and_known_sizes(spark, images):
         assert list(a.values())[1:] == pytest.approx(list(b.values())[1:])
 
 
+def test_enlarging_mixes_two_positions_along_each_axis(table, images):
+    def lines(grid, cells, axis):
+        """A matrix product with one row of weights per target cell."""
+        size = grid.shape[axis]
+        weights = np.zeros((cells, size))
+        for c in range(cells):
+            left = c * size // cells
+            part = max(c + 1 - (left + 1) * cells / size, 0.0)
+            weights[c, left] += 1 - part
+            weights[c, min(left + 1, size - 1)] += part
+        return np.moveaxis(np.tensordot(weights, grid, (1, axis)), 0, axis)
+
+    height, width = images["noise"].shape[:2]
+    for size in ((width * 2 + 3, height * 3), (width * 2, max(1, height - 1))):
+        large = pixels.resample_area(table.where("image_path = 'noise'"), *size, bands=("r",), whole=False)
+        got = {(r["y"], r["x"]): r["r"] for r in large.collect()}
+        expected = lines(lines(images["noise"][..., 0].astype(float), size[1], 0), size[0], 1)
+        assert len(got) == size[0] * size[1]
+        assert [got[y, x] for y in range(size[1]) for x in range(size[0])] == pytest.approx(list(expected.ravel()))
+    same = pixels.resample_area(table.where("image_path = 'noise'"), width, height, bands=("r",))
+    assert {(r["y"], r["x"]): r["r"] for r in same.collect()} == {(y, x): int(v) for (y, x), v in np.ndenumerate(images["noise"][..., 0])}
+
+
 def test_stretch_and_smoothing(table, images):
     levels = pixels_by_image(rows(heatgrid.stretched(table)), images, "level")
     assert levels["flat"].max() == 0 and levels["noise"].max() == 255 and levels["noise"].min() == 0
