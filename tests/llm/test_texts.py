@@ -434,6 +434,22 @@ def test_leaks_equal_brute_force(spark, block, monkeypatch):
     assert got == {i: plain_leaks(t, items, 6) for i, t in enumerate(texts)}
 
 
+def test_many_items_in_several_passes(spark, monkeypatch):
+    """20,000 items, each of them once in some text: every one is found, whatever block it is in."""
+    monkeypatch.setattr(decontaminate, "AUTOMATON_WORDS", 150_000)
+    items = [(i, " ".join(f"w{(i * 7 + k * k) % 5003}" for k in range(12)) + f" i{i}") for i in range(20_000)]
+    item_table = spark.createDataFrame([*items, *items[:50]], "item_id long, text string")
+    assert len(decontaminate.store_automata(item_table, 13)[1]) > 3
+    texts = [" stop ".join(t.upper() for _, t in items[at : at + 100]) for at in range(0, 20_000, 100)]
+    docs = documents(spark, [*texts, None]).withColumns({"_spans": F.lit(1), "_items": F.col("text"), "key": F.lit(2)})
+    got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontaminate.find_leaks(docs, item_table, window=13).collect()}
+    assert got == {**{k: (1300, sorted(str(i) for i in range(k * 100, k * 100 + 100))) for k in range(200)}, 200: (0, [])}
+    kept = decontaminate.remove_leaks(docs, item_table, window=13, most_share=1.0)
+    assert kept.columns == docs.columns
+    left = {r["doc_id"]: r for r in kept.collect()}
+    assert left[0]["text"].split() == ["stop"] * 99 and left[0]["_items"] == texts[0] and left[200]["text"] is None
+
+
 def test_cut_texts_are_clean_and_others_unchanged(spark):
     item = "The quick brown fox jumps over the lazy dog today again"
     long = " ".join(f"w{i}" for i in range(3000))
