@@ -198,3 +198,28 @@ def test_importances_sum_to_one(spark):
     shares = trees.extra_trees(table(spark, x, y, folds), "v", TARGETS, trees=5).importances(spark, ["p", "q", "r", "s"])
     for r in shares.groupBy("fold").agg(F.sum("importance").alias("s"), F.max(F.when(F.col("feature") == "r", F.col("importance"))).alias("r")).collect():
         assert r["s"] == pytest.approx(1.0) and r["r"] == 0.0
+
+
+def test_subtrees_stay_in_a_table_and_predict_from_there(spark, monkeypatch):
+    """Unlimited trees have about two nodes a row: the driver keeps the upper ones only, and rows with equal keys stay apart."""
+    monkeypatch.setattr(trees, "SMALL_ROWS", 16)
+    x, y, folds = data(90)
+    df = table(spark, x, y, folds).withColumn("image_path", F.when(F.col("image_path") != "k3", F.lit("same")))
+    fitted = trees.extra_trees(df, "v", TARGETS, trees=3, seed=4)
+    nodes = fitted.table(spark)
+    assert len(fitted.nodes.feature) < nodes.count() / 2
+    monkeypatch.setattr(trees, "SMALL_NODES", 1)
+    assert len(trees.extra_trees(df, "v", TARGETS, trees=3, seed=4).nodes.feature) == 9 + 2 * 9
+    leaves = {(r["fold"], r["tree"], int(r["node"])): r for r in nodes.collect()}
+    want = []
+    for i in range(len(x)):
+        outputs = []
+        for t in range(3):
+            place = 1
+            while leaves[folds[i], t, place]["feature"] is not None:
+                r = leaves[folds[i], t, place]
+                place = 2 * place + int(x[i, r["feature"]] > r["threshold"])
+            outputs.append(leaves[folds[i], t, place]["outputs"])
+        want += [(None if i == 3 else "same", int(folds[i]), name, y[i, j], round(np.mean(outputs, axis=0)[j], 9)) for j, name in enumerate(TARGETS)]
+    got = [(r["image_path"], r["fold"], r["target"], r["y"], round(r["pred"], 9)) for r in fitted.predict(df, "v").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
