@@ -113,13 +113,14 @@ def _coverage_rules(predictions: str) -> list[tuple[str, str, str]]:
 
 
 _CONFIGURED = [KEY, "target", "model", "feature_set"]
+_VALUES = {"target": TARGETS, "model": list(base.MODELS), "feature_set": list(base.FEATURE_SETS)}
 
 
 def _expected(spark, folder):
     """Every image under every target and configuration."""
     targets = F.explode(F.array(*[F.lit(t) for t in TARGETS])).alias("target")
     configurations = F.inline(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(f).alias("feature_set")) for m, f in base.CONFIGURATIONS]))
-    return views.samples(spark, folder).select(KEY, targets).select(KEY, "target", configurations)
+    return base.stored_samples(spark, folder).select(KEY, targets).select(KEY, "target", configurations)
 
 
 def _number():
@@ -135,7 +136,7 @@ def h8_coverage(spark, folder):
         .unionByName(whole.where(_number() % 50 == 1))
         .unionByName(whole.where((_number() % 50 == 2) & (F.col("model") == "Ridge")).withColumn(KEY, F.concat(F.lit("none/"), KEY)))
     )
-    return quality.prediction_coverage(_expected(spark, folder), faulty, _CONFIGURED)
+    return quality.prediction_coverage(_expected(spark, folder), faulty, _CONFIGURED, _VALUES)
 
 
 @query("h9_negative", rules_sql(("negative_predictions", "0", "(SELECT count(*) FROM cells WHERE e < 0)")))
@@ -146,19 +147,25 @@ def h9_negative(spark, folder):
 
 def _report(spark, folder):
     predictions = base.oof(spark, folder)
+    # Counts by fold and target first: distinct ones of the few groups need no copies of the predictions.
+    counted = predictions.groupBy("fold", "target").agg(
+        F.count_if(quality.missing_in(predictions, "pred")).alias("missing"),
+        F.count_if(F.abs("pred") == float("inf")).alias("infinite"),
+        F.count_if(F.col("pred") < 0).alias("negative"),
+    )
     return quality.integrity_report(
         quality.rules_in_one_pass(
-            predictions,
+            counted,
             {
-                "prediction_nan_count": (0, F.count_if(quality.missing_in(predictions, "pred"))),
-                "prediction_inf_count": (0, F.count_if(F.abs("pred") == float("inf"))),
-                "negative_predictions": (0, F.count_if(F.col("pred") < 0)),
+                "prediction_nan_count": (0, F.coalesce(F.sum("missing"), F.lit(0))),
+                "prediction_inf_count": (0, F.coalesce(F.sum("infinite"), F.lit(0))),
+                "negative_predictions": (0, F.coalesce(F.sum("negative"), F.lit(0))),
                 "fold_count": (5, F.count_distinct("fold")),
                 "target_count": (5, F.count_distinct("target")),
             },
         ),
-        quality.prediction_coverage(_expected(spark, folder), predictions, _CONFIGURED),
-        quality.fold_labels(views.samples(spark, folder), 5),
+        quality.prediction_coverage(_expected(spark, folder), predictions, _CONFIGURED, _VALUES),
+        quality.fold_labels(base.stored_samples(spark, folder), 5),
     )
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from math import prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,18 +112,65 @@ def same_feature_names(names: DataFrame, fold: str = FOLD, name: str = "feature"
     return rule(per_feature, "features_not_in_every_fold", 0, F.count_if(F.col("folds") != folds))
 
 
-def prediction_coverage(rows: DataFrame, predictions: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """H8: every row predicted exactly once. Rows and predictions are counted together by key."""
+#: Combinations of listed values that are counted beside each other in one row.
+MOST_SLOTS = 60
+
+
+def prediction_coverage(
+    rows: DataFrame, predictions: DataFrame, keys: Sequence[str], values: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """H8: every row predicted exactly once. Rows and predictions are counted together by key.
+
+    ``values`` lists what some of the keys usually hold, such as targets and models. Combinations of these are then counted
+    in one row per remaining key, so that this row, not one for each combination, is shuffled. All other values are
+    counted as well, each in a row of its own.
+    """
     both = rows.select(*keys, F.lit(1).alias("row"), F.lit(0).alias("prediction")).unionByName(
         predictions.select(*keys, F.lit(0).alias("row"), F.lit(1).alias("prediction"))
     )
-    counted = both.groupBy(*keys).agg(F.sum("row").alias("row"), F.sum("prediction").alias("prediction"))
+    values = {c: list(v) for c, v in (values or {}).items()}
+    slots = prod(map(len, values.values())) if values else 0
+    if not 0 < slots <= MOST_SLOTS:
+        counted = both.groupBy(*keys).agg(F.sum("row").alias("row"), F.sum("prediction").alias("prediction"))
+        kinds = {
+            "rows_without_prediction": F.count_if(F.expr("row > 0 AND prediction = 0")),
+            "rows_predicted_twice": F.count_if(F.expr("row > 0 AND prediction > 1")),
+            "predictions_without_row": F.count_if(F.expr("row = 0")),
+        }
+        return rules_in_one_pass(counted, {name: (0, actual) for name, actual in kinds.items()})
+
+    # The combination's number; null if a value isn't listed.
+    slot = F.lit(0)
+    for c, listed in values.items():
+        place = reduce(lambda when, i, c=c, listed=listed: when.when(F.col(c) == listed[i], i), range(1, len(listed)), F.when(F.col(c) == listed[0], 0))
+        slot = slot * len(listed) + place
+    own = [f"_key_{i}" for i in range(len(keys) - len(values))]
+    rest = [F.col(c).alias(name) for c, name in zip((c for c in keys if c not in values), own)]
+    other = F.when(F.col("_slot").isNull(), F.struct(*values))
+    placed = both.withColumn("_slot", slot).select(*rest, "_slot", other.alias("_other"), "row", "prediction")
+
+    def total(what: str, condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col(what)).otherwise(0))
+
+    counted = placed.groupBy(*own, "_other").agg(
+        F.bit_or(F.expr("CASE WHEN row > 0 AND _slot IS NOT NULL THEN shiftleft(1L, _slot) ELSE 0L END")).alias("rows"),
+        *[total("prediction", F.col("_slot") == i).alias(f"p_{i}") for i in range(slots)],
+        total("row", F.col("_slot").isNull()).alias("other_row"),
+        total("prediction", F.col("_slot").isNull()).alias("other_prediction"),
+    )
+
+    def cases(inside: Callable[[Column, Column], Column]) -> Column:
+        """In how many combinations of a counted row the condition on (row wanted, predictions) holds."""
+        found = [inside(F.col("rows").bitwiseAND(F.lit(1 << i).cast("bigint")) != 0, F.col(f"p_{i}")) for i in range(slots)]
+        unlisted = F.col("_other").isNotNull() & inside(F.col("other_row") > 0, F.col("other_prediction"))
+        return F.coalesce(F.sum(reduce(lambda a, b: a + b, [f.cast("bigint") for f in [*found, unlisted]])), F.lit(0))
+
     return rules_in_one_pass(
         counted,
         {
-            "rows_without_prediction": (0, F.count_if(F.expr("row > 0 AND prediction = 0"))),
-            "rows_predicted_twice": (0, F.count_if(F.expr("row > 0 AND prediction > 1"))),
-            "predictions_without_row": (0, F.count_if(F.expr("row = 0"))),
+            "rows_without_prediction": (0, cases(lambda wanted, p: wanted & (p == 0))),
+            "rows_predicted_twice": (0, cases(lambda wanted, p: wanted & (p > 1))),
+            "predictions_without_row": (0, cases(lambda wanted, p: ~wanted & (p > 0))),
         },
     )
 

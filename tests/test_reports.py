@@ -227,3 +227,19 @@ def test_coverage_and_difference(spark):
 def test_same_feature_names(spark):
     names = spark.createDataFrame([(0, "a"), (1, "a"), (0, "b")], "fold int, feature string")
     assert rows(quality.same_feature_names(names))[0]["status"] == "FAIL"
+
+
+def test_listed_combinations_are_counted_in_one_row_per_key(spark):
+    """The shuffle has the key alone, and unlisted, absent and repeated values count as they do by all keys."""
+    kind = "k string, target string, model string"
+    expected = [(k, t, m) for k in ("a", "b", None) for t in ("x", "y") for m in ("p", "q")] + [("a", "z", "p"), ("b", None, "q"), ("c", "z", "z")]
+    predicted = expected[:9] + [("a", "x", "p"), ("a", "z", "p"), ("a", "z", "p"), ("none", "x", "p"), (None, None, None), ("c", "z", "p")]
+    tables = [spark.createDataFrame(v, kind) for v in (expected, predicted)]
+    plain = rows(quality.prediction_coverage(*tables, ["k", "target", "model"]), "check")
+    listed = quality.prediction_coverage(*tables, ["k", "target", "model"], {"target": ["x", "y"], "model": ["p", "q"]})
+    assert rows(listed, "check") == plain
+    assert {r["check"]: r["actual"] for r in plain} == {"rows_without_prediction": 5, "rows_predicted_twice": 2, "predictions_without_row": 3}
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_key_0" in plan and "hashpartitioning(k#" not in plan
+    empty = quality.prediction_coverage(*[t.limit(0) for t in tables], ["k", "target", "model"], {"target": ["x"], "model": ["p"]})
+    assert all(r["actual"] == 0 for r in empty.collect())
