@@ -243,3 +243,22 @@ def test_listed_combinations_are_counted_in_one_row_per_key(spark):
     assert "hashpartitioning(_key_0" in plan and "hashpartitioning(k#" not in plan
     empty = quality.prediction_coverage(*[t.limit(0) for t in tables], ["k", "target", "model"], {"target": ["x"], "model": ["p"]})
     assert all(r["actual"] == 0 for r in empty.collect())
+
+
+def test_both_predictions_of_a_row_are_paired_without_a_shuffle(spark, small, monkeypatch):
+    from sward.catalog import base
+
+    def by_key(long):
+        of = lambda name: F.max(F.when(F.col("feature_set") == name, F.col("pred")))
+        return long.groupBy("image_path", "target").agg(F.max("y").alias("y"), of("NDVI").alias("a"), of("Height").alias("b"))
+
+    chosen = [("Ridge", "NDVI"), ("Ridge", "Height")]
+    order = "image_path", "target"
+    pairs = base.two_predictions(spark, small)
+    assert "hashpartitioning" not in pairs._jdf.queryExecution().executedPlan().toString()
+    assert rows(pairs, *order) == rows(by_key(base.oof(spark, small, chosen)), *order)
+    whole = base.design(spark, small)
+    twice = whole.unionByName(whole.limit(5).withColumn("Height_Ave_cm", F.col("Height_Ave_cm") + 1))
+    monkeypatch.setattr(base, "design", lambda spark, folder: twice)
+    rounded = lambda df: rows(base.rounded(df, 9), *order)
+    assert rounded(base.two_predictions(spark, small)) == rounded(by_key(base.oof(spark, small, chosen)))
