@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sward.llm.textual import ALNUM_LOWER, utf8
+from sward.llm.textual import ALNUM_LOWER, sliced, utf8
 from sward.session import discard, free_name, materialise
 
 WINDOW = 10
@@ -202,7 +202,7 @@ def met_items(docs: DataFrame, items: DataFrame, window: int, text: str, finish:
     def meeting(name: str, data: Broadcast, last: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             automaton = loaded(name, data.value)
-            for batch in batches:
+            for batch in sliced(batches):
                 own, (before, names) = batch.columns[:-2], [c.to_pylist() for c in batch.columns[-2:]]
                 found = []
                 for t, ends, met in zip(own[at].to_pylist(), before, names):

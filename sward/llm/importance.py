@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sward.llm.textual import SPACES, WordHash, utf8
+from sward.llm.textual import SPACES, WordHash, sliced, utf8
 
 #: Hash buckets of the multinomials: a driver and worker array of 512 KB whatever the corpus.
 BUCKETS = 1 << 16
@@ -73,7 +73,7 @@ def base_failed(n_words: int, n_repeat_words: int) -> bool:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes, raw, target = WordHash(8), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    for batch in batches:
+    for batch in sliced(batches):
         for text in batch.column(0).to_pylist():
             _, trusted, grams = measure(text, hashes)
             counts = np.bincount(grams, minlength=BUCKETS) if len(grams) > BUCKETS // 8 else None
@@ -120,7 +120,7 @@ def rate_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHash(8)
-        for batch in batches:
+        for batch in sliced(batches):
             rated = [judge(t, hashes, model.value) for t in batch.column(1).to_pylist()]
             columns = [pa.array([r[0][k] for r in rated], pa.int64()) for k in range(len(FEATURES))]
             columns += [pa.array([r[1] for r in rated], pa.float64())] + [pa.array([r[k] for r in rated], pa.bool_()) for k in (2, 3)]
@@ -141,7 +141,7 @@ def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHash(8)
-        for batch in batches:
+        for batch in sliced(batches):
             yield batch.filter(pa.array([judge(t, hashes, model.value)[3] for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sward.llm.components import components
-from sward.llm.textual import ASCII_LOWER, utf8
+from sward.llm.textual import ASCII_LOWER, sliced, utf8
 from sward.session import discard, free_name, materialise
 
 SIZE, PERCENT = 5, 75
@@ -185,16 +185,6 @@ SUMMARY_ARROW = pa.schema(
 )
 
 
-#: Rows of an Arrow batch that are worked on at once; what they become may be many times larger.
-SLICE = 500
-
-
-def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, SLICE):
-            yield batch.slice(at, SLICE)
-
-
 def _of_ids(texts: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Join texts with rows per ``key``: a written table whose size is known decides how."""
     return texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "key", how)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 #: Entries of a worker's word-to-hash cache before it is emptied.
 CACHED_WORDS = 500_000
@@ -14,6 +16,16 @@ ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SPACES = " \t\n\r\x0b\x0c"
 
 
+#: Rows of an Arrow batch that are worked on at once; as Python objects, and what they become, they may be many times larger.
+SLICE = 500
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 

@@ -5,9 +5,11 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -482,3 +484,22 @@ def test_good_documents_of_every_table_stay(spark, small):
     docs, labels = (spark.read.parquet(f"{small}/{n}.parquet") for n in ("documents", "labels"))
     rated = importance.rate_documents(docs).join(labels.select("doc_id", "quality"), "doc_id")
     assert rated.where("quality = 1 AND NOT base_failed AND NOT kept").count() == 0
+
+
+def test_batches_are_worked_on_in_slices(spark):
+    """Rows of a whole Arrow batch, as Python objects, took an executor beyond its memory."""
+    docs = documents(spark, [f"word {i} of a text" for i in range(1200)]).select("doc_id", "text").coalesce(1)
+    items = spark.createDataFrame([("a", "7 of a"), ("b", "11 of a text")], "item_id string, text string")
+
+    def finish(batch, found):
+        return pa.RecordBatch.from_arrays([pa.array([len(found)], pa.int64()), pa.array([sum(bool(f[1]) for f in found)], pa.int64())], names=["n", "hit"])
+
+    rows = decontaminate.met_items(docs, items, 10, "text", finish, "n long, hit long").collect()
+    assert [r["n"] for r in rows] == [500, 500, 200] and sum(r["hit"] for r in rows) == 2
+    batch = pa.RecordBatch.from_arrays([pa.array(["lorem ipsum dolor " * 400] * 4000)], names=["text"])
+    tracemalloc.start()
+    found = next(importance._count(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(found.column("raw").to_pylist()) == 4000 * 2399
+    assert peak < 15_000_000 < 4000 * 18 * 400
