@@ -149,6 +149,30 @@ def test_boosting_equals_plain_best_first_growth(spark):
             assert [r["count"] for r in rows] == sizes and max(sizes) <= 5
 
 
+@pytest.mark.parametrize("limit, passes", [(0, True), (30, True), (128 << 20, False)])
+def test_boosting_is_the_same_by_histograms_and_by_subtrees(spark, monkeypatch, limit, passes):
+    """Rows of nodes that fit a task meet there once a round, so histograms are shuffled for larger nodes alone."""
+    x, y, folds = data(200, seed=3)
+    settings = trees.Boosting(rate=0.3, rounds=3, leaves=9, min_leaf=3, store_every=2)
+    seen = []
+    summed = trees.summed
+    monkeypatch.setattr(trees, "summed", lambda *args: seen.append(1) or summed(*args))
+    # The limit is in rows here: 4 bins of a byte and a residual each.
+    monkeypatch.setattr(trees, "SUBTREE_BYTES", limit * 12)
+    monkeypatch.setattr(trees, "LONG_ROWS", 40)
+    fitted = trees.boosted_trees(table(spark, x, y, folds), "v", TARGETS, settings)
+    assert bool(seen) == passes
+    for t, target in enumerate(TARGETS):
+        for f in range(3):
+            train = folds != f
+            want, sizes = plain_boosting(x[train], y[train, t], settings)
+            moved = table(spark, x[train], y[train], np.full(train.sum(), f))
+            got = {r["image_path"]: r["pred"] for r in fitted[target].predict(moved, "v").collect()}
+            assert [got[f"k{i}"] for i in range(train.sum())] == pytest.approx(want)
+            rows = fitted[target].table(spark).where(f"fold = {f} AND feature IS NULL").groupBy("tree").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+            assert [(r["c"], r["n"]) for r in rows.orderBy("tree").collect()] == [(s, train.sum()) for s in sizes]
+
+
 def test_leaf_limit_and_l2_are_respected(spark):
     x, y, folds = data()
     one = trees.boosted_trees(table(spark, x, y, folds), "v", ["a"], trees.Boosting(rate=1.0, rounds=1, leaves=2, l2=10.0, min_leaf=1))["a"]
