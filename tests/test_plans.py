@@ -170,3 +170,41 @@ def test_restartable_grid_fits_only_what_its_ledger_lacks(spark):
     fits.clear()
     cross_validation.restartable_grid(df, {"C": line(0.9)}, sets, broken, ["t"])
     assert len(fits) == 6 + 6 - left
+
+
+def test_image_table_makes_the_design_rows_of_embedded_images_only(spark, tmp_path):
+    """Orders without an embedding count for the statistics, but no design table of them is written for the fits."""
+    from sward.catalog import base, learning
+    from sward.session import is_stored
+
+    folder = str(tmp_path)
+    made = {
+        "nation": [(0, "N0"), (1, "N1")],
+        "customer": [(c, c % 2, None if c == 4 else c * 1.5, "M") for c in range(1, 11)],
+        "orders": [(o, o % 10 + 1, o * 10.0) for o in range(1, 61)] + [(7, 3, 5.0)],
+        "lineitem": [(o, "ANR"[o % 3], float(i + o)) for o in range(1, 61) if o != 12 for i in range(2)] + [(99, "A", 1.0), (3, None, None)],
+        "embeddings": [(v, [float(v), 1.0], 0) for v in [*range(5, 20), 6, 99]] + [(None, [0.0, 0.0], 1)],
+    }
+    kinds = {
+        "nation": "n_nationkey int, n_name string",
+        "customer": "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string",
+        "orders": "o_orderkey long, o_custkey long, o_totalprice double",
+        "lineitem": "l_orderkey long, l_returnflag string, l_quantity double",
+        "embeddings": "vec_id long, embedding array<float>, label int",
+    }
+    for name, rows in made.items():
+        spark.createDataFrame(rows, kinds[name]).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+
+    def rounded(table):
+        return sorted(str([round(v, 9) if isinstance(v, float) else [round(float(x), 9) for x in v] if hasattr(v, "toArray") else v for v in r]) for r in table.collect())
+
+    alone = rounded(learning.image_table(spark, folder))
+    assert not is_stored(spark, f"{folder}/design")
+    embedded = base.views.embeddings(spark, folder).select("image_path")
+    design = base.design(spark, folder).join(embedded, on="image_path")
+    assert is_stored(spark, f"{folder}/design") and design.count() == len(alone) > 15
+    # With the design table there, the image table reads it; a new file makes both outdated.
+    spark.createDataFrame([(1,)], "x int").write.parquet(f"{folder}/other.parquet")
+    assert not is_stored(spark, f"{folder}/design")
+    base.design(spark, folder)
+    assert rounded(learning.image_table(spark, folder)) == alone
