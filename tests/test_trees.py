@@ -247,3 +247,46 @@ def test_subtrees_stay_in_a_table_and_predict_from_there(spark, monkeypatch):
         want += [(None if i == 3 else "same", int(folds[i]), name, y[i, j], round(np.mean(outputs, axis=0)[j], 9)) for j, name in enumerate(TARGETS)]
     got = [(r["image_path"], r["fold"], r["target"], r["y"], round(r["pred"], 9)) for r in fitted.predict(df, "v").collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("block, task, part", [(8, 256 << 20, 500_000), (64, 2_000, 40)])
+def test_grown_in_groups_extra_trees_equal_plain_recursion(spark, monkeypatch, block, task, part):
+    """Large nodes read in pieces, groups that can't hold all rows, and subtrees in several parts give the same trees."""
+    monkeypatch.setattr(trees, "BLOCK_ROWS", block)
+    monkeypatch.setattr(trees, "TASK_BYTES", task)
+    monkeypatch.setattr(trees, "PART_ROWS", part)
+    x, y, folds = data(60)
+    df = table(spark, x, y, folds)
+    fitted = trees.extra_trees(df, "v", TARGETS, trees=2, seed=9)
+    assert len(set(fitted.part_of.values())) == (1 if part > 1000 else 6)
+    leaves, splits = {}, {}
+    for r in fitted.table(spark).collect():
+        (leaves if r["feature"] is None else splits)[r["fold"], r["tree"], int(r["node"])] = r
+    for f in range(3):
+        for t in range(2):
+            want = plain_tree(x[folds != f], y[folds != f], f"9:{f}:{t}", 1, 30)
+            got = {place: r for (g, u, place), r in leaves.items() if (g, u) == (f, t)}
+            assert got.keys() == want.keys()
+            for place, (n, means) in want.items():
+                assert got[place]["n"] == n and got[place]["outputs"] == pytest.approx(means)
+    for r in fitted.predict(df, "v").where("target = 'a'").collect():
+        i, outputs = int(r["image_path"][1:]), []
+        for t in range(2):
+            place = 1
+            while (folds[i], t, place) in splits:
+                s = splits[folds[i], t, place]
+                place = 2 * place + int(x[i, s["feature"]] > s["threshold"])
+            outputs.append(leaves[folds[i], t, place]["outputs"][0])
+        assert r["pred"] == pytest.approx(np.mean(outputs))
+
+
+def test_a_task_gets_a_row_once_for_all_its_trees(spark, monkeypatch):
+    """Before, every training row was shuffled once for every tree."""
+    x, y, folds = data()
+    df, dealt = table(spark, x, y, folds), []
+    own = type(df).repartitionById
+    monkeypatch.setattr(type(df), "repartitionById", lambda self, n, *c: dealt.append((n, self)) or own(self, n, *c))
+    trees.extra_trees(df, "v", TARGETS, trees=20)
+    [(groups, pieces)] = dealt
+    sent = pieces.agg(F.sum(F.length("rows"))).first()[0] // (8 * (4 + 2 + 1))
+    assert groups <= 3 * spark.sparkContext.defaultParallelism and sent <= groups * 120 and sent < 20 * 3 * 80 / 2
