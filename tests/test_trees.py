@@ -290,3 +290,29 @@ def test_a_task_gets_a_row_once_for_all_its_trees(spark, monkeypatch):
     [(groups, pieces)] = dealt
     sent = pieces.agg(F.sum(F.length("rows"))).first()[0] // (8 * (4 + 2 + 1))
     assert groups <= 3 * spark.sparkContext.defaultParallelism and sent <= groups * 120 and sent < 20 * 3 * 80 / 2
+
+
+def test_k4_boosting_has_the_published_rounds(spark, monkeypatch):
+    """The query's settings are those that were published, 300 rounds among them."""
+    from sward.catalog import learning
+
+    asked = []
+    monkeypatch.setattr(learning, "combined_arrays", lambda spark, folder: (None, []))
+    monkeypatch.setattr(trees, "boosted_trees", lambda *args: asked.append(args[3]) or {}[None])
+    with pytest.raises(KeyError):
+        learning.k4_boosting(spark, "")
+    assert asked == [trees.Boosting(rate=0.05, rounds=300, leaves=31, l2=1.0, min_leaf=20, bins=255)]
+
+
+def test_rounds_of_a_model_that_fits_a_task_take_no_passes(spark, monkeypatch):
+    """Before, every round read the rows at least once more and every tenth wrote them."""
+    x, y, folds = data()
+    own, passes = type(spark.range(1)).mapInArrow, []
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda self, *args: passes.append(1) or own(self, *args))
+    seen = []
+    for rounds in (2, 23):
+        passes.clear()
+        fitted = trees.boosted_trees(table(spark, x, y, folds), "v", TARGETS, trees.Boosting(rounds=rounds, min_leaf=5))
+        seen.append(len(passes))
+        assert all(len(roots) == rounds for m in fitted.values() for roots in m.roots.values())
+    assert seen[0] == seen[1]
