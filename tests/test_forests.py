@@ -139,3 +139,25 @@ def test_k9_grid_has_the_published_forest(spark, monkeypatch):
     with pytest.raises(KeyError):
         learning.k9_experiment_grid(spark, "")
     assert set(asked[0]) == {"Forest", "Linear"} and published(asked[0]["Forest"])
+
+
+def test_k9_ledger_has_the_published_forest(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(learning, "image_table", lambda spark, folder: None)
+    monkeypatch.setattr(cross_validation, "restartable_grid", lambda table, factories, *args: asked.append(factories) or {}[None])
+    with pytest.raises(KeyError):
+        learning.ledger_run(spark, "")
+    assert set(asked[0]) == {"Forest", "Linear"} and published(asked[0]["Forest"])
+
+
+def test_a_ledger_of_forests_keeps_predictions_and_no_trees(spark, tmp_path):
+    df = table(spark, 60)
+    run = lambda: cross_validation.restartable_grid(df, {"Forest": estimators.random_forest(3)}, {"All": "features"}, str(tmp_path / "ledger"), TARGETS, range(3))
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = {name for name in os.listdir(shared) if name.startswith("forest-")}
+    predictions, runtimes = run()
+    assert predictions.count() == 120 and runtimes.count() == 3
+    assert {name for name in os.listdir(shared) if name.startswith("forest-")} == before
+    direct, _ = cross_validation.cross_validate(df, estimators.random_forest(3), "Forest", "All", TARGETS, range(3))
+    assert sorted((r["y"], round(r["pred"], 9)) for r in predictions.collect()) == sorted((r["y"], round(r["pred"], 9)) for r in direct.collect())
+    assert run()[0].count() == 120
