@@ -161,3 +161,14 @@ def test_a_ledger_of_forests_keeps_predictions_and_no_trees(spark, tmp_path):
     direct, _ = cross_validation.cross_validate(df, estimators.random_forest(3), "Forest", "All", TARGETS, range(3))
     assert sorted((r["y"], round(r["pred"], 9)) for r in predictions.collect()) == sorted((r["y"], round(r["pred"], 9)) for r in direct.collect())
     assert run()[0].count() == 120
+
+
+def test_large_forests_have_more_parts_and_the_same_predictions(spark, monkeypatch):
+    df = table(spark, 60)
+    seen = []
+    for limit in (64 << 20, 20 * 40 * 3):
+        monkeypatch.setattr(forests, "PART_BYTES", limit)
+        scored, models = cross_validation.cross_validate(df, estimators.random_forest(60), "Forest", "All", TARGETS, range(3))
+        assert {m.parts for m in models.values()} == {8 if limit > 1 << 20 else 20}
+        seen.append(sorted((r["y"], round(r["pred"], 9)) for r in scored.collect()))
+    assert seen[0] == seen[1]
